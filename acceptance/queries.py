@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acceptance import star
-from tidemark.durable import fresh_path
+from tidemark.durable import fresh_path, materialise
 from tidemark.entities import DIM_BUSINESSES, DIM_USERS, entity_spec, entity_specs
 from tidemark.load import LOAD_DATE, LOAD_ID, stamp
 from tidemark.operators.keys import assign_surrogates, latest_per_key
@@ -29,7 +29,7 @@ from tidemark.plans.facts import checkin_dates, fact_checkins, fact_reviews, fac
 from tidemark.plans.lake import Lake, ingest, run_load
 from tidemark.plans.mart import checkin_measures, fact_extent, review_measures, tip_measures, weekly_business
 from tidemark.sinks.writers import publish_dimension, publish_fact, write_bronze
-from tidemark.sources.readers import read_entity, read_or_empty, read_table, since_load
+from tidemark.sources.readers import empty_table, read_entity, read_or_empty, read_table, since_load
 from tidemark.specs import DimSpec, Field
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,17 +43,15 @@ DIM_TURNS = DimSpec(
 )
 
 
-def _empty(spark: SparkSession, spec: DimSpec) -> DataFrame:
-    return spark.createDataFrame([], spec.schema)
-
-
 def _businesses(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
     return DIM_BUSINESSES.conform(star.raw_businesses(spark, sf_dir, load))
 
 
 def _merge(spark: SparkSession, spec: DimSpec, increments: list[DataFrame]) -> DataFrame:
-    dim = _empty(spark, spec)
+    """The dimension after all loads, stored after each load but the last, as a lake does."""
+    dim = empty_table(spark, spec.schema)
     for load, increment in enumerate(increments, 1):
+        dim = materialise(dim, "dim") if load > 1 else dim
         dim = scd2_merge(dim, spec.conform(increment), spec, star.LOADS[load])
     return dim
 

@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 LOAD_ID = "ctl_loading"
 LOAD_DATE = "ctl_loading_date"
 
+# The columns that stamp() adds.
+LOAD_COLUMNS = f"{LOAD_ID} INT, {LOAD_DATE} DATE"
+
 
 @dataclass(frozen=True)
 class LoadContext:

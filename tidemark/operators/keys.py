@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.durable import materialise
@@ -21,13 +21,16 @@ def has_keys(keys: Sequence[str]) -> Column:
     return reduce(and_, [F.col(k).isNotNull() for k in keys])
 
 
-def drop_null_keys(df: DataFrame, keys: Sequence[str], rejects: Observation | None = None) -> DataFrame:
-    """Drop rows with a NULL in the natural key; ``rejects`` counts them as ``null_keys`` in the same job."""
-    if rejects is not None:
-        df = df.observe(rejects, F.count_if(~has_keys(keys)).alias("null_keys"))
+def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with a whole natural key."""
     return df.filter(has_keys(keys))
 
 
+def rejected_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Number of rows with a NULL in the natural key; reads the key columns only."""
+    return df.agg(F.count_if(~has_keys(keys)).alias("rejected"))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], ties: str = "first") -> DataFrame:
     """The first row per key in the given order.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,12 +97,11 @@ def scd2_delta(
     spec: DimSpec,
     load: LoadContext,
     null_sentinels: bool = False,
-    rejects: Observation | None = None,
 ) -> DataFrame:
     """The versions that a load opens, keeps current or closes: all that has to be written again.
 
     ``increment`` holds one row per natural key, conformed to ``spec``; a second row fails the job. Rows
-    without a key are dropped. A key that changes again on the day its version began keeps its surrogate
+    without a whole key are dropped (count them with ``rejected_keys``). A key that changes again on the day its version began keeps its surrogate
     and is replaced in place; a load dated before the version fails. Versions already closed on the same day
     are part of the result, so that it can replace that day's partition.
     """
@@ -113,7 +112,7 @@ def scd2_delta(
         .when(started_later, refused.cast("boolean"))
         .otherwise(F.col(_SINCE) == F.lit(load.load_date))
     )
-    arriving = require_unique(drop_null_keys(increment, spec.key_names, rejects), spec.key_names)
+    arriving = require_unique(drop_null_keys(increment, spec.key_names), spec.key_names)
     arriving = (
         _match(current, arriving, spec, null_sentinels)
         .filter(~F.col(_KNOWN) | F.col("_differs"))
@@ -162,8 +161,7 @@ def scd2_merge(
     spec: DimSpec,
     load: LoadContext,
     null_sentinels: bool = False,
-    rejects: Observation | None = None,
 ) -> DataFrame:
     """The whole next state of the dimension: :func:`scd2_delta` and the history it leaves alone."""
     untouched = _history(current).filter(~_closed_by(load)).select(*spec.columns)
-    return scd2_delta(current, increment, spec, load, null_sentinels, rejects).unionByName(untouched)
+    return scd2_delta(current, increment, spec, load, null_sentinels).unionByName(untouched)

@@ -10,6 +10,16 @@ from tidemark.functions.dates import explode_dates, text_to_date
 from tidemark.load import LoadContext, stamp
 from tidemark.operators.lookup import lookup_effective
 
+# Declared schemas of the published facts.
+FACT_SCHEMAS = {
+    "fact_checkins": "business_id BIGINT, checkin_date DATE, cnt_appearance BIGINT",
+    "fact_reviews": """business_id BIGINT, user_id BIGINT, review_nk STRING, review_date DATE,
+        review_text_desc STRING, review_stars DOUBLE, review_useful_cnt BIGINT, review_funny_cnt BIGINT,
+        review_cool_cnt BIGINT""",
+    "fact_tips": """business_id BIGINT, user_id BIGINT, tips_date DATE, tips_cnt BIGINT,
+        tips_sum_of_compliments BIGINT""",
+}
+
 BUSINESS_KEY, USER_KEY = {"_business": "business_nk"}, {"_user": "user_nk"}
 
 

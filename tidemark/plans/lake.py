@@ -7,14 +7,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.entities import DIM_BUSINESSES, DIM_USERS, FILE_PREFIX, entity_specs
-from tidemark.load import LOAD_ID, LoadContext, stamp
+from tidemark.entities import DIM_BUSINESSES, DIM_USERS, FILE_PREFIX, entity_specs, raw_schema
+from tidemark.load import LOAD_COLUMNS, LOAD_ID, LoadContext, stamp
 from tidemark.operators.keys import latest_per_key
 from tidemark.operators.scd2 import scd2_delta
-from tidemark.plans.facts import fact_checkins, fact_reviews, fact_tips
+from tidemark.plans.facts import FACT_SCHEMAS, fact_checkins, fact_reviews, fact_tips
 from tidemark.plans.mart import weekly_business
 from tidemark.sinks.writers import overwrite_table, publish_dimension, publish_fact, write_bronze
 from tidemark.sources.readers import EntityReader, read_entity, read_or_empty, read_table, since_load
@@ -70,7 +71,10 @@ def bronze_increment(
 ) -> DataFrame:
     """Bronze rows of this load alone, or of all loads after ``after_load`` up to it."""
     after = load.load_id - 1 if after_load is None else after_load
-    return since_load(read_table(spark, lake.bronze(entity), "orc"), after, load.load_id)
+    schema = raw_schema(entity)
+    for column in T.StructType.fromDDL(LOAD_COLUMNS):
+        schema = schema.add(column)
+    return since_load(read_table(spark, lake.bronze(entity), "orc", schema), after, load.load_id)
 
 
 def build_dimension(
@@ -80,7 +84,6 @@ def build_dimension(
     load: LoadContext,
     after_load: int | None = None,
     null_sentinels: bool = False,
-    rejects: Observation | None = None,
     files: int | None = None,
 ) -> None:
     """Merge the load into a dimension and publish it.
@@ -91,7 +94,7 @@ def build_dimension(
     if after_load is not None:
         raw = latest_per_key(raw, [f.source for f in spec.keys], [F.col(LOAD_ID).desc()], ties="keep")
     current = read_or_empty(spark, lake.silver(spec.table), spec.schema)
-    delta = scd2_delta(current, spec.conform(raw), spec, load, null_sentinels, rejects)
+    delta = scd2_delta(current, spec.conform(raw), spec, load, null_sentinels)
     publish_dimension(delta, lake.silver(spec.table), files)
 
 
@@ -99,6 +102,10 @@ def read_dimension(spark: SparkSession, lake: Lake, spec: DimSpec) -> DataFrame:
     return read_table(spark, lake.silver(spec.table), schema=spec.schema).select(*spec.columns)
 
 
+def read_fact(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    return read_table(spark, lake.silver(table), schema=f"{FACT_SCHEMAS[table]}, {LOAD_COLUMNS}")
+
+
 def build_facts(
     spark: SparkSession, lake: Lake, load: LoadContext, after_load: int | None = None, workers: int = 1
 ) -> None:
@@ -123,14 +130,8 @@ def build_facts(
 
 def build_mart(spark: SparkSession, lake: Lake, fill_idle_weeks: bool = False) -> None:
     """Rebuild the weekly mart from the current businesses and the newest load of each fact."""
-    facts = {t: read_table(spark, lake.silver(t)) for t in ("fact_reviews", "fact_checkins", "fact_tips")}
-    mart = weekly_business(
-        read_dimension(spark, lake, DIM_BUSINESSES),
-        facts["fact_reviews"],
-        facts["fact_checkins"],
-        facts["fact_tips"],
-        fill_idle_weeks,
-    )
+    facts = [read_fact(spark, lake, table) for table in ("fact_reviews", "fact_checkins", "fact_tips")]
+    mart = weekly_business(read_dimension(spark, lake, DIM_BUSINESSES), *facts, fill_idle_weeks)
     overwrite_table(mart, lake.gold())
 
 

@@ -76,7 +76,7 @@ def _dense(
             for fact, m in facts
         ],
     )
-    activity = weekly_sums(rows, KEY, _DAY, {name: F.col(name) for name in names}, extent)
+    activity = weekly_sums(rows, KEY, _DAY, {name: F.col(name) for name in names})
     return dense_weekly(members, KEY, activity, extent, names)
 
 

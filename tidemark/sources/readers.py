@@ -28,12 +28,20 @@ def corrupt_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(CORRUPT_RECORD).isNotNull())
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None
+) -> DataFrame:
     """Scan a lake table. With a schema, partition columns keep their declared type (a flag stays boolean)."""
     reader = spark.read.format(fmt)
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A table without rows that the optimizer knows to be empty, so that joins with it vanish."""
+    nothing = spark.range(1).filter(F.lit(False))
+    return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """As :func:`read_table`, but a table that does not exist yet is empty. Any other failure is raised."""
     try:
@@ -41,7 +49,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
 
 
 def since_load(df: DataFrame, after: int, upto: int | None = None) -> DataFrame:
