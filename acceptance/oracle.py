@@ -145,7 +145,7 @@ RAW_REVIEWS = f"""
                AS review_id,
            {key('u', 'o_custkey')} AS user_nk, {key('b', 'l_suppkey')} AS business_nk,
            CAST(CAST(floor(l_quantity) AS BIGINT) % 5 + 1 AS DOUBLE) AS stars, CAST(l_quantity AS BIGINT) AS useful,
-           CAST(l_linenumber AS BIGINT) AS funny, CAST(round(l_discount * 100) AS BIGINT) AS cool,
+           CAST(l_linenumber AS BIGINT) AS funny, CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS cool,
            l_returnflag || ' ' || l_linestatus AS text, CAST(l_shipdate AS DATE) AS day
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
@@ -248,7 +248,7 @@ MART_FACTS = {
                       AS review_stars,
                   CASE WHEN l_tax > 0 THEN CAST(l_quantity AS BIGINT) END AS review_useful_cnt,
                   CAST(l_linenumber AS BIGINT) AS review_funny_cnt,
-                  CAST(round(l_discount * 100) AS BIGINT) AS review_cool_cnt
+                  CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS review_cool_cnt
              FROM lineitem""",
         "review_date",
     ),

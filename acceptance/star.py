@@ -122,7 +122,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor("l_quantity") % 5 + 1).cast("double").alias("stars"),
         F.col("l_quantity").cast("bigint").alias("useful"),
         F.col("l_linenumber").cast("bigint").alias("funny"),
-        F.round(F.col("l_discount") * 100).cast("bigint").alias("cool"),
+        F.floor(F.col("l_discount") * 100 + 0.5).alias("cool"),
         F.concat_ws(" ", "l_returnflag", "l_linestatus").alias("text"),
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("date"),
     )
@@ -225,7 +225,7 @@ def mart_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") != "N", (F.floor("l_quantity") % 5 + 1).cast("double")).alias("review_stars"),
         F.when(F.col("l_tax") > 0, F.col("l_quantity").cast("bigint")).alias("review_useful_cnt"),
         F.col("l_linenumber").cast("bigint").alias("review_funny_cnt"),
-        F.round(F.col("l_discount") * 100).cast("bigint").alias("review_cool_cnt"),
+        F.floor(F.col("l_discount") * 100 + 0.5).alias("review_cool_cnt"),
     )
     return _snapshots(rows, "review_date")
 

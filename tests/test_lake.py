@@ -1,0 +1,103 @@
+"""Landing to mart on disk, over two loads."""
+
+from __future__ import annotations
+
+import json
+from datetime import date
+
+import pytest
+
+from tidemark.entities import DIM_BUSINESSES, DIM_USERS, FILE_PREFIX
+from tidemark.load import LoadContext
+from tidemark.plans.lake import Lake, build_dimension, build_facts, build_mart, read_dimension, read_fact, run_load
+from tidemark.sources.readers import read_table
+
+FIRST, SECOND = LoadContext(1, date(2020, 1, 1)), LoadContext(2, date(2020, 2, 1))
+
+
+def land(folder, entity, rows):
+    folder.mkdir(exist_ok=True)
+    (folder / f"{FILE_PREFIX}{entity}.json").write_text("\n".join(json.dumps(r) for r in rows))
+
+
+def business(key, stars):
+    return {"business_id": key, "name": f"name of {key}", "stars": stars, "is_open": 1, "review_count": 3}
+
+
+def review(key, user, day, stars):
+    return {
+        "review_id": f"r{key}{day}", "business_id": key, "user_id": user, "stars": stars, "useful": 1, "funny": 0,
+        "cool": 2, "text": "t", "date": f"{day} 10:00:00",
+    }
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("lake")
+    for n, load in [(1, FIRST), (2, SECOND)]:
+        landing = root / f"landing{n}"
+        land(landing, "business", [business("a", 4.0), business("b", 3.0 + n), business(None, 1.0)])
+        land(landing, "user", [{"user_id": "u", "name": "U", "yelping_since": "2010-01-01 00:00:00", "fans": n}])
+        rows = [review("a", "u", "2019-12-02", 4.0), review("b", "u", "2019-12-03", 2.0), review("x", "v", "2019-12-03", 2.0)]
+        land(landing, "review", rows + ([review("b", "u", "2019-12-17", 5.0)] if n == 2 else []))
+        land(landing, "tip", [{"business_id": "a", "user_id": "u", "text": "t", "date": "2019-12-10", "compliment_count": 1}])
+        land(landing, "checkin", [{"business_id": "b", "date": "2019-12-03 01:00:00, 2019-12-03 02:00:00"}])
+        run_load(spark, Lake(str(root / "lake")), load, str(landing), workers=3)
+    return Lake(str(root / "lake"))
+
+
+def test_dimensions(spark, lake):
+    dim = read_dimension(spark, lake, DIM_BUSINESSES)
+    got = sorted((r.business_id, r.business_nk, r.business_stars, r.effective_to, r.is_current) for r in dim.collect())
+    assert got == [
+        (1, "a", 4.0, date(9999, 12, 31), True),
+        (2, "b", 4.0, date(2020, 1, 31), False),
+        (3, "b", 5.0, date(9999, 12, 31), True),
+    ]
+    assert read_dimension(spark, lake, DIM_USERS).count() == 2
+
+
+def test_facts_keep_both_loads(spark, lake):
+    reviews = read_fact(spark, lake, "fact_reviews")
+    by_load = {}
+    for r in reviews.collect():
+        by_load.setdefault(r.ctl_loading, []).append((r.business_id, r.user_id))
+    assert sorted(by_load[1]) == [(-1, -1), (1, 1), (2, 1)]
+    assert sorted(by_load[2]) == [(-1, -1), (1, 2), (3, 2), (3, 2)]
+    assert read_table(spark, lake.bronze("review"), "orc").count() == 7
+
+
+def test_mart(spark, lake):
+    mart = read_table(spark, lake.gold())
+    got = sorted(
+        (r.business_id, str(r.end_week_date), r.weekly_review_useful_cnt, r.aggregated_review_useful_cnt,
+         r.weekly_checkin_appearance_cnt, r.aggregated_tips_cnt)
+        for r in mart.collect()
+    )
+    assert got == [
+        (1, "2019-12-08", 1, 1, None, None), (1, "2019-12-15", 0, 1, None, 1), (1, "5999-12-30", 0, 1, None, None),
+        (3, "2019-12-08", 1, 1, 2, None), (3, "2019-12-15", 0, 1, None, None), (3, "5999-12-30", 1, 2, None, None),
+    ]
+    assert len(mart.columns) == 22
+
+
+def test_second_load_again_changes_nothing(spark, lake):
+    def state():
+        tables = [read_dimension(spark, lake, DIM_BUSINESSES), read_dimension(spark, lake, DIM_USERS)]
+        tables += [read_fact(spark, lake, t) for t in ("fact_reviews", "fact_checkins", "fact_tips")]
+        return [sorted(map(str, t.collect())) for t in [*tables, read_table(spark, lake.gold())]]
+
+    before = state()
+    for spec in (DIM_BUSINESSES, DIM_USERS):
+        build_dimension(spark, lake, spec, SECOND)
+    build_facts(spark, lake, SECOND)
+    build_mart(spark, lake)
+    assert state() == before
+
+
+def test_dimension_from_several_bronze_loads_takes_the_newest_row(spark, lake):
+    fresh = Lake(f"{lake.root}/rebuilt")
+    other = type("Shared", (Lake,), {"bronze": lambda self, entity: lake.bronze(entity)})(fresh.root)
+    build_dimension(spark, other, DIM_BUSINESSES, SECOND, after_load=0)
+    got = sorted((r.business_nk, r.business_stars) for r in read_dimension(spark, other, DIM_BUSINESSES).collect())
+    assert got == [("a", 4.0), ("b", 5.0)]

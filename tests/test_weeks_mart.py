@@ -1,0 +1,217 @@
+from __future__ import annotations
+
+import random
+from datetime import date, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tests.plans import formatted
+from tidemark.functions.averages import average_or_null
+from tidemark.load import LoadContext, stamp
+from tidemark.operators.loads import latest_load
+from tidemark.operators.weeks import date_extent, member_weeks, week_spine
+from tidemark.plans.mart import checkin_measures, fact_extent, review_measures, tip_measures, weekly_business
+from tidemark.sinks.writers import publish_fact
+
+MONDAY = date(2020, 1, 6)
+OLD, NEW = LoadContext(1, date(2020, 6, 1)), LoadContext(2, date(2020, 6, 8))
+DIM = (
+    "business_id long, business_name string, business_address string, business_city string, "
+    "business_postal_code string, business_stars double, business_review_count long, is_current boolean"
+)
+REVIEWS = (
+    "business_id long, review_date date, review_stars double, review_useful_cnt long, review_funny_cnt long, "
+    "review_cool_cnt long"
+)
+CHECKINS = "business_id long, checkin_date date, cnt_appearance long"
+TIPS = "business_id long, tips_date date, tips_cnt long, tips_sum_of_compliments long"
+
+
+def days(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "d date")
+
+
+def dimension(spark, ids, closed=()):
+    rows = [(i, f"n{i}", f"a{i}", f"c{i}", f"p{i}", i + 0.5, i * 10, i not in closed) for i in [*ids, *closed]]
+    return spark.createDataFrame(rows, DIM)
+
+
+def facts(spark, reviews=(), checkins=(), tips=(), load=NEW):
+    return tuple(
+        stamp(spark.createDataFrame(list(rows), schema), load)
+        for rows, schema in [(reviews, REVIEWS), (checkins, CHECKINS), (tips, TIPS)]
+    )
+
+
+def test_week_spine(spark):
+    sunday, next_monday = MONDAY - timedelta(days=1), MONDAY
+    spine = week_spine(date_extent((days(spark, sunday), "d"), (days(spark, next_monday, None), "d")))
+    assert sorted(spine.collect()) == [
+        (MONDAY - timedelta(days=7), sunday), (MONDAY, date(5999, 12, 30)),
+    ]
+    assert week_spine(date_extent((days(spark, MONDAY), "d"))).collect() == [(MONDAY, date(5999, 12, 30))]
+    assert week_spine(date_extent((days(spark, None), "d"))).collect() == []
+    year = week_spine(date_extent((days(spark, date(2019, 12, 20), date(2020, 1, 10)), "d"))).collect()
+    assert sorted(r.start_week_date for r in year) == [date(2019, 12, 16) + timedelta(days=7 * i) for i in range(4)]
+
+
+def test_member_weeks_need_no_join_or_shuffle(spark):
+    extent = date_extent((days(spark, MONDAY, MONDAY + timedelta(days=15)), "d"))
+    spine = member_weeks(spark.range(1, 4).withColumnRenamed("id", "business_id"), extent)
+    assert spine.count() == 9
+    main = formatted(spine).split("===== Subqueries =====")[0]
+    assert "Join" not in main and "Exchange" not in main and "Cartesian" not in main
+
+
+def test_latest_load(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    for load, n in [(OLD, 5), (NEW, 2)]:
+        publish_fact(stamp(spark.range(n), load), path)
+    fact = spark.read.parquet(path)
+    assert latest_load(fact).count() == 2
+    assert "ctl_loading_date#" in formatted(latest_load(fact)).split("PartitionFilters: [")[1].split("]")[0]
+    assert latest_load(fact.filter("id > 99")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "total,count,expected", [(201.0, 200, "1.01"), (9.0, 4, "2.25"), (10.0, 3, "3.33"), (0.0, 0, None)]
+)
+def test_average(spark, total, count, expected):
+    row = spark.range(1).select(average_or_null(F.lit(total), F.lit(count)).alias("a")).first()
+    assert row.a == (None if expected is None else Decimal(expected))
+
+
+def test_review_measures(spark):
+    dim = dimension(spark, [1, 2], closed=[3])
+    reviews, checkins, tips = facts(
+        spark,
+        reviews=[
+            (1, MONDAY, 5.0, 1, None, 2),
+            (1, MONDAY + timedelta(days=6), None, 2, 1, None),
+            (1, MONDAY + timedelta(days=14), 2.0, 4, 0, 0),
+            (3, MONDAY, 1.0, 9, 9, 9),
+            (-1, MONDAY, 1.0, 9, 9, 9),
+        ],
+    )
+    extent = fact_extent(reviews, checkins, tips)
+    got = review_measures(dim, reviews, extent).orderBy("business_id", "start_week_date").collect()
+    assert [tuple(r)[3:] for r in got[:3]] == [
+        (3, 3, 1, 1, 2, 2, Decimal("5.00"), Decimal("5.00")),
+        (0, 3, 0, 1, 0, 2, None, Decimal("5.00")),
+        (4, 7, 0, 1, 0, 2, Decimal("2.00"), Decimal("3.50")),
+    ]
+    assert [tuple(r) for r in got[3:]] == [
+        (2, MONDAY + timedelta(days=7 * i), end, 0, 0, 0, 0, 0, 0, None, None)
+        for i, end in enumerate([MONDAY + timedelta(days=6), MONDAY + timedelta(days=13), date(5999, 12, 30)])
+    ]
+
+
+def test_idle_weeks(spark):
+    dim = dimension(spark, [1])
+    reviews, checkins, tips = facts(
+        spark,
+        checkins=[(1, MONDAY + timedelta(days=7), 3), (1, MONDAY + timedelta(days=8), 1)],
+        tips=[(1, MONDAY, 1, None), (1, MONDAY + timedelta(days=14), 2, 5)],
+    )
+    extent = fact_extent(reviews, checkins, tips)
+
+    def values(df):
+        return [tuple(r)[3:] for r in df.orderBy("start_week_date").collect()]
+
+    assert values(tip_measures(dim, tips, extent)) == [(1, 1, 0, 0), (None,) * 4, (2, 3, 5, 5)]
+    assert values(tip_measures(dim, tips, extent, True)) == [(1, 1, 0, 0), (0, 1, 0, 0), (2, 3, 5, 5)]
+    assert values(checkin_measures(dim, checkins, extent)) == [(None, None), (4, 4), (None, None)]
+    assert values(checkin_measures(dim, checkins, extent, True)) == [(0, 0), (4, 4), (0, 4)]
+
+
+def test_no_dates_no_rows(spark):
+    dim = dimension(spark, [1])
+    assert weekly_business(dim, *facts(spark)).collect() == []
+    assert weekly_business(dim, *facts(spark, reviews=[(1, None, 5.0, 1, 1, 1)])).collect() == []
+
+
+def test_only_the_newest_load_of_each_fact_counts(spark):
+    dim = dimension(spark, [1])
+    old = facts(spark, reviews=[(1, MONDAY - timedelta(days=70), 1.0, 1, 1, 1)], tips=[(1, MONDAY, 7, 7)], load=OLD)
+    new = facts(spark, reviews=[(1, MONDAY, 2.0, 2, 2, 2)])
+    both = [old[0].unionByName(new[0]), old[1].unionByName(new[1]), old[2]]
+    got = weekly_business(dim, *both).collect()
+    assert [(r.weekly_review_useful_cnt, r.weekly_tips_cnt) for r in got] == [(2, 7)]
+
+
+def naive_mart(dim, reviews, checkins, tips, filled):
+    """Range joins of the whole spine with every fact, windows over all weeks, then joins of the three results."""
+    reviews, checkins, tips = latest_load(reviews), latest_load(checkins), latest_load(tips)
+    extent = date_extent((reviews, "review_date"), (checkins, "checkin_date"), (tips, "tips_date"))
+    spine = dim.filter("is_current").select("business_id").crossJoin(week_spine(extent))
+    running = Window.partitionBy("business_id").orderBy("start_week_date")
+
+    def measured(fact, day, values, shown_always):
+        f = fact.withColumnRenamed("business_id", "_b")
+        on = (F.col("business_id") == F.col("_b")) & F.col(day).between(F.col("start_week_date"), F.col("end_week_date"))
+        weekly = spine.join(f, on, "left").groupBy("business_id", "start_week_date", "end_week_date").agg(
+            F.count("_b").alias("hits"), *[F.sum(F.coalesce(F.expr(v), F.lit(0))).alias(n) for n, v in values.items()]
+        )
+        shown = F.lit(True) if shown_always else F.col("hits") > 0
+        return weekly.select(
+            "business_id", "start_week_date", "end_week_date",
+            *[F.when(shown, F.col(n)).alias(f"weekly_{n}") for n in values],
+            *[F.when(shown, F.sum(n).over(running)).alias(f"aggregated_{n}") for n in values],
+        )
+
+    votes = {n: n for n in ("review_useful_cnt", "review_funny_cnt", "review_cool_cnt")}
+    r = measured(reviews, "review_date", votes | {"s": "review_stars", "n": "int(review_stars is not null)"}, True)
+    c = measured(checkins, "checkin_date", {"checkin_appearance_cnt": "cnt_appearance"}, filled)
+    t = measured(tips, "tips_date", {"tips_cnt": "tips_cnt", "compliments_cnt": "tips_sum_of_compliments"}, filled)
+    keys = ["business_id", "start_week_date", "end_week_date"]
+    joined = r.join(c, keys, "left").join(t, keys, "left").join(dim.drop("is_current"), "business_id", "left")
+    for span in ("weekly", "aggregated"):
+        joined = joined.withColumn(
+            f"{span}_review_stars_avg", average_or_null(F.col(f"{span}_s"), F.col(f"{span}_n"))
+        )
+    return joined.withColumnsRenamed(
+        {"business_stars": "final_amount_business_stars", "business_review_count": "final_amount_business_review_count"}
+    )
+
+
+@pytest.mark.parametrize("seed,filled", [(1, False), (2, True), (3, False)])
+def test_equals_the_naive_range_join_form(spark, seed, filled):
+    rng = random.Random(seed)
+
+    def day():
+        return None if rng.random() < 0.05 else MONDAY + timedelta(days=rng.randrange(90))
+
+    def some(top):
+        return None if rng.random() < 0.2 else rng.randrange(top)
+
+    # One business has half of all rows.
+    def business():
+        return 1 if rng.random() < 0.5 else rng.choice([-1, 2, 3, 4, 8, 9])
+
+    dim = dimension(spark, [1, 2, 3, 4, 5], closed=[8])
+    built = facts(
+        spark,
+        reviews=[
+            (business(), day(), None if rng.random() < 0.3 else rng.randrange(2, 11) / 2, some(9), some(9), some(9))
+            for _ in range(150)
+        ],
+        checkins=[(business(), day(), some(5)) for _ in range(40)],
+        tips=[(business(), day(), rng.randrange(1, 4), some(5)) for _ in range(40)],
+    )
+    mart = weekly_business(dim, *built, fill_idle_weeks=filled)
+    naive = naive_mart(dim, *built, filled).select(*mart.columns)
+    assert len(mart.columns) == 22
+    assert sorted(mart.collect(), key=str) == sorted(naive.collect(), key=str)
+
+
+def test_mart_plan(spark):
+    plan = formatted(weekly_business(dimension(spark, [1, 2]), *facts(spark, reviews=[(1, MONDAY, 1.0, 1, 1, 1)])))
+    main = plan.split("===== Subqueries =====")[0]
+    tree = main.split("\n\n\n")[0]
+    assert "Cartesian" not in main and "NestedLoop" not in main and "SinglePartition" not in main
+    # Nothing is shuffled after the weeks are spread, and the three facts share one aggregation.
+    assert tree.index("Generate") < tree.index("Exchange") and tree.count("Generate") == 1
+    assert tree.count("HashAggregate") == 2

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.durable import materialise
 from tidemark.functions.changes import attrs_differ
 from tidemark.load import LOAD_ID, LoadContext
 from tidemark.operators.keys import dense_number, drop_null_keys, highest, lay_out, require_unique
@@ -124,8 +125,10 @@ def scd2_delta(
             _IN_PLACE,
         )
     )
-    # Stored once: numbering, the new versions and the retirement of old ones all see the same rows.
-    stored = lay_out(arriving, spec.key_names, skip=F.col(_IN_PLACE))
+    # Stored before it is laid out, since range partitioning reads its input twice (first to sample it), and
+    # the join behind these few rows is the dear part. The laid-out rows are stored as well: numbering, the
+    # new versions and the retirement of old ones all see the same ones.
+    stored = lay_out(materialise(arriving, "arriving"), spec.key_names, skip=F.col(_IN_PLACE))
 
     fresh = dense_number(stored, _NUMBER).withColumns(
         {
