@@ -418,6 +418,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT user_id, event_id, event_type, value
               FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
              WHERE rn = 1""",
+        "rejected_keys": f"SELECT count(*) AS rejected FROM ({business_increment(1)}) WHERE business_state IS NULL",
         "scd2_unaffected": query(
             two, f"SELECT {BUSINESS_COLUMNS} FROM business_1 WHERE business_id NOT IN ({changed})"
         ),

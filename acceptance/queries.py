@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from acceptance import star
 from tidemark.durable import fresh_path, materialise
 from tidemark.entities import DIM_BUSINESSES, DIM_USERS, entity_spec, entity_specs
 from tidemark.load import LOAD_DATE, LOAD_ID, stamp
-from tidemark.operators.keys import assign_surrogates, latest_per_key
+from tidemark.operators.keys import assign_surrogates, latest_per_key, rejected_keys
 from tidemark.operators.loads import latest_load
 from tidemark.operators.lookup import lookup_effective
 from tidemark.operators.scd2 import (
@@ -26,7 +27,7 @@ from tidemark.operators.scd2 import (
 )
 from tidemark.operators.weeks import member_weeks, week_spine
 from tidemark.plans.facts import checkin_dates, fact_checkins, fact_reviews, fact_tips, rejected_dates
-from tidemark.plans.lake import Lake, ingest, run_load
+from tidemark.plans.lake import Lake, ingest, run_jobs, run_load
 from tidemark.plans.mart import checkin_measures, fact_extent, review_measures, tip_measures, weekly_business
 from tidemark.sinks.writers import publish_dimension, publish_fact, write_bronze
 from tidemark.sources.readers import empty_table, read_entity, read_or_empty, read_table, since_load
@@ -149,6 +150,11 @@ def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.select("user_id", "event_id", "event_type", "value")
 
 
+def rejected_business_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed businesses that a key of id and state would refuse: those whose state is still missing."""
+    return rejected_keys(star.raw_businesses(spark, sf_dir, 1), ["business_id", "state"])
+
+
 def scd2_unaffected(spark: SparkSession, sf_dir: str) -> DataFrame:
     current = _merged_businesses(spark, sf_dir, 1)
     changed = changed_rows(current, _businesses(spark, sf_dir, 2), DIM_BUSINESSES)
@@ -282,11 +288,14 @@ def two_loads_to_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     for n in (1, 2):
         landing = fresh_path(spark, "landing")
         early = F.lit(n > 1) | (F.col("date") < F.lit(star.FIRST_SNAPSHOT_ENDS.isoformat()))
-        _land(star.raw_businesses(spark, sf_dir, n), landing, "business")
-        _land(star.raw_users(spark, sf_dir, n), landing, "user")
-        _land(star.raw_reviews(spark, sf_dir).filter(early), landing, "review")
-        _land(star.raw_tips(spark, sf_dir).filter(early), landing, "tip")
-        _land(star.raw_checkins(spark, sf_dir), landing, "checkin")
+        entities = {
+            "review": star.raw_reviews(spark, sf_dir).filter(early),
+            "tip": star.raw_tips(spark, sf_dir).filter(early),
+            "checkin": star.raw_checkins(spark, sf_dir),
+            "user": star.raw_users(spark, sf_dir, n),
+            "business": star.raw_businesses(spark, sf_dir, n),
+        }
+        run_jobs(spark, [partial(_land, rows, landing, name) for name, rows in entities.items()], workers=4)
         run_load(spark, lake, star.LOADS[n], landing, workers=4)
     return read_table(spark, lake.gold())
 
@@ -303,6 +312,7 @@ QUERIES: dict[str, Query] = {
     "changed_rows_null_safe": changed_rows_null_safe,
     "changed_rows_null_sentinels": changed_rows_null_sentinels,
     "latest_per_key": latest_event_per_user,
+    "rejected_keys": rejected_business_keys,
     "scd2_unaffected": scd2_unaffected,
     "scd2_new_keys": scd2_new_keys,
     "scd2_expired": scd2_expired,

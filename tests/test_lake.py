@@ -8,6 +8,7 @@ from datetime import date
 import pytest
 
 from tidemark.entities import DIM_BUSINESSES, DIM_USERS, FILE_PREFIX
+from tidemark.jobs import arguments, main
 from tidemark.load import LoadContext
 from tidemark.plans.lake import Lake, build_dimension, build_facts, build_mart, read_dimension, read_fact, run_load
 from tidemark.sources.readers import read_table
@@ -101,3 +102,20 @@ def test_dimension_from_several_bronze_loads_takes_the_newest_row(spark, lake):
     build_dimension(spark, other, DIM_BUSINESSES, SECOND, after_load=0)
     got = sorted((r.business_nk, r.business_stars) for r in read_dimension(spark, other, DIM_BUSINESSES).collect())
     assert got == [("a", 4.0), ("b", 5.0)]
+
+
+def test_command_line_in_steps_equals_a_whole_load(spark, lake, tmp_path):
+    root = str(tmp_path / "lake")
+    for n, load in [(1, FIRST), (2, SECOND)]:
+        common = ["--root", root, "--ctl_loading", str(load.load_id), "--ctl_loading_date", str(load.load_date)]
+        main(["bronze", *common, "--landing", f"{lake.root}/../landing{n}", "--workers", "3"], spark)
+        main(["silver", *common, "--workers", "3"], spark)
+    main(["gold", *common], spark)
+    mine, theirs = read_table(spark, Lake(root).gold()), read_table(spark, lake.gold())
+    assert sorted(map(str, mine.collect())) == sorted(map(str, theirs.collect()))
+
+
+def test_command_line_refuses_incomplete_calls():
+    for argv in [["all", "--root", "r", "--ctl_loading", "1", "--ctl_loading_date", "2020-01-01"], ["gold"], ["iron"]]:
+        with pytest.raises(SystemExit):
+            arguments(argv)

@@ -213,3 +213,20 @@ def test_publish_does_not_touch_older_history(spark, tmp_path):
         publish_dimension(scd2_delta(current, arriving, SPEC, LOADS[n]), str(path))
         assert all(p.exists() and p.stat().st_mtime_ns == t for p, t in before.items())
     assert len(list(path.glob("is_current=false/*"))) == 2
+
+
+def test_two_publishes_on_one_day_keep_all_closed_versions(spark, tmp_path):
+    path = str(tmp_path / "dim")
+
+    def load(number, day, arriving):
+        delta = scd2_delta(read_or_empty(spark, path, SPEC.schema), increment(spark, arriving), SPEC, LoadContext(number, day))
+        publish_dimension(delta, path)
+
+    load(1, DAYS[0], [("a", "A", 1.0), ("b", "B", 1.0), ("c", "C", 1.0)])
+    load(2, DAYS[1], [("a", "A2", 1.0)])
+    load(3, DAYS[1], [("a", "A3", 1.0), ("b", "B3", 1.0)])
+    got = [(r[0], r[1], r[2], r[4], r[7]) for r in rows(read_or_empty(spark, path, SPEC.schema))]
+    assert got == [
+        (1, "a", "A", 2, False), (2, "b", "B", 3, False), (3, "c", "C", 1, True),
+        (4, "a", "A3", 3, True), (5, "b", "B3", 3, True),
+    ]

@@ -23,9 +23,8 @@ _WEEK, _NEXT = "_week", "_next"
 
 def date_extent(*dated: tuple[DataFrame, str]) -> DataFrame:
     """One row with the smallest and the largest date over all given (rows, date column) pairs."""
-    extents = [df.agg(F.min(day).alias("min_date"), F.max(day).alias("max_date")) for df, day in dated]
-    both = reduce(DataFrame.unionByName, extents)
-    return both.agg(F.min("min_date").alias("min_date"), F.max("max_date").alias("max_date"))
+    days = reduce(DataFrame.unionByName, [df.select(F.col(day).alias("day")) for df, day in dated])
+    return days.agg(F.min("day").alias("min_date"), F.max("day").alias("max_date"))
 
 
 def with_calendar(members: DataFrame, extent: DataFrame) -> DataFrame:
