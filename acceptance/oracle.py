@@ -273,11 +273,14 @@ CALENDAR = {
         SELECT min(day) AS min_date, max(day) AS max_date
           FROM (SELECT review_date AS day FROM latest_reviews UNION ALL SELECT checkin_date FROM latest_checkins
                 UNION ALL SELECT tips_date FROM latest_tips)""",
+    "mondays": """
+        SELECT CAST(unnest(generate_series(date_trunc('week', min_date), date_trunc('week', max_date),
+                                           INTERVAL 7 DAY)) AS DATE) AS start_week_date FROM extent""",
     "weeks": """
-        SELECT start_week_date, CAST(lead(start_week_date, 1, DATE '5999-12-31') OVER (ORDER BY start_week_date) - 1 AS DATE)
-                   AS end_week_date
-          FROM (SELECT CAST(unnest(generate_series(date_trunc('week', min_date), date_trunc('week', max_date),
-                                                   INTERVAL 7 DAY)) AS DATE) AS start_week_date FROM extent)""",
+        SELECT start_week_date,
+               CASE WHEN start_week_date = max(start_week_date) OVER () THEN DATE '5999-12-30'
+                    ELSE start_week_date + 6 END AS end_week_date
+          FROM mondays""",
     "spine": """
         SELECT business_id, start_week_date, end_week_date FROM weeks
          CROSS JOIN (SELECT business_id FROM dim_businesses WHERE is_current)""",
@@ -293,78 +296,66 @@ def average(total: str, count: str) -> str:
     )
 
 
-REVIEW_MEASURES = {
-    "weekly_reviews": """
-        SELECT s.business_id, s.start_week_date, s.end_week_date,
-               CAST(sum(coalesce(r.review_useful_cnt, 0)) AS BIGINT) AS useful,
-               CAST(sum(coalesce(r.review_funny_cnt, 0)) AS BIGINT) AS funny,
-               CAST(sum(coalesce(r.review_cool_cnt, 0)) AS BIGINT) AS cool,
-               CAST(sum(coalesce(r.review_stars, 0)) AS BIGINT) AS stars, count(r.review_stars) AS n
-          FROM spine s
-          LEFT JOIN latest_reviews r ON r.business_id = s.business_id
-           AND r.review_date >= s.start_week_date AND r.review_date <= s.end_week_date
-         GROUP BY s.business_id, s.start_week_date, s.end_week_date""",
-    "review_measures": f"""
-        SELECT business_id, start_week_date, end_week_date,
-               useful AS weekly_review_useful_cnt, CAST(aggregated_useful AS BIGINT) AS aggregated_review_useful_cnt,
-               funny AS weekly_review_funny_cnt, CAST(aggregated_funny AS BIGINT) AS aggregated_review_funny_cnt,
-               cool AS weekly_review_cool_cnt, CAST(aggregated_cool AS BIGINT) AS aggregated_review_cool_cnt,
-               {average('stars', 'n')} AS weekly_review_stars_avg,
-               {average('all_stars', 'all_n')} AS aggregated_review_stars_avg
-          FROM (SELECT *, sum(useful) {RUNNING} AS aggregated_useful, sum(funny) {RUNNING} AS aggregated_funny,
-                       sum(cool) {RUNNING} AS aggregated_cool, sum(stars) {RUNNING} AS all_stars,
-                       sum(n) {RUNNING} AS all_n FROM weekly_reviews)""",
-}
+SPINE_KEY = "business_id, start_week_date, end_week_date"
+VOTES = ["review_useful_cnt", "review_funny_cnt", "review_cool_cnt"]
 
 
-def sparse_measures(fact: str, day: str, values: dict[str, str], filled: bool) -> str:
-    """Weekly and running sums of a fact on the spine; in weeks without rows NULL, or carried on when filled."""
-    sums = ", ".join(f"CAST(sum(coalesce(f.{v}, 0)) AS BIGINT) AS {n}" for n, v in values.items())
-    shown = "TRUE" if filled else "hits > 0"
+def measures(fact: str, day: str, values: dict[str, str], idle_shown: bool) -> str:
+    """Weekly and running sums of a fact on the spine; idle weeks are NULL, or 0 and carried on when shown."""
+    sums = ", ".join(f"CAST(sum(coalesce({value}, 0)) AS BIGINT) AS {name}" for name, value in values.items())
+    running = ", ".join(f"CAST(sum({name}) {RUNNING} AS BIGINT) AS all_{name}" for name in values)
+    shown = "TRUE" if idle_shown else "hits > 0"
     columns = ", ".join(
-        f"CASE WHEN {shown} THEN {n} END AS weekly_{n}, CASE WHEN {shown} THEN CAST(all_{n} AS BIGINT) END AS aggregated_{n}"
-        for n in values
+        f"CASE WHEN {shown} THEN {column} END AS {span}_{name}"
+        for name in values
+        for span, column in (("weekly", name), ("aggregated", f"all_{name}"))
     )
-    running = ", ".join(f"sum({n}) {RUNNING} AS all_{n}" for n in values)
-    return f"""
-        SELECT business_id, start_week_date, end_week_date, {columns}
-          FROM (SELECT *, {running}
-                  FROM (SELECT s.business_id, s.start_week_date, s.end_week_date, count(f.business_id) AS hits, {sums}
-                          FROM spine s
-                          LEFT JOIN {fact} f ON f.business_id = s.business_id
-                           AND f.{day} >= s.start_week_date AND f.{day} <= s.end_week_date
-                         GROUP BY s.business_id, s.start_week_date, s.end_week_date))"""
+    weekly = f"""
+        SELECT {', '.join(f'spine.{c}' for c in SPINE_KEY.split(', '))}, count({fact}.business_id) AS hits, {sums}
+          FROM spine LEFT JOIN {fact} ON {fact}.business_id = spine.business_id
+               AND {day} BETWEEN start_week_date AND end_week_date
+         GROUP BY ALL"""
+    return f"SELECT {SPINE_KEY}, {columns} FROM (SELECT *, {running} FROM ({weekly}))"
+
+
+def review_measures() -> str:
+    values = {vote: vote for vote in VOTES}
+    values |= {"stars": "review_stars", "rated": "CAST(review_stars IS NOT NULL AS BIGINT)"}
+    columns = [f"{span}_{vote}" for vote in VOTES for span in ("weekly", "aggregated")]
+    columns += [
+        f"{average(f'{span}_stars', f'{span}_rated')} AS {span}_review_stars_avg" for span in ("weekly", "aggregated")
+    ]
+    sums = measures("latest_reviews", "review_date", values, idle_shown=True)
+    return f"SELECT {SPINE_KEY}, {', '.join(columns)} FROM ({sums})"
 
 
 def checkin_measures(filled: bool = False) -> str:
-    return sparse_measures(
-        "latest_checkins", "checkin_date", {"checkin_appearance_cnt": "cnt_appearance"}, filled
-    )
+    return measures("latest_checkins", "checkin_date", {"checkin_appearance_cnt": "cnt_appearance"}, filled)
 
 
 def tip_measures(filled: bool = False) -> str:
     values = {"tips_cnt": "tips_cnt", "compliments_cnt": "tips_sum_of_compliments"}
-    return sparse_measures("latest_tips", "tips_date", values, filled)
-
-
-MART_SELECT = """
-    SELECT r.business_id, b.business_name, r.end_week_date, b.business_address, b.business_city,
-           b.business_postal_code, b.business_stars AS final_amount_business_stars,
-           b.business_review_count AS final_amount_business_review_count,
-           r.weekly_review_useful_cnt, r.aggregated_review_useful_cnt, r.weekly_review_funny_cnt,
-           r.aggregated_review_funny_cnt, r.weekly_review_cool_cnt, r.aggregated_review_cool_cnt,
-           r.weekly_review_stars_avg, r.aggregated_review_stars_avg, c.weekly_checkin_appearance_cnt,
-           c.aggregated_checkin_appearance_cnt, t.weekly_tips_cnt, t.aggregated_tips_cnt,
-           t.weekly_compliments_cnt, t.aggregated_compliments_cnt
-      FROM review_measures r
-      LEFT JOIN checkin_measures c ON c.business_id = r.business_id AND c.start_week_date = r.start_week_date
-      LEFT JOIN tip_measures t ON t.business_id = r.business_id AND t.start_week_date = r.start_week_date
-      LEFT JOIN dim_businesses b ON b.business_id = r.business_id"""
+    return measures("latest_tips", "tips_date", values, filled)
 
 
 def mart(base: dict[str, str], filled: bool = False) -> str:
-    measures = {"checkin_measures": checkin_measures(filled), "tip_measures": tip_measures(filled)}
-    return query(base | CALENDAR | REVIEW_MEASURES | measures, MART_SELECT)
+    """All measures are dense on the spine, so they meet by their common key."""
+    measured = {
+        "of_reviews": review_measures(),
+        "of_checkins": checkin_measures(filled),
+        "of_tips": tip_measures(filled),
+        "attributes": """
+            SELECT business_id, business_name, business_address, business_city, business_postal_code,
+                   business_stars AS final_amount_business_stars,
+                   business_review_count AS final_amount_business_review_count
+              FROM dim_businesses WHERE is_current""",
+    }
+    return query(
+        base | CALENDAR | measured,
+        f"""SELECT * EXCLUDE (start_week_date)
+              FROM of_reviews JOIN of_checkins USING ({SPINE_KEY}) JOIN of_tips USING ({SPINE_KEY})
+              JOIN attributes USING (business_id)""",
+    )
 
 
 MART_BASE = {"dim_businesses": DIM_BUSINESSES, **MART_FACTS}
@@ -466,7 +457,7 @@ def oracle_sql() -> dict[str, str]:
         "date_extent_union": query(calendar, "SELECT min_date, max_date FROM extent"),
         "week_spine": query(calendar, "SELECT start_week_date, end_week_date FROM weeks"),
         "business_week_spine": query(calendar, "SELECT business_id, start_week_date, end_week_date FROM spine"),
-        "weekly_review_measures": query(calendar | REVIEW_MEASURES, "SELECT * FROM review_measures"),
+        "weekly_review_measures": query(calendar, review_measures()),
         "weekly_checkin_measures": query(calendar, checkin_measures()),
         "weekly_tip_measures": query(calendar, tip_measures()),
         "weekly_business_aggregate": mart(MART_BASE),

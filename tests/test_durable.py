@@ -7,12 +7,23 @@ import pytest
 from tidemark.durable import CHECKPOINT_DIR, fresh_path, materialise, shared_folder
 
 
+class Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = f"{folder}/of-this-application"
+
+
 class Session:
     """Just the settings of a session."""
 
     def __init__(self, master, settings):
-        self.sparkContext = SimpleNamespace(master=master)
-        self.conf = SimpleNamespace(get=settings.get, set=settings.__setitem__)
+        self.sparkContext = Context(master)
+        self.conf = SimpleNamespace(get=settings.get)
 
 
 def test_the_folder_of_the_cluster_is_used():

@@ -12,14 +12,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder. Only a local session without one gets a folder of its own."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -104,7 +104,8 @@ def scd2_delta(
     ``increment`` holds one row per natural key, conformed to ``spec``; a second row fails the job. Rows
     without a whole key are dropped (count them with ``rejected_keys``). A key that changes again on the day its version began keeps its surrogate
     and is replaced in place; a load dated before the version fails. Versions already closed on the same day
-    are part of the result, so that it can replace that day's partition.
+    are part of the result, so that it can replace that day's partition. The call stores the changed rows,
+    so it runs jobs; the result itself is lazy.
     """
     started_later = F.col(_SINCE) > F.lit(load.load_date)
     refused = F.raise_error(F.lit(f"{spec.table}: load date {load.load_date} is before the current version"))
