@@ -43,7 +43,7 @@ def publish_dimension(df: DataFrame, path: str, files: int | None = None) -> Non
     """Publish dimension rows by current flag and end of validity.
 
     All current rows share one open end, and a load closes rows at one date only. A load thus replaces the
-    current partition and the one it closes; older history is neither read nor rewritten.
+    current partition and the one it closes; older history is not rewritten.
     """
     replace_partitions(df, path, [IS_CURRENT, EFFECTIVE_TO], files=files)
 
