@@ -7,7 +7,15 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.plans import formatted
-from tidemark.operators.keys import assign_surrogates, drop_null_keys, latest_per_key, rejected_keys, require_unique
+from tidemark.operators.keys import (
+    assign_surrogates,
+    dense_number,
+    drop_null_keys,
+    latest_per_key,
+    lay_out,
+    rejected_keys,
+    require_unique,
+)
 
 
 def test_null_keys_are_dropped_and_counted(spark):
@@ -39,8 +47,16 @@ def test_second_row_of_a_key_fails(spark):
         require_unique(df, ["k"]).collect()
 
 
+@pytest.fixture(params=["true", "false"], ids=["coalesced", "all-partitions"])
+def coalescing(spark, request):
+    """Small data end up in one partition unless coalescing is off; both ways must number alike."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", request.param)
+    yield request.param == "true"
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.mark.parametrize("rows", [0, 1, 7, 1500])
-def test_numbering_equals_global_row_number(spark, rows):
+def test_numbering_equals_global_row_number(spark, coalescing, rows):
     random.seed(rows)
     keys = random.sample(range(10_000_000), rows)
     df = spark.createDataFrame([(f"k{k}", k % 3) for k in keys], "nk string, part int").repartition(7)
@@ -50,6 +66,16 @@ def test_numbering_equals_global_row_number(spark, rows):
     assert sorted(numbered.collect()) == sorted(expected.collect())
 
 
+def test_skipped_rows_leave_no_gap(spark, coalescing):
+    df = spark.range(500).select(F.format_string("k%03d", "id").alias("nk"), (F.col("id") % 3 == 0).alias("old"))
+    laid_out = lay_out(df, ["nk"], skip=F.col("old"))
+    partitions = laid_out.select(F.shiftrightunsigned("_slot", 33)).distinct().count()
+    assert (partitions == 1) if coalescing else (partitions > 4)
+    got = dense_number(laid_out, "n").orderBy("nk").collect()
+    assert [r.n for r in got if not r.old] == list(range(1, 334))
+    assert {r.n for r in got if r.old} == {None}
+
+
 def test_several_surrogates_continue_separately(spark):
     df = spark.createDataFrame([("b",), ("a",)], "nk string")
     used = spark.createDataFrame([(10, 100)], "s1 long, s2 long")
