@@ -1,0 +1,10 @@
+"""Operators of a training-data pipeline.
+
+Their task functions travel to the executors by value, so that executors need no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -131,9 +131,7 @@ def mix(
     aims = materialise(
         targets(parts.groupBy("source").agg(F.sum("words").alias("source_size")), cycle, cap), "mix-targets"
     )
-    quotas = apportion(aims, shards).groupBy("place").agg(
-        (F.sum("quota") * F.max("block")).alias("stream")
-    )
+    quotas = apportion(aims, shards).groupBy("place").agg((F.sum("quota") * F.max("block")).alias("stream"))
     before = Window.partitionBy("place").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     plan = (
         parts.join(aims, parts["source"].eqNullSafe(aims["source"]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, sharding
+from tidemark.llm import mixing, sharding, simhash, trie
 from tidemark.llm.text import word_count
 
 
@@ -19,6 +19,15 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return trie.members(docs, trie.deduplicate(docs, largest=True))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard(docs).drop("text")
@@ -26,7 +35,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_source_mix": op2_source_mix,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id IS NOT DISTINCT FROM max(doc_id) OVER same
+                 AND row_number() OVER (PARTITION BY coalesce(text, ''), doc_id) = 1 AS kept,
+               sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+}
