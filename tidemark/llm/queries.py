@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, sharding, simhash, trie
-from tidemark.llm.text import word_count
+from tidemark.llm import ann_tree, mixing, quality, sharding, simhash, trie
+from tidemark.llm.text import id_remainder, word_count
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.neighbours(read(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("n_words"))
     mixed = mixing.mix(docs, size=F.col("n_words"))
@@ -24,6 +28,14 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.members(docs, trie.deduplicate(docs, largest=True))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = id_remainder(F.col("doc_id"), 3) == 1
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, read(spark, sf_dir, "labels"), learn=~held)
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -34,8 +46,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_kmeans_tree": op1_kmeans_tree,
     "op2_source_mix": op2_source_mix,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_quality": op4_quality,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
 }
