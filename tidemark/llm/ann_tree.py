@@ -249,7 +249,7 @@ def search(index: Index, queries: DataFrame, k: int = 10, block_rows: int = 4096
         "block", F.explode(F.sequence(F.lit(0).cast("long"), (member_parts - 1).cast("long")))
     )
 
-    def compare(asking: pa.Table, there: pa.Table) -> pa.Table:
+    def compare(asking, there):
         x, ids = matrix(there.column("v"), width), np.asarray(there.column("id").fill_null(-1 << 63))
         who, rows, scores = [], [], []
         for own, q in zip(asking.column("id").to_pylist(), matrix(asking.column("v"), width), strict=True):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann_tree, mixing, quality, sharding, simhash, trie
+from tidemark.llm import anchors, ann_tree, mixing, quality, sharding, simhash, trie
 from tidemark.llm.text import id_remainder, word_count
 
 
@@ -36,6 +36,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = anchors.repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
+    "op5_substring_dedup": op5_substring_dedup,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
 }
@@ -61,4 +67,22 @@ ORACLE_SQL: dict[str, str] = {
                  AND row_number() OVER (PARTITION BY coalesce(text, ''), doc_id) = 1 AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op5_substring_dedup": """
+        WITH docs AS (
+          SELECT row_number() OVER () AS place, doc_id,
+                 regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+          FROM documents),
+        windows AS (
+          SELECT place, first, hash(array_to_string(words[first:first + 34], ' ')) AS h,
+                 md5(array_to_string(words[first:first + 34], ' ')) AS m
+          FROM (SELECT place, words, unnest(range(1, len(words) - 33)) AS first FROM docs WHERE len(words) >= 35)),
+        repeated AS (SELECT place, first, count(*) OVER (PARTITION BY h, m) AS n FROM windows),
+        gone AS (
+          SELECT DISTINCT place, unnest(range(first, first + 35)) AS spot FROM repeated WHERE n > 1),
+        lost AS (SELECT place, list(spot) AS spots, count(*) AS n FROM gone GROUP BY place)
+        SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed,
+               sha256(CASE WHEN n IS NULL THEN array_to_string(words, ' ') ELSE array_to_string(
+                 list_transform(list_filter(list_zip(words, range(1, len(words) + 1)),
+                   lambda x: NOT list_contains(spots, x[2])), lambda x: x[1]), ' ') END) AS kept_sha256
+        FROM docs LEFT JOIN lost USING (place)""",
 }
