@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import anchors, ann_tree, mixing, quality, sharding, simhash, trie
+from tidemark.llm import anchors, ann_tree, interpolation, mixing, quality, sharding, simhash, trie
 from tidemark.llm.text import id_remainder, word_count
 
 
@@ -41,6 +41,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return interpolation.score(docs, learn=id_remainder(F.col("doc_id"), 5) != 1)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -56,6 +61,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_interpolation": op6_interpolation,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
 }
