@@ -71,10 +71,11 @@ def shard(
     text = whole(F.col(text_col))
     kept = [c for c in docs.columns if c.lower() not in OUTPUT]
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
+        *[F.col(f"`{c}`").alias(f"row_{i}") for i, c in enumerate(kept)],
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.xxhash64(F.lit(seed), F.col(id_col), text).alias("local_key"),
+        F.xxhash64(F.col(id_col)).alias("id_key"),
     )
     bits = scale_bits(docs.count(), rows_per_part, 6, 12)
     part = F.shiftrightunsigned(F.col("local_key"), 64 - bits).cast("int")
@@ -87,7 +88,7 @@ def shard(
     ends = [(p, [int(x) for x in np.cumsum(c)]) for (p, _), c in zip(part_rows, matrix, strict=True)]
     plan = spark.createDataFrame(ends, "part int, ends array<bigint>")
 
-    tie = [F.xxhash64(F.col(f"row.{id_col}")), "size", "text_crc32"]
+    tie = ["id_key", "size", "text_crc32"]
     local = Window.partitionBy("part").orderBy("local_key", *tie)
     dealt = (
         rows.withColumn("part", part)
@@ -110,7 +111,7 @@ def shard(
         dealt.withColumn("place", F.row_number().over(final) - 1)
         .join(offsets, ["shard", "block"])
         .select(
-            "row.*",
+            *[F.col(f"row_{i}").alias(c) for i, c in enumerate(kept)],
             "size",
             "text_crc32",
             F.lit("rows").alias("law"),
