@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import anchors, ann_tree, interpolation, mixing, quality, sharding, simhash, trie
+from tidemark.llm import anchors, ann_tree, interpolation, licences, mixing, pieces, quality, sharding, simhash, trie
 from tidemark.llm.text import id_remainder, word_count
 
 
@@ -46,6 +46,33 @@ def op6_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.score(docs, learn=id_remainder(F.col("doc_id"), 5) != 1)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = F.array_sort(F.array_distinct(F.transform("findings", lambda f: f["license"])))
+    differing = F.transform("findings", lambda f: F.size(f["missing"]) + F.size(f["extra"]))
+    return found.select(
+        "doc_id",
+        "candidates",
+        F.size("findings").alias("n_found"),
+        F.array_join(names, ",").alias("licenses"),
+        F.array_max(F.transform("findings", lambda f: f["saved"])).alias("saved"),
+        F.array_min(differing).alias("differing_words"),
+    )
+
+
+def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pieces.round_trip(docs, pieces.default_model())
+    return done.select(
+        "doc_id",
+        "variant",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_xxhash64"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "lossless",
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -62,6 +89,8 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_interpolation": op6_interpolation,
+    "op7_license_scan": op7_license_scan,
+    "op8_merge_dropout": op8_merge_dropout,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
 }
