@@ -25,7 +25,7 @@ from tidemark.durable import materialise
 
 SAMPLE_ROWS = 20_000
 MOST_LEAVES = 4_096
-CALIBRATION = 64
+CALIBRATION = 128
 BRANCHES = 8
 RESULT = "query_id long, rank int, vec_id long, score double"
 
@@ -155,7 +155,7 @@ def build(
     id_col: str = "vec_id",
     vec_col: str = "embedding",
     k: int = 10,
-    recall: float = 0.97,
+    recall: float = 0.95,
     leaf_rows: int = 128,
     seed: int = 42,
 ) -> Index | None:
@@ -213,49 +213,77 @@ def calibrate(table, tree, queries, ids, k, recall, width) -> tuple[int, float]:
     return min(visits, tree.leaves), reached
 
 
-def search(index: Index, queries: DataFrame, k: int = 10, block_rows: int = 4096, block_queries: int = 256) -> DataFrame:
-    """(query_id, rank, vec_id, score) of ``queries`` (id, v); nearest first, ties to the smaller id."""
+def grouped(counts: list[int], block_rows: int) -> list[int]:
+    """Runs of neighbouring leaves (the tree numbers them from left to right) of about ``block_rows`` rows."""
+    groups, group, held = [], 0, 0
+    for n in counts:
+        if held and held + n > block_rows:
+            group, held = group + 1, 0
+        groups.append(group)
+        held += n
+    return groups
+
+
+def search(index: Index, queries: DataFrame, k: int = 10, block_rows: int = 8192, block_queries: int = 1024) -> DataFrame:
+    """(query_id, rank, vec_id, score) of ``queries`` (id, v); nearest first, ties to the smaller id.
+
+    A query goes once to each group of leaves that it visits, with the list of those leaves, and brings back k rows.
+    """
     tree, width, counts, visits = index.tree, index.width, index.leaf_rows, index.visits
+    group_of = grouped(counts, block_rows)
+    group_rows = [0] * (group_of[-1] + 1)
+    for leaf, group in enumerate(group_of):
+        group_rows[group] += counts[leaf]
 
     def route(batches):
         for batch in batches:
-            x, rows, leaves = matrix(batch.column("v"), width), [], []
-            for i, q in enumerate(x):
-                seen = 0
+            rows, groups, leaves = [], [], []
+            for i, q in enumerate(matrix(batch.column("v"), width)):
+                seen, chosen = 0, {}
                 for n, leaf in enumerate(tree.best_bins(q)):
                     if n >= visits and seen > k:
                         break
-                    rows.append(i)
-                    leaves.append(leaf)
+                    chosen.setdefault(group_of[leaf], []).append(leaf)
                     seen += counts[leaf]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(leaves, pa.int32()), *[c.take(pa.array(rows, pa.int64())) for c in batch.columns]],
-                ["leaf", *batch.schema.names],
-            )
-
-    probes = materialise(queries.mapInArrow(route, "leaf int, id long, v array<double>"), "ann-probes")
-    asked = [0] * tree.leaves
-    for r in probes.groupBy("leaf").count().collect():
-        asked[r["leaf"]] = r["count"]
+                rows += [i] * len(chosen)
+                groups += chosen
+                leaves += chosen.values()
+            arrays = [pa.array(groups, pa.int32()), pa.array(leaves, pa.list_(pa.int32()))]
+            taken = [c.take(pa.array(rows, pa.int64())) for c in batch.columns]
+            yield pa.RecordBatch.from_arrays([*arrays, *taken], ["group", "leaves", *batch.schema.names])
+
+    probes = materialise(
+        queries.mapInArrow(route, "group int, leaves array<int>, id long, v array<double>"), "ann-probes"
+    )
+    asked = [0] * len(group_rows)
+    for r in probes.groupBy("group").count().collect():
+        asked[r["group"]] = r["count"]
 
     def parts(numbers: list[int], size: int):
-        return F.element_at(F.array(*[F.lit(max(1, -(-n // size))) for n in numbers]), F.col("leaf") + 1)
-
-    member_parts, query_parts = parts(counts, block_rows), parts(asked, block_queries)
-    members = index.table.withColumn("block", F.pmod(F.xxhash64("id", "v"), member_parts)).withColumn(
-        "queries", F.explode(F.sequence(F.lit(0), query_parts - 1))
+        return F.element_at(F.array(*[F.lit(max(1, -(-n // size))) for n in numbers]), F.col("group") + 1)
+
+    # Only a leaf of its own can be larger than a block; it is cut, and a group that very many ask is copied.
+    member_parts, query_parts = parts(group_rows, block_rows), parts(asked, block_queries)
+    members = (
+        index.table.withColumn("group", F.element_at(F.array(*map(F.lit, group_of)), F.col("leaf") + 1))
+        .withColumn("block", F.pmod(F.xxhash64("id", "v"), member_parts))
+        .withColumn("queries", F.explode(F.sequence(F.lit(0), query_parts - 1)))
     )
     probes = probes.withColumn("queries", F.pmod(F.xxhash64("id"), query_parts).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), (member_parts - 1).cast("long")))
     )
 
     def compare(asking, there):
-        x, ids = matrix(there.column("v"), width), np.asarray(there.column("id").fill_null(-1 << 63))
+        order = np.argsort(np.asarray(there.column("leaf")), kind="stable")
+        leaf = np.asarray(there.column("leaf"))[order]
+        x, ids = matrix(there.column("v"), width)[order], np.asarray(there.column("id").fill_null(-1 << 63))[order]
         who, rows, scores = [], [], []
-        for own, q in zip(asking.column("id").to_pylist(), matrix(asking.column("v"), width), strict=True):
-            at, distance = nearest(x, ids, q, own, k)
+        points = matrix(asking.column("v"), width)
+        for own, leaves, q in zip(asking.column("id").to_pylist(), asking.column("leaves").to_pylist(), points, strict=True):
+            inside = np.flatnonzero(np.isin(leaf, leaves))
+            at, distance = nearest(x[inside], ids[inside], q, own, k)
             who += [own] * len(at)
-            rows.append(at)
+            rows.append(order[inside[at]])
             scores.append(distance)
         at = np.concatenate(rows) if rows else np.zeros(0, np.int64)
         return pa.table(
@@ -266,7 +294,7 @@ def search(index: Index, queries: DataFrame, k: int = 10, block_rows: int = 4096
             }
         )
 
-    keys = ["leaf", "block", "queries"]
+    keys = ["group", "block", "queries"]
     found = (
         probes.groupBy(*keys)
         .cogroup(members.groupBy(*keys))
