@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm import packets
 from tidemark.llm.text import whole
@@ -155,6 +156,7 @@ def repeats(docs: DataFrame, window: int = 35, text_col: str = "text", id_col: s
         ]
 
     kind = docs.schema[id_col].dataType.simpleString()
+    id_type = to_arrow_type(docs.schema[id_col].dataType)
     schema = f"id {kind}, n_words long, n_removed long, spans array<struct<first:long,last:long>>, kept binary"
 
     def cut(key, left, right):
@@ -181,7 +183,7 @@ def repeats(docs: DataFrame, window: int = 35, text_col: str = "text", id_col: s
         columns = list(zip(*rows, strict=True)) or [[], [], [], []]
         types = [pa.int64(), pa.int64(), span, pa.binary()]
         arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-        return pa.Table.from_arrays([pa.array(chunk.ids), *arrays], ["id", "n_words", "n_removed", "spans", "kept"])
+        return pa.Table.from_arrays([pa.array(chunk.ids, id_type), *arrays], ["id", "n_words", "n_removed", "spans", "kept"])
 
     by_chunk = packed.groupBy("chunk")
     hit = packets.answer(packets.ask(packed, probe), look_up)

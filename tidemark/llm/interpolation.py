@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.durable import materialise
 from tidemark.llm import packets
@@ -241,7 +242,7 @@ def model(docs: DataFrame, learn: Column, text_col: str = "text", id_col: str =
 def score(docs: DataFrame, learn: Column, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per document: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
     stored, corpus = model(docs, learn, text_col, id_col)
-    kind = docs.schema[id_col].dataType.simpleString()
+    kind, id_type = docs.schema[id_col].dataType.simpleString(), to_arrow_type(docs.schema[id_col].dataType)
     names = ["id", "held_out", "n_tokens", "n_known", "base_score", "score"]
 
     def task(batches):
@@ -249,7 +250,7 @@ def score(docs: DataFrame, learn: Column, text_col: str = "text", id_col: str =
             for packs, answers in zip(batch.column("packs"), batch.column("answers").to_pylist(), strict=True):
                 chunk = Tokens(packets.unpack(packs.values))
                 figures = log_scores(chunk, *chunk.counts(answers), corpus)
-                arrays = [pa.array(chunk.ids), pa.array([not x for x in chunk.learn]), *map(pa.array, figures)]
+                arrays = [pa.array(chunk.ids, id_type), pa.array([not x for x in chunk.learn]), *map(pa.array, figures)]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     return (

@@ -92,31 +92,28 @@ class Patricia:
                 yield prefix, node.owner
             stack += [(child, prefix + child.label) for child in node.children.values() if child.spill is None]
 
-    def spill_heaviest(self) -> None:
-        """Move the heaviest subtree below the first fork to a file; texts that lead there are appended from now on."""
+    def spill_heaviest(self) -> bool:
+        """Move the heaviest subtree below the first fork to a file; texts that lead there are appended from now on.
+        False if there is no fork: a single text is held however long it is."""
         node, prefix = self.root, b""
         while len(node.children) == 1 and node.owner is None:
             (child,) = node.children.values()
-            if child.spill is not None or not child.children:
-                break
-            node, prefix = child, prefix + child.label
-
-        def weight(child: Node) -> int:
             if child.spill is not None:
-                return -1
-            return sum(len(n.label) + NODE_BYTES for n in self.nodes(child))
-
-        heaviest = max(node.children.values(), key=weight)
-        freed = weight(heaviest)
-        if freed < 0:
-            return
+                return False
+            node, prefix = child, prefix + child.label
+        open_ = [child for child in node.children.values() if child.spill is None]
+        if not open_ or len(node.children) + (node.owner is not None) < 2:
+            return False
+        weights = [sum(len(n.label) + NODE_BYTES for n in self.nodes(child)) for child in open_]
+        heaviest = open_[weights.index(max(weights))]
         part = tempfile.TemporaryFile()
         for text, owner in self.walk(heaviest, prefix + heaviest.label):
             pickle.dump((text, owner), part)
-        # The shared label is cut to its first byte: whatever differs later belongs to the same subtree.
+        # The label is cut to its first byte: whatever differs later belongs to the same subtree.
         heaviest.label, heaviest.children, heaviest.owner, heaviest.spill = heaviest.label[:1], {}, None, part
         self.parts.append(part)
-        self.bytes -= freed
+        self.bytes -= max(weights)
+        return True
 
     @staticmethod
     def nodes(node: Node) -> Iterator[Node]:
@@ -132,15 +129,15 @@ class Patricia:
         self.root = Node(b"")
         for part in self.parts:
             part.seek(0)
-            rest = Patricia(self.merge)
+            rest, limit = Patricia(self.merge), budget
             while True:
                 try:
                     text, owner = pickle.load(part)
                 except EOFError:
                     break
                 rest.insert(text, owner)
-                if rest.bytes > budget and any(n.spill is None for n in rest.root.children.values()):
-                    rest.spill_heaviest()
+                if rest.bytes > limit and not rest.spill_heaviest():
+                    limit = 2 * rest.bytes
             part.close()
             yield from rest.owners(budget)
 
@@ -150,7 +147,7 @@ class Tries:
 
     def __init__(self, merge, budget: int):
         self.merge, self.budget, self.by_length = merge, budget, {}
-        self.bytes = 0
+        self.bytes, self.limit = 0, budget
 
     def insert(self, text: bytes, owner) -> None:
         trie = self.by_length.get(len(text))
@@ -161,10 +158,13 @@ class Tries:
         self.bytes += trie.bytes - before
 
     def spill(self) -> None:
-        trie = max(self.by_length.values(), key=lambda t: t.bytes)
-        before = trie.bytes
-        trie.spill_heaviest()
-        self.bytes += trie.bytes - before
+        """Take a subtree from the largest trie that has a fork; if none has, look again when twice as much is held."""
+        for trie in sorted(self.by_length.values(), key=lambda t: -t.bytes):
+            before = trie.bytes
+            if trie.spill_heaviest():
+                self.bytes += trie.bytes - before
+                return
+        self.limit = 2 * self.bytes
 
     def owners(self) -> Iterator[tuple[bytes, object]]:
         for length in sorted(self.by_length):
@@ -214,7 +214,7 @@ def trie_round(names: list[str], schema: pa.Schema, largest: bool, budget: int,
             values = [batch.column(name).to_pylist() for name in names]
             for text, copies, key, null, *others in zip(*values, strict=True):
                 tries.insert(text, (key, null, tuple(others), copies))
-                if tries.bytes > budget:
+                if tries.bytes > tries.limit:
                     if last:
                         tries.spill()
                     else:
