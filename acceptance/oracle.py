@@ -36,7 +36,7 @@ def business_increment(load: int) -> str:
     stars = "s_acctbal" if load == 1 else "CASE WHEN s_acctbal >= 5000 THEN s_acctbal + 100 ELSE s_acctbal END"
     if load == 3:
         stars = f"CASE WHEN s_acctbal BETWEEN 3000 AND 7000 THEN ({stars}) + 200 ELSE ({stars}) END"
-    state = "CASE WHEN s_acctbal >= 0 THEN r_name END" if load == 1 else "r_name"
+    state = {1: "CASE WHEN s_acctbal >= 0 THEN r_name END", 2: "r_name", 3: "CASE WHEN s_acctbal >= -500 THEN r_name END"}[load]
     return f"""
     SELECT {key('b', 's_suppkey')} AS business_nk, s_name AS business_name,
            CAST(s_nationkey AS VARCHAR) || ' ' || r_name AS business_address,
@@ -79,9 +79,10 @@ def same_key(keys: list[str], left: str = "i", right: str = "d") -> str:
 
 
 def scd2_chain(
-    name: str, sk: str, keys: list[str], attributes: list[str], increments: list[str]
+    name: str, sk: str, keys: list[str], attributes: list[str], increments: list[str], differs: str | None = None
 ) -> dict[str, str]:
     """CTEs ``<name>_0`` (empty) to ``<name>_n``: the dimension after each load."""
+    differs = differs or differ(attributes)
     columns = ", ".join([*keys, *attributes])
     prefixed = ", ".join(f"i.{c}" for c in [*keys, *attributes])
     ctes = {}
@@ -95,7 +96,7 @@ def scd2_chain(
         day = LOAD_DATES[n]
         ctes[f"{name}_changed_{n}"] = f"""
             SELECT d.{sk}, {prefixed} FROM {prev} d JOIN {inc} i ON {same_key(keys)}
-             WHERE d.is_current AND {differ(attributes)}"""
+             WHERE d.is_current AND {differs}"""
         ctes[f"{name}_{n}"] = f"""
             SELECT * FROM {prev} WHERE {sk} NOT IN (SELECT {sk} FROM {name}_changed_{n})
             UNION ALL
@@ -113,9 +114,37 @@ def scd2_chain(
     return ctes
 
 
-def businesses(loads: int) -> dict[str, str]:
+def businesses(loads: int, differs: str | None = None) -> dict[str, str]:
     increments = [business_increment(n) for n in range(1, loads + 1)]
-    return scd2_chain("business", "business_id", ["business_nk"], BUSINESS_ATTRIBUTES, increments)
+    return scd2_chain("business", "business_id", ["business_nk"], BUSINESS_ATTRIBUTES, increments, differs)
+
+
+def businesses_same_day() -> dict[str, str]:
+    """The third load on the day of the second: versions that began that day are replaced in place."""
+    columns = ", ".join(["business_nk", *BUSINESS_ATTRIBUTES])
+    day = f"DATE '{LOAD_DATES[2]}'"
+    return businesses(2) | {
+        "arriving": business_increment(3),
+        "touched": f"""
+            SELECT d.business_id, i.*, d.effective_from = {day} AS in_place
+              FROM business_2 d JOIN arriving i ON i.business_nk = d.business_nk
+             WHERE d.is_current AND {differ(BUSINESS_ATTRIBUTES)}""",
+        "opened": f"""
+            SELECT {columns} FROM touched WHERE NOT in_place
+            UNION ALL
+            SELECT i.* FROM arriving i LEFT JOIN business_2 d ON d.business_nk = i.business_nk AND d.is_current
+             WHERE d.business_nk IS NULL""",
+        "business_3": f"""
+            SELECT * FROM business_2 WHERE business_id NOT IN (SELECT business_id FROM touched)
+            UNION ALL
+            SELECT business_id, {columns}, 3 AS ctl_loading, effective_from, {day} - 1 AS effective_to, FALSE
+              FROM business_2 WHERE business_id IN (SELECT business_id FROM touched WHERE NOT in_place)
+            UNION ALL
+            SELECT business_id, {columns}, 3, {day}, DATE '9999-12-31', TRUE FROM touched WHERE in_place
+            UNION ALL
+            SELECT row_number() OVER (ORDER BY business_nk) + (SELECT max(business_id) FROM business_2),
+                   {columns}, 3, {day}, DATE '9999-12-31', TRUE FROM opened""",
+    }
 
 
 def users(loads: int) -> dict[str, str]:
@@ -374,12 +403,15 @@ def oracle_sql() -> dict[str, str]:
     )
     conv_columns = dim_columns("conv_id", ["conv_nk", "turn_nk"], CONVERSATION_ATTRIBUTES)
     landed = ", ".join(["business_id", "name", "address", "city", "state", "postal_code", "latitude", "longitude",
-                        "stars", "review_count", "is_open"])
+                        "stars", "review_count", "is_open", "attributes"])
     landed_select = f"""
         SELECT business_nk AS business_id, business_name AS name, business_address AS address, business_city AS city,
                business_state AS state, business_postal_code AS postal_code, business_latitude AS latitude,
                business_longitude AS longitude, business_stars AS stars, business_review_count AS review_count,
-               CAST(business_is_open AS BIGINT) AS is_open FROM ({business_increment(1)})"""
+               CAST(business_is_open AS BIGINT) AS is_open,
+               '{{"BusinessParking":"' || n_name || '"}}' AS attributes
+          FROM ({business_increment(3)})
+          JOIN (SELECT {key('b', 's_suppkey')} AS business_nk, n_name FROM ({PLACES})) USING (business_nk)"""
     calendar = MART_BASE | CALENDAR
     end_to_end = two | users_two | {
         "dim_businesses": "SELECT * FROM business_2",
@@ -391,10 +423,10 @@ def oracle_sql() -> dict[str, str]:
     return {
         "stamp_load_metadata": f"""
             SELECT o_orderkey, o_custkey, 2 AS ctl_loading, DATE '{LOAD_DATES[2]}' AS ctl_loading_date FROM orders""",
-        "rename_and_cast_mapping": business_increment(1),
+        "rename_and_cast_mapping": business_increment(3),
         "nested_field_projection": """
             SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""",
-        "nested_map_projection": f"SELECT {key('b', 's_suppkey')} AS business_id, n_name AS parking FROM ({PLACES}) WHERE r_name <> 'ASIA'",
+        "nested_map_projection": f"SELECT {key('b', 's_suppkey')} AS business_id, n_name AS parking FROM ({PLACES})",
         "json_entity_round_trip": query({"landed": landed_select}, f"SELECT {landed} FROM landed"),
         "bronze_partition_round_trip": ORDERS_SNAPSHOTS,
         "scan_or_empty_first_load": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
@@ -409,7 +441,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT user_id, event_id, event_type, value
               FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
              WHERE rn = 1""",
-        "rejected_keys": f"SELECT count(*) AS rejected FROM ({business_increment(1)}) WHERE business_state IS NULL",
+        "rejected_keys": f"SELECT count(*) AS rejected FROM ({business_increment(3)}) WHERE business_state IS NULL",
         "scd2_unaffected": query(
             two, f"SELECT {BUSINESS_COLUMNS} FROM business_1 WHERE business_id NOT IN ({changed})"
         ),
@@ -429,6 +461,35 @@ def oracle_sql() -> dict[str, str]:
         "scd2_merge_first_load": query(businesses(1), f"SELECT {BUSINESS_COLUMNS} FROM business_1"),
         "scd2_merge_second_load": query(two, f"SELECT {BUSINESS_COLUMNS} FROM business_2"),
         "scd2_merge_third_load": query(businesses(3), f"SELECT {BUSINESS_COLUMNS} FROM business_3"),
+        "scd2_merge_same_day": query(businesses_same_day(), f"SELECT {BUSINESS_COLUMNS} FROM business_3"),
+        "scd2_merge_null_sentinels": query(
+            businesses(2, f"({sentinel_differ})"), f"SELECT {BUSINESS_COLUMNS} FROM business_2"
+        ),
+        "scd2_publish_resumed": query(businesses(3), f"SELECT {BUSINESS_COLUMNS} FROM business_3"),
+        "bronze_keeps_extra_fields": f"""
+            SELECT CASE WHEN s_acctbal >= 0 AND s_nationkey <> 3 THEN {key('b', 's_suppkey')} END AS business_id,
+                   CASE WHEN s_acctbal >= 0 THEN n_name END AS chain,
+                   CASE WHEN s_acctbal >= 0 THEN CAST(s_nationkey AS VARCHAR) END AS floors,
+                   CASE WHEN s_acctbal >= 1000 THEN s_acctbal END AS stars,
+                   s_acctbal < 1000 AS kept_whole
+              FROM ({PLACES})""",
+        "load_quality": f"""
+            SELECT 'business' AS entity, count(*) AS lines, count(*) FILTER (s_acctbal < 0) AS broken,
+                   count(*) FILTER (s_acctbal >= 0 AND s_acctbal < 1000) AS misfit,
+                   count(*) FILTER (s_acctbal >= 0 AND s_nationkey = 3) AS null_keys, CAST(0 AS BIGINT) AS bad_dates,
+                   2 AS ctl_loading FROM supplier
+            UNION ALL
+            SELECT 'checkin', count(*), 0, 0, 0, count(*) FILTER (event_type = 'error'), 2 FROM events""",
+        "fact_reviews_several_loads": query(
+            STAR_DIMS,
+            fact_reviews(2, rows=f"""
+                SELECT * FROM (
+                  SELECT *, 1 AS landed FROM ({RAW_REVIEWS}) WHERE day < {SNAPSHOT}
+                  UNION ALL
+                  SELECT * REPLACE (useful + 1 AS useful), 2 FROM ({RAW_REVIEWS}) WHERE day >= DATE '1996-01-01')
+                QUALIFY rank() OVER (PARTITION BY review_id ORDER BY landed DESC) = 1"""),
+        ),
+        "empty_rerun_clears_load": f"SELECT * FROM ({ORDERS_SNAPSHOTS}) WHERE ctl_loading = 1",
         "scd2_merge_users": query(users_two, f"SELECT {USER_COLUMNS} FROM usr_2"),
         "scd2_merge_composite_key": query(conversations, f"SELECT {conv_columns} FROM conv_2"),
         "scd2_publish_round_trip": query(businesses(3), f"SELECT {BUSINESS_COLUMNS} FROM business_3"),

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from acceptance import star
 from tidemark.durable import fresh_path, materialise
-from tidemark.entities import DIM_BUSINESSES, DIM_USERS, entity_spec, entity_specs
-from tidemark.load import LOAD_DATE, LOAD_ID, stamp
+from tidemark.entities import DIM_BUSINESSES, DIM_USERS, entity_spec, entity_specs, raw_schema
+from tidemark.load import LOAD_DATE, LOAD_ID, LoadContext, stamp
 from tidemark.operators.keys import assign_surrogates, latest_per_key, rejected_keys
 from tidemark.operators.loads import latest_load
 from tidemark.operators.lookup import lookup_effective
@@ -27,11 +27,20 @@ from tidemark.operators.scd2 import (
 )
 from tidemark.operators.weeks import member_weeks, week_spine
 from tidemark.plans.facts import checkin_dates, fact_checkins, fact_reviews, fact_tips, rejected_dates
-from tidemark.plans.lake import Lake, ingest, run_jobs, run_load
+from tidemark.plans.lake import (
+    Lake,
+    bronze_increment,
+    ingest,
+    ingest_load,
+    newest_rows,
+    read_quality,
+    run_jobs,
+    run_load,
+)
 from tidemark.plans.mart import checkin_measures, fact_extent, review_measures, tip_measures, weekly_business
-from tidemark.sinks.writers import publish_dimension, publish_fact, write_bronze
+from tidemark.sinks.writers import complete_publish, publish_dimension, publish_fact, publish_staged, write_bronze
 from tidemark.sources.readers import empty_table, read_entity, read_or_empty, read_table, since_load
-from tidemark.specs import DimSpec, Field
+from tidemark.specs import CORRUPT_RECORD, EXTRA_FIELDS, IS_CURRENT, DimSpec, Field
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,7 +84,7 @@ def stamp_load_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rename_and_cast_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _businesses(spark, sf_dir, 1)
+    return _businesses(spark, sf_dir, 3)
 
 
 def nested_field_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,19 +103,70 @@ def _land(df: DataFrame, landing: str, entity: str) -> None:
 
 def _landed_businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = fresh_path(spark, "landing")
-    _land(star.raw_businesses(spark, sf_dir, 1), landing, "business")
+    _land(star.raw_businesses(spark, sf_dir, 3), landing, "business")
     return read_entity(spark, entity_spec("business"), landing)
 
 
 def json_entity_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed as JSON, ingested to bronze, read back."""
     landing, lake = fresh_path(spark, "landing"), Lake(fresh_path(spark, "lake"))
-    raw = star.raw_businesses(spark, sf_dir, 1)
+    raw = star.raw_businesses(spark, sf_dir, 3)
     _land(raw, landing, "business")
     specs = [spec for spec in entity_specs() if spec == entity_spec("business")]
     ingest(spark, specs, star.LOADS[1], landing, f"{lake.root}/bronze")
     bronze = read_table(spark, lake.bronze("business"), "orc")
-    return bronze.select([c for c in raw.columns if c != "attributes"])
+    return bronze.select(*raw.columns).withColumn("attributes", F.to_json("attributes"))
+
+
+def _dirty_landing(spark: SparkSession, sf_dir: str) -> str:
+    """All suppliers as lines with two fields beyond the schema. Those in debt are cut off, small balances are no
+    number, one nation has no key."""
+    landing = fresh_path(spark, "landing")
+    balance, nation = F.col("s_acctbal"), F.col("s_nationkey")
+    line = F.to_json(
+        F.struct(
+            F.when(nation != 3, star.business_key(F.col("s_suppkey"))).alias("business_id"),
+            F.when(balance >= 1000, balance.cast("string")).otherwise(F.lit("few")).alias("stars"),
+            F.col("n_name").alias("chain"),
+            nation.alias("floors"),
+        )
+    )
+    cut = F.when(balance >= 0, line).otherwise(F.substring(line, 1, 20))
+    star.suppliers(spark, sf_dir).select(cut.alias("value")).write.text(f"{landing}/{entity_spec('business').name}.json")
+    return landing
+
+
+def bronze_keeps_extra_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = Lake(fresh_path(spark, "lake"))
+    ingest_load(spark, lake, star.LOADS[2], _dirty_landing(spark, sf_dir), entities=["business"])
+    bronze = read_table(spark, lake.bronze("business"), "orc", raw_schema("business"))
+    extra = F.col(EXTRA_FIELDS)
+    return bronze.select(
+        "business_id",
+        extra["chain"].alias("chain"),
+        extra["floors"].alias("floors"),
+        "stars",
+        F.col(CORRUPT_RECORD).isNotNull().alias("kept_whole"),
+    )
+
+
+def load_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts taken while businesses with broken lines and check-ins with malformed dates are ingested."""
+    lake, landing = Lake(fresh_path(spark, "lake")), _dirty_landing(spark, sf_dir)
+    _land(star.raw_checkins(spark, sf_dir), landing, "checkin")
+    ingest_load(spark, lake, star.LOADS[2], landing, workers=2, entities=["business", "checkin"])
+    return read_quality(spark, lake).drop(LOAD_DATE)
+
+
+def fact_reviews_several_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping snapshots; the second one has a vote more for each review it brings again."""
+    lake, reviews = Lake(fresh_path(spark, "lake")), star.raw_reviews(spark, sf_dir)
+    early = reviews.filter(F.col("date") < F.lit(star.FIRST_SNAPSHOT_ENDS.isoformat()))
+    late = reviews.filter(F.col("date") >= "1996-01-01").withColumn("useful", F.col("useful") + 1)
+    for n, rows in ((1, early), (2, late)):
+        write_bronze(stamp(rows, star.LOADS[n]), lake.bronze("review"), star.LOADS[n])
+    raw = newest_rows(bronze_increment(spark, lake, "review", star.LOADS[2], after_load=0), ["review_id"])
+    return fact_reviews(raw, *_dims(spark, sf_dir), star.LOADS[2])
 
 
 def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,9 +179,18 @@ def _bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "bronze")
     orders = _order_rows(spark, sf_dir)
     known_early = orders.filter(F.col("o_orderdate") < F.lit(star.FIRST_SNAPSHOT_ENDS))
-    write_bronze(stamp(known_early, star.LOADS[1]), path)
-    write_bronze(stamp(known_early, star.LOADS[2]), path)
-    write_bronze(stamp(orders, star.LOADS[2]), path)
+    write_bronze(stamp(known_early, star.LOADS[1]), path, star.LOADS[1])
+    write_bronze(stamp(known_early, star.LOADS[2]), path, star.LOADS[2])
+    write_bronze(stamp(orders, star.LOADS[2]), path, star.LOADS[2], files=3)
+    return read_table(spark, path, "orc")
+
+
+def empty_rerun_clears_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads; the second is run again and has no rows any more."""
+    path, orders = fresh_path(spark, "bronze"), _order_rows(spark, sf_dir)
+    write_bronze(stamp(orders.filter(F.col("o_orderdate") < F.lit(star.FIRST_SNAPSHOT_ENDS)), star.LOADS[1]), path, star.LOADS[1])
+    for rows in (orders, orders.filter(F.lit(False))):
+        write_bronze(stamp(rows, star.LOADS[2]), path, star.LOADS[2])
     return read_table(spark, path, "orc")
 
 
@@ -152,7 +221,7 @@ def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rejected_business_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed businesses that a key of id and state would refuse: those whose state is still missing."""
-    return rejected_keys(star.raw_businesses(spark, sf_dir, 1), ["business_id", "state"])
+    return rejected_keys(star.raw_businesses(spark, sf_dir, 3), ["business_id", "state"])
 
 
 def scd2_unaffected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,6 +267,36 @@ def scd2_publish_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, schema=spec.schema).select(*spec.columns)
 
 
+def scd2_publish_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, but the third publish breaks off when the closed versions are in place and the current ones are not.
+    The next run completes it, and the load, run again, finds nothing to change."""
+    root, spec = fresh_path(spark, "lake"), DIM_BUSINESSES
+    path, stage = f"{root}/dim", f"{root}/stage"
+
+    def delta(n: int) -> DataFrame:
+        current = read_or_empty(spark, path, spec.schema)
+        return scd2_delta(current, _businesses(spark, sf_dir, n), spec, star.LOADS[n])
+
+    for n in (1, 2):
+        publish_staged(delta(n), path, stage, spec)
+    delta(3).write.parquet(stage)
+    publish_dimension(spark.read.schema(spec.schema).parquet(stage).filter(~F.col(IS_CURRENT)), path)
+    complete_publish(spark, path, stage, spec)
+    publish_staged(delta(3), path, stage, spec)
+    return read_table(spark, path, schema=spec.schema).select(*spec.columns)
+
+
+def scd2_merge_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third load on the day of the second."""
+    dim = materialise(_merged_businesses(spark, sf_dir, 2), "dim")
+    return scd2_merge(dim, _businesses(spark, sf_dir, 3), DIM_BUSINESSES, LoadContext(3, star.LOADS[2].load_date))
+
+
+def scd2_merge_null_sentinels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dim = materialise(_merged_businesses(spark, sf_dir, 1), "dim")
+    return scd2_merge(dim, _businesses(spark, sf_dir, 2), DIM_BUSINESSES, star.LOADS[2], null_sentinels=True)
+
+
 def lookup_effective_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = checkin_dates(star.raw_checkins(spark, sf_dir)).withColumnRenamed("business_id", "key")
     dim = star.dim_businesses(spark, sf_dir)
@@ -241,8 +340,8 @@ def fact_dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both loads published, then the second once more: its partition is replaced, the first stays."""
     path = fresh_path(spark, "fact")
     tips = star.mart_tips(spark, sf_dir)
-    publish_fact(tips, path)
-    publish_fact(tips.filter(F.col(LOAD_ID) == 2), path)
+    for n in (1, 2, 2):
+        publish_fact(tips.filter(F.col(LOAD_ID) == n), path, star.LOADS[n])
     return read_table(spark, path).withColumn(LOAD_DATE, F.col(LOAD_DATE).cast("date"))
 
 
@@ -340,5 +439,12 @@ QUERIES: dict[str, Query] = {
     "weekly_tip_measures": weekly_tip_measures,
     "weekly_business_aggregate": weekly_business_aggregate,
     "weekly_business_aggregate_filled": weekly_business_aggregate_filled,
+    "bronze_keeps_extra_fields": bronze_keeps_extra_fields,
+    "load_quality": load_quality,
+    "fact_reviews_several_loads": fact_reviews_several_loads,
+    "empty_rerun_clears_load": empty_rerun_clears_load,
+    "scd2_publish_resumed": scd2_publish_resumed,
+    "scd2_merge_same_day": scd2_merge_same_day,
+    "scd2_merge_null_sentinels": scd2_merge_null_sentinels,
     "two_loads_to_mart": two_loads_to_mart,
 }

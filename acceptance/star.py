@@ -49,11 +49,11 @@ def user_key(number: Column) -> Column:
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers with nation and region; those two have 25 and 5 rows at every scale."""
+    """Suppliers with nation and region."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    places = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     supplier = table(spark, sf_dir, "supplier")
-    return supplier.join(F.broadcast(places), F.col("s_nationkey") == F.col("n_nationkey"))
+    return supplier.join(places, F.col("s_nationkey") == F.col("n_nationkey"))
 
 
 def raw_businesses(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
@@ -74,7 +74,7 @@ def raw_businesses(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
         F.col("s_name").alias("name"),
         F.concat_ws(" ", F.col("s_nationkey").cast("string"), F.col("r_name")).alias("address"),
         F.when(unnamed_city, F.lit(None if load == 1 else "")).otherwise(F.col("n_name")).alias("city"),
-        F.when((balance >= 0) | F.lit(load > 1), F.col("r_name")).alias("state"),
+        F.when(balance >= {1: 0, 2: -10_000, 3: -500}[load], F.col("r_name")).alias("state"),
         F.lpad(F.col("s_nationkey").cast("string"), 5, "0").alias("postal_code"),
         (F.col("s_nationkey") * 1.5).alias("latitude"),
         (F.col("s_nationkey") * -0.5).alias("longitude"),

@@ -64,9 +64,9 @@ def test_ingest_with_own_reader_and_failure(spark, tmp_path):
 
 def test_rewritten_load_replaces_only_itself(spark, tmp_path):
     path = str(tmp_path / "t")
-    write_bronze(stamp(spark.range(5), LOADS[0]), path)
-    write_bronze(stamp(spark.range(9), LOADS[1]), path)
-    write_bronze(stamp(spark.range(2), LOADS[1]), path, files=1)
+    write_bronze(stamp(spark.range(5), LOADS[0]), path, LOADS[0])
+    write_bronze(stamp(spark.range(9), LOADS[1]), path, LOADS[1])
+    write_bronze(stamp(spark.range(2), LOADS[1]), path, LOADS[1], files=1)
     counts = {r[0]: r[1] for r in read_table(spark, path, "orc").groupBy("ctl_loading").count().collect()}
     assert counts == {1: 5, 2: 2}
 
@@ -74,7 +74,7 @@ def test_rewritten_load_replaces_only_itself(spark, tmp_path):
 def test_fact_publish_leaves_session_conf_alone(spark, tmp_path):
     path = str(tmp_path / "f")
     for load, n in [(LOADS[0], 4), (LOADS[1], 6), (LOADS[1], 3)]:
-        publish_fact(stamp(spark.range(n), load), path)
+        publish_fact(stamp(spark.range(n), load), path, load)
     table = read_table(spark, path)
     assert {r[0]: r[1] for r in table.groupBy("ctl_loading_date").count().collect()} == {
         date(2020, 1, 1): 4, date(2020, 1, 8): 3,

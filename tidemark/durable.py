@@ -4,24 +4,46 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark import files
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+#: Tables stored inside the innermost scratch() of this thread.
+_stored: ContextVar[list[str] | None] = ContextVar("stored", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder. Only a local session without one gets a folder of its own."""
+    """The cluster's checkpoint folder. Only a local session without one gets a folder of its own.
+
+    On a cluster a temporary folder of the machine is refused; a mounted folder that all machines share is not.
+    """
     context = spark.sparkContext
+    local = context.master.startswith("local")
     folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not local:
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         folder = context.getCheckpointDir()
+    if not local and _of_this_machine(folder):
+        raise RuntimeError(f"{CHECKPOINT_DIR} is {folder}, a temporary folder that other machines do not see")
     return folder.rstrip("/")
 
 
+def _of_this_machine(folder: str) -> bool:
+    """Whether a file: path lies under a temporary folder. A path without scheme is on the default file system."""
+    path = folder.removeprefix("file://").removeprefix("file:")
+    if path == folder:
+        return False
+    return any(f"{path}/".startswith(f"{top}/") for top in ("/tmp", "/var/tmp", tempfile.gettempdir()))
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -33,5 +55,21 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     optimizer knows the true size.
     """
     path = fresh_path(df.sparkSession, label)
+    if (stored := _stored.get()) is not None:
+        stored.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that :func:`materialise` stores inside, also after a failure. Nothing read lazily from them
+    may be used afterwards."""
+    stored: list[str] = []
+    token = _stored.set(stored)
+    try:
+        yield
+    finally:
+        _stored.reset(token)
+        for path in stored:
+            files.remove(spark, path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from tidemark.specs import CORRUPT_RECORD, DimSpec, EntitySpec, Field
+from tidemark.specs import CORRUPT_RECORD, EXTRA_FIELDS, DimSpec, EntitySpec, Field
 
 STRING, INT, LONG, DOUBLE, DATE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.DateType()
 
@@ -33,9 +33,10 @@ RAW_FIELDS: dict[str, dict[str, T.DataType]] = {
 
 
 def raw_schema(entity: str) -> T.StructType:
-    """Declared landing schema; a line that does not fit it is kept whole in the corrupt-record column."""
+    """Declared landing schema; a line that does not fit it is kept whole in the corrupt-record column, and fields that
+    it does not declare are kept as text by name."""
     fields = [T.StructField(name, dtype) for name, dtype in RAW_FIELDS[entity].items()]
-    return T.StructType([*fields, T.StructField(CORRUPT_RECORD, STRING)])
+    return T.StructType([*fields, T.StructField(CORRUPT_RECORD, STRING), T.StructField(EXTRA_FIELDS, TEXT_MAP)])
 
 
 def entity_spec(entity: str, prefix: str = FILE_PREFIX, declared: bool = True) -> EntitySpec:
@@ -49,7 +50,14 @@ def entity_spec(entity: str, prefix: str = FILE_PREFIX, declared: bool = True) -
 def entity_specs(prefix: str = FILE_PREFIX, declared: bool = True) -> list[EntitySpec]:
     return [entity_spec(entity, prefix, declared) for entity in RAW_FIELDS]
 
+# What is counted of each entity at its load: rows without these fields, and dates in this field that are none.
+KEY_FIELDS = {
+    "business": ["business_id"], "checkin": ["business_id"], "review": ["review_id", "business_id", "user_id"],
+    "tip": ["business_id", "user_id"], "user": ["user_id"],
+}
+DATE_FIELDS = {"checkin": "date", "review": "date", "tip": "date", "user": "yelping_since"}
 
+# The target column names of both dimensions.
 DIM_BUSINESSES = DimSpec(
     table="dim_businesses",
     entity="business",

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.load import LOAD_DATE, LOAD_ID
-from tidemark.specs import EFFECTIVE_TO, IS_CURRENT
+from tidemark import files as folders
+from tidemark.load import LOAD_DATE, LOAD_ID, LoadContext
+from tidemark.specs import EFFECTIVE_TO, IS_CURRENT, DimSpec
+
+# Fixed value: Spark leaves this file when all parts of a table are written. The other one is ours.
+WHOLE, DONE = "_SUCCESS", "_PUBLISHED"
 
 
 def _spread(df: DataFrame, files: int | None) -> DataFrame:
@@ -21,7 +26,8 @@ def replace_partitions(
     """Replace exactly the partitions that occur in ``df``, at commit time.
 
     Spark writes beside the table and swaps the partition folders when the job commits, so the table
-    may be read by the very plan that replaces it, and a failed job leaves it as it was.
+    may be read by the very plan that replaces it, and a job that fails before its commit leaves it as it was.
+    A commit that breaks off may leave some folders swapped and some not: see :func:`publish_staged`.
     """
     (
         _spread(df, files)
@@ -34,9 +40,23 @@ def replace_partitions(
     )
 
 
-def write_bronze(df: DataFrame, path: str, files: int | None = None) -> None:
+def replace_load(
+    df: DataFrame, path: str, column: str, value: object, fmt: str = "parquet", files: int | None = None
+) -> None:
+    """Replace the one partition of a load, also by nothing: without rows no folder remains.
+
+    The rows are counted while they are written.
+    """
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    replace_partitions(counted, path, [column], fmt, files)
+    if not written.get["rows"]:
+        folders.remove(df.sparkSession, f"{path}/{column}={value}")
+
+
+def write_bronze(df: DataFrame, path: str, load: LoadContext, files: int | None = None) -> None:
     """Raw rows as ORC, one partition per load; other loads stay."""
-    replace_partitions(df, path, [LOAD_ID], "orc", files)
+    replace_load(df, path, LOAD_ID, load.load_id, "orc", files)
 
 
 def publish_dimension(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -48,9 +68,42 @@ def publish_dimension(df: DataFrame, path: str, files: int | None = None) -> Non
     replace_partitions(df, path, [IS_CURRENT, EFFECTIVE_TO], files=files)
 
 
-def publish_fact(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Publish one load's snapshot of a fact; running the load again replaces it."""
-    replace_partitions(df, path, [LOAD_DATE], files=files)
+def publish_staged(
+    delta: DataFrame, path: str, stage: str, spec: DimSpec, files: int | None = None
+) -> None:
+    """Publish a dimension so that a publish which breaks off can be taken up again.
+
+    The delta is first stored whole in ``stage``, on the lake's own file system. From there the closed partition is
+    published, then the current one: at each moment every version is in the table or in the stage.
+    """
+    _spread(delta, files).write.mode("overwrite").parquet(stage)
+    _from_stage(delta.sparkSession, path, stage, spec, files)
+
+
+def complete_publish(spark: SparkSession, path: str, stage: str, spec: DimSpec, files: int | None = None) -> bool:
+    """Finish what an earlier run left: a whole stage is published (again), one that was not written whole is dropped.
+    True if something was published."""
+    if not folders.exists(spark, stage):
+        return False
+    whole = folders.exists(spark, f"{stage}/{WHOLE}") and not folders.exists(spark, f"{stage}/{DONE}")
+    if whole:
+        _from_stage(spark, path, stage, spec, files)
+    else:
+        folders.remove(spark, stage)
+    return whole
+
+
+def _from_stage(spark: SparkSession, path: str, stage: str, spec: DimSpec, files: int | None) -> None:
+    staged = spark.read.schema(spec.schema).parquet(stage)
+    for part in (~F.col(IS_CURRENT), F.col(IS_CURRENT)):
+        publish_dimension(staged.filter(part), path, files)
+    folders.touch(spark, f"{stage}/{DONE}")
+    folders.remove(spark, stage)
+
+
+def publish_fact(df: DataFrame, path: str, load: LoadContext, files: int | None = None) -> None:
+    """Publish one load's snapshot of a fact; running the load again replaces it, with rows or without."""
+    replace_load(df, path, LOAD_DATE, load.load_date, files=files)
 
 
 def overwrite_table(df: DataFrame, path: str, files: int | None = None) -> None:

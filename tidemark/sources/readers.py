@@ -3,24 +3,66 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.load import LOAD_ID
-from tidemark.specs import CORRUPT_RECORD, EntitySpec
+from tidemark.specs import CORRUPT_RECORD, EXTRA_FIELDS, EntitySpec
 
 EntityReader = Callable[[SparkSession, EntitySpec, str], DataFrame]
 
 
 def read_entity(spark: SparkSession, spec: EntitySpec, root: str) -> DataFrame:
-    """Scan ``<root>/<name>.<fmt>`` (a file or a folder of files) with the entity's own options."""
+    """Scan ``<root>/<name>.<fmt>`` (a file or a folder of files) with the entity's own options.
+
+    JSON lines with a declared schema keep all they hold: see :func:`parse_lines`.
+    """
+    path = f"{root}/{spec.name}.{spec.fmt}"
+    if spec.fmt == "json" and spec.schema is not None:
+        return parse_lines(spark.read.text(path), spec)
     reader = spark.read.format(spec.fmt).options(**spec.options)
     if spec.schema is not None:
         reader = reader.schema(spec.schema)
-    return reader.load(f"{root}/{spec.name}.{spec.fmt}")
+    return reader.load(path)
+
+
+def parse_lines(lines: DataFrame, spec: EntitySpec) -> DataFrame:
+    """The declared columns of JSON lines (column ``value``), each line parsed once, into texts by field name.
+
+    A field whose text does not fit its type is NULL and its line is kept; a line that is no JSON object has nothing
+    but its text. Fields beyond the schema stay in the map of extra fields.
+    """
+    declared = [f for f in spec.schema if f.name not in (CORRUPT_RECORD, EXTRA_FIELDS)]
+    options = {k: v for k, v in spec.options.items() if k != "columnNameOfCorruptRecord"}
+    parsed = lines.filter(F.trim("value") != "").select(
+        "value", F.from_json("value", "map<string,string>", options).alias("fields")
+    )
+
+    def typed(field: T.StructField) -> Column:
+        text = F.col("fields")[field.name]
+        if isinstance(field.dataType, T.StringType):
+            return text
+        if isinstance(field.dataType, (T.MapType, T.StructType, T.ArrayType)):
+            return F.from_json(text, field.dataType, options)
+        return text.try_cast(field.dataType)
+
+    misfit = [F.col("fields")[f.name].isNotNull() & typed(f).isNull() for f in declared]
+    broken = reduce(or_, misfit, F.col("fields").isNull())
+    names = [f.name for f in declared]
+    kept = {f.name: typed(f) for f in declared}
+    kept[CORRUPT_RECORD] = F.when(broken, F.col("value"))
+    kept[EXTRA_FIELDS] = F.map_filter("fields", lambda name, _: ~name.isin(names))
+    return parsed.select(*[kept[name].alias(name) for name in spec.schema.names])
+
+
+def is_record() -> Column:
+    """Whether a bronze row came from a JSON object, with or without fields that do not fit."""
+    return F.col(CORRUPT_RECORD).isNull() | F.col(EXTRA_FIELDS).isNotNull()
 
 
 def corrupt_rows(df: DataFrame) -> DataFrame:

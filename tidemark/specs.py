@@ -19,7 +19,9 @@ IS_CURRENT = "is_current"
 # Fixed value: the open end of a version's validity.
 OPEN_END = date(9999, 12, 31)
 
+# A line that does not fit, whole; and what a line holds beside the declared fields (NULL if it is no JSON object).
 CORRUPT_RECORD = "_corrupt_record"
+EXTRA_FIELDS = "_extra_fields"
 
 
 @dataclass(frozen=True)
