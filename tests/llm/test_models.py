@@ -250,5 +250,14 @@ def test_dropout_varies_by_key_and_decodes_to_the_text(spark):
 
 def test_all_dropped_leaves_characters():
     words = pieces.vocabulary(MODEL)
-    ids = np.frombuffer(words.encode("ab ▁c", 1, 1.0, {}), "<i4")
+    ids = np.frombuffer(words.encode(["ab ▁c"], 1, 1.0, {})[0], "<i4")
     assert words.decode(ids) == "ab ▁c" and len(ids) == 3 + 1 + 3 + 1
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.2, 0.7])
+def test_encoding_together_equals_one_agenda_each(rate):
+    rng = random.Random(7)
+    words = pieces.vocabulary(MODEL)
+    units = {"▁" * rng.randrange(3) + "".join(rng.choices("abcdefgitnersoué▁ßñ你.,-0", k=rng.randrange(1, 30))) for _ in range(3000)}
+    found = words.encode_units(sorted(units), 11, bound := int(rate * 2**64))
+    assert found == {u: words.encode_unit(u, 11, bound) for u in units}
