@@ -15,9 +15,10 @@ table gives no rows; columns named like an output column are replaced by it.
 
 from __future__ import annotations
 
-import heapq
 import re
+from array import array
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,89 @@ OWN_SPACE = "\ud800"
 CACHED_UNITS = 250_000
 BATCH = 256
 MASK = (1 << 64) - 1
+GOLDEN, MIXER = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
+#: Bits of the place in a candidate; the rank stands above.
+PLACE = 40
+PLACES = (1 << PLACE) - 1
+
+
+#: Units up to this length are encoded together; a longer one has an agenda of its own.
+TOGETHER = 24
+NONE = np.int64(1) << 60
+
+
+class Merges:
+    """Symbols and their merges as arrays. Symbols are the pieces by rank, then the characters inside pieces that are
+    none themselves, then any other character."""
+
+    def __init__(self, rank: dict[str, int], number: dict[str, int]):
+        inside = sorted({c for piece in rank for c in piece} - rank.keys())
+        symbol = rank | {c: len(rank) + n for n, c in enumerate(inside)}
+        self.pieces, self.other = len(rank), len(symbol)
+        self.of_char = np.full(0x110000, self.other, np.int64)
+        for c, n in symbol.items():
+            if len(c) == 1:
+                self.of_char[ord(c)] = n
+        pairs = {}
+        for piece, r in rank.items():
+            for at in range(1, len(piece)):
+                left, right = symbol.get(piece[:at]), symbol.get(piece[at:])
+                if left is not None and right is not None:
+                    pairs[left * (self.other + 1) + right] = r
+        self.keys = np.array(sorted(pairs), np.int64)
+        self.ranks = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        self.numbers = np.array([number[p] for p in sorted(rank, key=rank.get)], "<i4")
+
+    def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the piece that two symbols make, or NONE."""
+        asked = left * (self.other + 1) + right
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        return np.where(self.keys[at] == asked, self.ranks[at], NONE)
+
+    def run(self, units: list[str], keys: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols left of each unit (-1 where one was merged away) after its agenda is empty: in every round each
+        unit takes its best candidate, the leftmost of the best piece, and skips it or merges."""
+        width = max(map(len, units))
+        code = "".join(u.ljust(width, "\0") for u in units).encode("utf-32-le", "surrogatepass")
+        lengths = np.array([len(u) for u in units])
+        symbols = self.of_char[np.frombuffer(code, "<u4").reshape(-1, width)]
+        places = np.arange(width)
+        symbols[places[None, :] >= lengths[:, None]] = -1
+        after = np.tile(places + 1, (len(units), 1))
+        before = np.tile(places - 1, (len(units), 1))
+        best = np.full(symbols.shape, NONE)
+        if width > 1:
+            both = symbols[:, 1:] >= 0
+            best[:, :-1][both] = self.joined(symbols[:, :-1][both], symbols[:, 1:][both])
+        rows = np.arange(len(units))
+        while len(rows):
+            at = best[rows].argmin(1)
+            rank = best[rows, at]
+            open_ = rank < NONE
+            rows, at, rank = rows[open_], at[open_], rank[open_]
+            if bound:
+                top = (rank << PLACE | at).astype(np.uint64)
+                draw = keys[rows] + top * np.uint64(GOLDEN)
+                draw = (draw ^ draw >> np.uint64(29)) * np.uint64(MIXER)
+                skipped = draw < np.uint64(min(bound, MASK))
+                best[rows[skipped], at[skipped]] = NONE
+                taken = ~skipped
+                r, i, rank = rows[taken], at[taken], rank[taken]
+            else:
+                r, i = rows, at
+            j = after[r, i]
+            symbols[r, i], symbols[r, j], best[r, j], best[r, i] = rank, -1, NONE, NONE
+            k = after[r, j]
+            after[r, i] = k
+            more = k < lengths[r]
+            rm, im, km = r[more], i[more], k[more]
+            before[rm, km] = im
+            best[rm, im] = self.joined(symbols[rm, im], symbols[rm, km])
+            h = before[r, i]
+            more = h >= 0
+            rm, im, hm = r[more], i[more], h[more]
+            best[rm, hm] = self.joined(symbols[rm, hm], symbols[rm, im])
+        return symbols, lengths
 
 
 @dataclass
@@ -42,70 +126,80 @@ class Vocabulary:
     byte_number: list[int]
     octets: list[bytes]  # what each id decodes to
     units: str  # pattern
+    merges: Merges
+
+    def encode_unit(self, unit: str, seed: int, bound: int) -> bytes:
+        """The ids of a unit, four bytes each; a candidate is skipped if its draw is below ``bound`` of 2^64.
 
-    def encode_unit(self, unit: str, seed: int, rate: float) -> bytes:
-        """The ids of a unit, four bytes each."""
+        A candidate is one number: the rank of its piece, then where it starts. It is stale if the symbols there no
+        longer join to that piece.
+        """
         import xxhash
 
+        n, get = len(unit), self.rank.get
         symbols: list[str | None] = list(unit)
-        after = list(range(1, len(symbols) + 1))
-        before = list(range(-1, len(symbols) - 1))
-        rank, agenda = self.rank, []
-        for i in range(len(symbols) - 1):
-            found = rank.get(symbols[i] + symbols[i + 1])
-            if found is not None:
-                agenda.append((found, i, symbols[i] + symbols[i + 1]))
-        heapq.heapify(agenda)
-        bound = int(rate * 2**64)
-        key = xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), seed) if bound else 0
-        while agenda:
-            place, i, piece = heapq.heappop(agenda)
-            left, j = symbols[i], after[i]
-            if left is None or j >= len(symbols) or left + symbols[j] != piece:
-                continue
-            if bound and self.drawn(key, place, i) < bound:
-                continue
-            symbols[i], symbols[j] = piece, None
-            after[i] = j = after[j]
-            if j < len(symbols):
-                before[j] = i
-                found = rank.get(joined := piece + symbols[j])
-                if found is not None:
-                    heapq.heappush(agenda, (found, i, joined))
-            if (h := before[i]) >= 0:
-                found = rank.get(joined := symbols[h] + piece)
-                if found is not None:
-                    heapq.heappush(agenda, (found, h, joined))
+        agenda = [r << PLACE | i for i in range(n - 1) if (r := get(unit[i : i + 2])) is not None]
+        if agenda:
+            after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+            key = xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), seed) if bound else 0
+            heapify(agenda)
+            while agenda:
+                top = heappop(agenda)
+                i = top & PLACES
+                left = symbols[i]
+                if left is None or (j := after[i]) >= n:
+                    continue
+                piece = left + symbols[j]
+                if get(piece) != top >> PLACE:
+                    continue
+                if bound:
+                    draw = (key + top * GOLDEN) & MASK
+                    if ((draw ^ draw >> 29) * MIXER & MASK) < bound:
+                        continue
+                symbols[i], symbols[j] = piece, None
+                after[i] = j = after[j]
+                if j < n:
+                    before[j] = i
+                    if (r := get(piece + symbols[j])) is not None:
+                        heappush(agenda, r << PLACE | i)
+                if (h := before[i]) >= 0 and (r := get(symbols[h] + piece)) is not None:
+                    heappush(agenda, r << PLACE | h)
         ids = []
         for symbol in symbols:
             if symbol is not None:
-                number = self.number.get(symbol)
-                if number is not None:
+                if (number := self.number.get(symbol)) is not None:
                     ids.append(number)
                 else:
-                    text = symbol.replace(OWN_SPACE, SPACE)
-                    ids += [self.byte_number[b] for b in text.encode()]
-        return np.array(ids, "<i4").tobytes()
-
-    @staticmethod
-    def drawn(key: int, place: int, at: int) -> int:
-        x = (key ^ (place * 0x9E3779B97F4A7C15 + at * 0xC2B2AE3D27D4EB4F)) & MASK
-        x = (x ^ (x >> 31)) * 0xBF58476D1CE4E5B9 & MASK
-        return (x ^ (x >> 29)) * 0x94D049BB133111EB & MASK
-
-    def encode(self, text: str, seed: int, rate: float, cache: dict) -> bytes:
-        if not text:
-            return b""
-        written = SPACE + text.replace(SPACE, OWN_SPACE).replace(" ", SPACE)
-        found = []
-        for unit in re.findall(self.units, written):
-            ids = cache.get(unit)
-            if ids is None:
-                if len(cache) >= CACHED_UNITS:
-                    cache.clear()
-                ids = cache[unit] = self.encode_unit(unit, seed, rate)
-            found.append(ids)
-        return b"".join(found)
+                    ids += [self.byte_number[b] for b in symbol.replace(OWN_SPACE, SPACE).encode()]
+        return array("i", ids).tobytes()
+
+    def encode_units(self, units: list[str], seed: int, bound: int) -> dict[str, bytes]:
+        """As :meth:`encode_unit` for many; those with characters that no piece covers go through it one by one."""
+        import xxhash
+
+        found = {}
+        short = [u for u in units if len(u) <= TOGETHER]
+        if short:
+            keys = np.array([xxhash.xxh64_intdigest(u.encode("utf-8", "surrogatepass"), seed) for u in short], np.uint64)
+            symbols, _ = self.merges.run(short, keys, bound)
+            covered = (symbols < self.merges.pieces).all(1)
+            left = symbols[covered] >= 0
+            ids = self.merges.numbers[symbols[covered][left]].tobytes()
+            ends = (4 * np.cumsum(left.sum(1))).tolist()
+            names = [u for u, c in zip(short, covered.tolist(), strict=True) if c]
+            found = {u: ids[a:b] for u, a, b in zip(names, [0, *ends], ends, strict=False)}
+        return found | {u: self.encode_unit(u, seed, bound) for u in units if u not in found}
+
+    def encode(self, texts: list[str], seed: int, rate: float, cache: dict) -> list[bytes]:
+        """The ids of each text, four bytes each. What the cache lacks is encoded together."""
+        written = [SPACE + t.replace(SPACE, OWN_SPACE).replace(" ", SPACE) if t else "" for t in texts]
+        found = [re.findall(self.units, w) for w in written]
+        lacking = {u for units in found for u in units} - cache.keys()
+        if len(cache) + len(lacking) > CACHED_UNITS:
+            cache.clear()
+            lacking = {u for units in found for u in units}
+        cache |= self.encode_units(list(lacking), seed, int(rate * 2**64))
+        return [b"".join([cache[u] for u in units]) for units in found]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of some ids; the space that encoding puts first is taken off."""
@@ -135,7 +229,8 @@ def vocabulary(model_path: str) -> Vocabulary:
         units = rf"{SPACE}*[^{SPACE}]+|{SPACE}+"
     else:
         units = rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"
-    return Vocabulary({names[i]: n for n, i in enumerate(by_score)}, {names[i]: i for i in ordinary}, byte_number, octets, units)
+    rank, number = {names[i]: n for n, i in enumerate(by_score)}, {names[i]: i for i in ordinary}
+    return Vocabulary(rank, number, byte_number, octets, units, Merges(rank, number))
 
 
 def encode(
@@ -161,10 +256,13 @@ def encode(
         for batch in batches:
             for first in range(0, batch.num_rows, BATCH):
                 part = batch.slice(first, BATCH)
-                ids = [
-                    words.encode(text or "", seed * variants + v, dropout, caches[v])
-                    for text, v in zip(part.column(at).to_pylist(), part.column(len(kept)).to_pylist(), strict=True)
-                ]
+                texts, which = part.column(at).to_pylist(), part.column(len(kept)).to_pylist()
+                ids = [b""] * len(texts)
+                for v in range(variants):
+                    mine = [n for n, w in enumerate(which) if w == v]
+                    done = words.encode([texts[n] or "" for n in mine], seed * variants + v, dropout, caches[v])
+                    for n, i in zip(mine, done, strict=True):
+                        ids[n] = i
                 ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
                 array = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
                 yield pa.RecordBatch.from_arrays([*part.columns, array], [*part.schema.names, "ids"])
