@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.text import whole
 
@@ -90,7 +91,8 @@ class Model:
 def fit(x: np.ndarray, labels: np.ndarray) -> Model:
     prior = float(labels.mean()) if len(labels) else 0.5
     if not len(labels):
-        return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, prior)
+        nothing = np.zeros((TERMS, 1), np.float32)
+        return Model(np.ones(TERMS, np.float32), nothing, nothing[:0], labels, prior)
     weights = (np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1).astype(np.float32)
     y = x * weights
     y = y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)
@@ -101,7 +103,14 @@ def fit(x: np.ndarray, labels: np.ndarray) -> Model:
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, seed: int = 42, text_col: str = "text", id_col: str = "doc_id") -> Model:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    learn: Column,
+    seed: int = 42,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+) -> Model:
     """Fit on the labelled rows for which ``learn`` (a condition on the id) holds; at most SAMPLE_ROWS, by id hash."""
     place = F.xxhash64(F.lit(seed), F.col(id_col))
     chosen = (
@@ -116,7 +125,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, seed: int = 42, tex
     def task(batches):
         for batch in batches:
             x = [terms(t).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(x, pa.binary())], ["id", "label", "x"])
+            arrays = [batch.column("id"), batch.column("label"), pa.array(x, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "label", "x"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     found = rows.mapInArrow(task, f"id {kind}, label int, x binary")
@@ -140,8 +150,6 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 x = np.stack([terms((t or "").encode()) for t in part.column(at).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.scores(x))], [*names, "score"])
 
-    from pyspark.sql import types as T
-
     scored = docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(
         task, T.StructType([*schema, T.StructField("score", T.DoubleType())])
     )
