@@ -224,7 +224,7 @@ def grouped(counts: list[int], block_rows: int) -> list[int]:
     return groups
 
 
-def search(index: Index, queries: DataFrame, k: int = 10, block_rows: int = 8192, block_queries: int = 1024) -> DataFrame:
+def search(index: Index, queries: DataFrame, k: int = 10, block_rows: int = 2048, block_queries: int = 1024) -> DataFrame:
     """(query_id, rank, vec_id, score) of ``queries`` (id, v); nearest first, ties to the smaller id.
 
     A query goes once to each group of leaves that it visits, with the list of those leaves, and brings back k rows.
