@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.text import whole
+from tidemark.llm.text import slices, whole
 
 OUTPUT = ("held_out", "score", "predicted")
 SAMPLE_ROWS = 4_096
@@ -123,7 +123,7 @@ def train(
     rows = texts.join(F.broadcast(chosen), id_col).select("text", "label", F.col(id_col).alias("id"))
 
     def task(batches):
-        for batch in batches:
+        for batch in (part for whole_batch in batches for part in slices(whole_batch)):
             x = [terms(t).tobytes() for t in batch.column("text").to_pylist()]
             arrays = [batch.column("id"), batch.column("label"), pa.array(x, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["id", "label", "x"])
@@ -144,9 +144,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def task(batches):
         for batch in batches:
-            step = 512
-            for first in range(0, batch.num_rows, step):
-                part = batch.slice(first, step)
+            for part in slices(batch):
                 x = np.stack([terms((t or "").encode()) for t in part.column(at).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.scores(x))], [*names, "score"])
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.durable import materialise
 from tidemark.llm import packets
 from tidemark.llm.components import components
-from tidemark.llm.text import whole
+from tidemark.llm.text import slices, whole
 
 OUTPUT = ("fingerprint", "component_id")
 SEED = 42
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, words: int = 4, text_col: str = "text", id_col
     rows = docs.select(F.col(id_col).alias("id"), whole(F.col(text_col)).cast("binary").alias("text"))
 
     def task(batches):
-        for batch in batches:
+        for batch in (part for whole_batch in batches for part in slices(whole_batch)):
             prints = np.array([fingerprint(t, words) for t in batch.column("text").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints.view(np.int64))], ["id", "print"])
 
@@ -73,15 +73,17 @@ def meet(prints: np.ndarray, prefix: int, lead: int, half: int) -> tuple[np.ndar
     low_bits = list(range(64 - lead))
     away = np.bitwise_count((prints >> np.uint64(64 - lead)) ^ np.uint64(prefix)) if lead else np.zeros(len(prints), int)
     base = prints & np.uint64((1 << (64 - lead)) - 1)
-    keys, owners = [], []
-    for used in range(half + 1):
+    flips = [masks(low_bits, half - used) for used in range(half + 1)]
+    total = sum(int((away == used).sum()) * len(f) for used, f in enumerate(flips))
+    keys, owners, end = np.empty(total, np.uint64), np.empty(total, np.int32), 0
+    for used, flip in enumerate(flips):
         at = np.flatnonzero(away == used)
-        flips = masks(low_bits, half - used)
-        keys.append((base[at][:, None] ^ flips[None, :]).ravel())
-        owners.append(np.repeat(at.astype(np.int32), len(flips)))
-    keys, owners = np.concatenate(keys), np.concatenate(owners)
+        start, end = end, end + len(at) * len(flip)
+        np.bitwise_xor(base[at][:, None], flip[None, :], out=keys[start:end].reshape(len(at), len(flip)))
+        owners[start:end].reshape(len(at), len(flip))[:] = at[:, None]
     order = np.argsort(keys)
     keys, owners = keys[order], owners[order]
+    del order
     same = np.flatnonzero(keys[1:] == keys[:-1])
     a, b = owners[same], owners[same + 1]
     pairs = np.unique(np.minimum(a, b).astype(np.int64) * len(prints) + np.maximum(a, b))
@@ -103,15 +105,18 @@ def meet(prints: np.ndarray, prefix: int, lead: int, half: int) -> tuple[np.ndar
     return prints[moved], prints[label[moved]]
 
 
-def links(distinct: DataFrame, radius: int = 4, variants_per_prefix: int = 1 << 21) -> DataFrame:
-    """(a, b) links between distinct fingerprints (column ``print``), enough to connect all within ``radius``."""
+def links(distinct: DataFrame, radius: int = 4, variants_per_prefix: int = 1 << 20, tables: int = 1) -> DataFrame:
+    """(a, b) links between distinct fingerprints (column ``print``), enough to connect all within ``radius``. Further
+    columns, such as the number of a table, keep fingerprints apart and are kept; ``tables`` is how many there are."""
     half = radius // 2
     if radius != 2 * half:
         raise ValueError("the radius is even: both sides go half of it")
     ball = sum(len(list(combinations(range(64), n))) for n in range(half + 1))
-    lead = max(6, min(24, (distinct.count() * ball // variants_per_prefix).bit_length()))
+    lead = max(6, min(24, (distinct.count() // tables * ball // variants_per_prefix).bit_length()))
+    apart = [f for f in distinct.schema if f.name != "print"]
     flips = F.array(*[F.lit(int(m)) for m in masks(list(range(lead)), half)])
     sent = distinct.select(
+        *[f.name for f in apart],
         "print",
         F.explode(
             F.transform(flips, lambda m: F.shiftrightunsigned("print", 64 - lead).bitwiseXOR(m.cast("long")))
@@ -120,10 +125,12 @@ def links(distinct: DataFrame, radius: int = 4, variants_per_prefix: int = 1 <<
 
     def local(key, table):
         prints = table.column("print").to_numpy().view(np.uint64)
-        a, b = meet(prints, key[0].as_py(), lead, half)
-        return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
+        a, b = meet(prints, key[-1].as_py(), lead, half)
+        same = {f.name: pa.array([k.as_py()] * len(a), k.type) for f, k in zip(apart, key, strict=False)}
+        return pa.table(same | {"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return sent.groupBy("prefix").applyInArrow(local, "a long, b long")
+    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in apart], "a long", "b long"])
+    return sent.groupBy(*[f.name for f in apart], "prefix").applyInArrow(local, schema)
 
 
 def near_groups(
@@ -170,7 +177,7 @@ def similar_groups(
     rows = docs.select(F.col(id_col).alias("id"), whole(F.col(text_col)).cast("binary").alias("text"))
 
     def task(batches):
-        for batch in batches:
+        for batch in (part for whole_batch in batches for part in slices(whole_batch)):
             prints = [word_set_prints(t, tables) for t in batch.column("text").to_pylist()]
             kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints, kind)], ["id", "prints"])
@@ -178,19 +185,16 @@ def similar_groups(
     prints = rows.mapInArrow(task, f"id {docs.schema[id_col].dataType.simpleString()}, prints array<long>")
     prints = materialise(prints.withColumn("class", F.xxhash64("prints")), "word-set-prints")
     classes = materialise(prints.groupBy("class", "prints").agg(F.min("id").alias("first")), "word-set-classes")
-    edges = None
-    for table in range(tables):
-        alike = classes.select(F.col("prints")[table].alias("print"), "class")
-        leader = materialise(alike.groupBy("print").agg(F.min("class").alias("leader")), "word-set-leaders")
-        same = alike.join(leader, "print").select(F.col("class").alias("a"), F.col("leader").alias("b"))
-        near = (
-            links(leader.select("print"), radius)
-            .join(leader.select(F.col("print").alias("a"), F.col("leader").alias("of_a")), "a")
-            .join(leader.select(F.col("print").alias("b"), F.col("leader").alias("of_b")), "b")
-            .select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
-        )
-        found = same.filter(F.col("a") != F.col("b")).unionByName(near)
-        edges = found if edges is None else edges.unionByName(found)
+    alike = classes.select(F.posexplode("prints").alias("table", "print"), "class")
+    leader = materialise(alike.groupBy("table", "print").agg(F.min("class").alias("leader")), "word-set-leaders")
+    same = alike.join(leader, ["table", "print"]).select(F.col("class").alias("a"), F.col("leader").alias("b"))
+    near = (
+        links(leader.select("table", "print"), radius, tables=tables)
+        .join(leader.select("table", F.col("print").alias("a"), F.col("leader").alias("of_a")), ["table", "a"])
+        .join(leader.select("table", F.col("print").alias("b"), F.col("leader").alias("of_b")), ["table", "b"])
+        .select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    )
+    edges = same.unionByName(near)
     joined = components(edges)
     placed = classes.join(joined, F.col("class") == F.col("node"), "left").select(
         "class", "first", F.coalesce("component", "class").alias("component")

@@ -26,3 +26,9 @@ def id_remainder(key: Column, modulus: int) -> Column:
 def scale_bits(rows: int, rows_per_part: int, least: int, most: int) -> int:
     """Power of two of the parts that leaves about ``rows_per_part`` rows in each."""
     return max(least, min(most, max(0, (rows // rows_per_part)).bit_length()))
+
+
+def slices(batch, rows: int = 256):
+    """A record batch in small parts, so that few of its texts are Python objects at once."""
+    for first in range(0, batch.num_rows, rows):
+        yield batch.slice(first, rows)

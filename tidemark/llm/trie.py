@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.text import whole
+from tidemark.llm.text import slices, whole
 
 OUTPUT = ("group_size", "text_sha256")
 #: Bytes of labels that the tries of one task hold; each node counts for its Python objects too.
-TRIE_BYTES = 48 << 20
+TRIE_BYTES = 32 << 20
 NODE_BYTES = 400
 OUT_BYTES = 4 << 20
 
@@ -211,7 +211,7 @@ def trie_round(names: list[str], schema: pa.Schema, largest: bool, budget: int,
 
     def task(it):
         tries = Tries(keeper(largest), budget)
-        for batch in it:
+        for batch in (part for whole_batch in it for part in slices(whole_batch)):
             values = [batch.column(name).to_pylist() for name in names]
             for text, copies, key, null, *others in zip(*values, strict=True):
                 tries.insert(text, (key, null, tuple(others), copies))
