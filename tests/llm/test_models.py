@@ -246,6 +246,8 @@ def test_dropout_varies_by_key_and_decodes_to_the_text(spark):
     plain = {(r["doc_id"], r["text"]): len(r["ids"]) for r in pieces.encode(docs, MODEL, dropout=0.0).collect()}
     assert sum(len(r["ids"]) for r in first) > sum(plain[r["doc_id"], r["text"]] for r in first)
     assert pieces.round_trip(edge.nothing(spark), MODEL).collect() == []
+    stored = pieces.decode(pieces.encode(docs, MODEL, dropout=0.3, seed=1), MODEL)
+    assert key(stored.collect()) == key(first) and stored.filter("decoded <> coalesce(text, '')").count() == 0
 
 
 def test_all_dropped_leaves_characters():

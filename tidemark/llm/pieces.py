@@ -241,10 +241,12 @@ def encode(
     variants: int = 4,
     text_col: str = "text",
     id_col: str = "doc_id",
+    decoded: bool = False,
 ) -> DataFrame:
-    """The documents with ``variant`` and ``ids`` (array of int)."""
+    """The documents with ``variant`` and ``ids`` (array of int), and if asked the text ``decoded`` from those ids in
+    the same task, which spares a second Python worker."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(model_path))
-    kept = [f for f in docs.schema if f.name.lower() not in ("variant", "ids")]
+    kept = [f for f in docs.schema if f.name.lower() not in ("variant", "ids", *["decoded"] * decoded)]
     rows = docs.select(
         *[F.col(f"`{f.name}`") for f in kept],
         F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{id_col}`")), F.lit(variants)).cast("int").alias("variant"),
@@ -265,12 +267,15 @@ def encode(
                         ids[n] = i
                 ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
                 array = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-                yield pa.RecordBatch.from_arrays([*part.columns, array], [*part.schema.names, "ids"])
+                arrays, names = [*part.columns, array], [*part.schema.names, "ids"]
+                if decoded:
+                    arrays.append(pa.array([words.decode(np.frombuffer(i, "<i4")) for i in ids], pa.string()))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return rows.mapInArrow(
-        task,
-        T.StructType([*kept, T.StructField("variant", T.IntegerType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]),
-    )
+    added = [T.StructField("variant", T.IntegerType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    added += [T.StructField("decoded", T.StringType())] * decoded
+    return rows.mapInArrow(task, T.StructType([*kept, *added]))
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:
@@ -298,5 +303,5 @@ def default_model() -> str:
 
 def round_trip(docs: DataFrame, model_path: str, **settings) -> DataFrame:
     """Encoded documents with ``decoded`` and ``lossless`` (the text comes back whole)."""
-    done = decode(encode(docs, model_path, **settings), model_path)
+    done = encode(docs, model_path, decoded=True, **settings)
     return done.withColumn("lossless", F.col("decoded") == whole(F.col(settings.get("text_col", "text"))))
