@@ -1,0 +1,56 @@
+"""Near copies by five-word shingles, against brute force over all pairs."""
+
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+import pytest
+
+from tests.llm import edge
+from tests.llm.test_dedup import brute_components
+from tidemark.llm import overlap, simhash
+
+
+def shingles(text: str | None) -> set:
+    words = edge.words((text or "").lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def near(a: set, b: set) -> bool:
+    return 5 * len(a & b) >= 4 * len(a | b)
+
+
+def copies(rng: random.Random, words: list[str], n: int) -> list[list[str]]:
+    """Near and not so near copies: cut, appended, one block replaced, scattered words, another order."""
+    new = lambda k: [f"neu{rng.randrange(10**6)}" for _ in range(k)]
+    share = rng.uniform(0.02, 0.3)
+    k = max(1, int(share * n))
+    at = rng.randrange(n - k)
+    mixed = list(words)
+    for _ in range(max(1, k // 3)):
+        mixed[rng.randrange(n)] = new(1)[0]
+    return [words[: n - k], words + new(k), words[:at] + new(k // 2 + 1) + words[at + k // 2 + 1 :], mixed, rng.sample(words, n)]
+
+
+def expected(rows) -> set:
+    roots = brute_components([shingles(t) for _, t in rows], near)
+    least = defaultdict(lambda: 1 << 62)
+    for (i, _), root in zip(rows, roots, strict=True):
+        least[root] = min(least[root], i)
+    return set(least.values())
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng, found = random.Random(21), []
+    for _ in range(40):
+        n = rng.randrange(60, 200)
+        words = edge.sentence(rng, n).split()
+        found += [" ".join(t) for t in [words, *copies(rng, words, n)]]
+    return list(enumerate(found))
+
+
+def test_cut_appended_and_replaced_copies(spark, rows):
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"] for r in kept} == expected(rows)

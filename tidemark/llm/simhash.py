@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.durable import materialise
-from tidemark.llm import packets
+from tidemark.llm import overlap, packets
 from tidemark.llm.components import components
 from tidemark.llm.text import slices, whole
 
@@ -165,50 +165,9 @@ def word_set_prints(text: bytes, tables: int) -> list[int]:
     return found
 
 
-def similar_groups(
-    docs: DataFrame, tables: int = 6, radius: int = 4, text_col: str = "text", id_col: str = "doc_id"
-) -> DataFrame:
-    """(id, component_id) of every row: linked are texts whose word-set fingerprints are within ``radius`` bits in any
-    of the tables.
-
-    A change of one word in forty leaves four fifths of the five-word shingles and turns about ten of 64 bits of their
-    fingerprint, but only four of that of the word set. One table finds two thirds of such pairs, six nearly all.
-    """
-    rows = docs.select(F.col(id_col).alias("id"), whole(F.col(text_col)).cast("binary").alias("text"))
-
-    def task(batches):
-        for batch in (part for whole_batch in batches for part in slices(whole_batch)):
-            prints = [word_set_prints(t, tables) for t in batch.column("text").to_pylist()]
-            kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints, kind)], ["id", "prints"])
-
-    prints = rows.mapInArrow(task, f"id {docs.schema[id_col].dataType.simpleString()}, prints array<long>")
-    prints = materialise(prints.withColumn("class", F.xxhash64("prints")), "word-set-prints")
-    classes = materialise(prints.groupBy("class", "prints").agg(F.min("id").alias("first")), "word-set-classes")
-    alike = classes.select(F.posexplode("prints").alias("table", "print"), "class")
-    leader = materialise(alike.groupBy("table", "print").agg(F.min("class").alias("leader")), "word-set-leaders")
-    same = alike.join(leader, ["table", "print"]).select(F.col("class").alias("a"), F.col("leader").alias("b"))
-    near = (
-        links(leader.select("table", "print"), radius, tables=tables)
-        .join(leader.select("table", F.col("print").alias("a"), F.col("leader").alias("of_a")), ["table", "a"])
-        .join(leader.select("table", F.col("print").alias("b"), F.col("leader").alias("of_b")), ["table", "b"])
-        .select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
-    )
-    edges = same.unionByName(near)
-    joined = components(edges)
-    placed = classes.join(joined, F.col("class") == F.col("node"), "left").select(
-        "class", "first", F.coalesce("component", "class").alias("component")
-    )
-    least = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    labels = placed.join(least, "component").select(F.col("class").alias("of"), "component_id")
-    return prints.join(labels, F.col("class") == F.col("of")).select(F.col("id").alias(id_col), "component_id")
-
-
-def keep_one(
-    docs: DataFrame, tables: int = 6, radius: int = 4, text_col: str = "text", id_col: str = "doc_id"
-) -> DataFrame:
-    """The documents, one of each group of ``similar_groups``: the one with the smallest id. Rows of a NULL id stay, and
-    rows that share the smallest id stay together."""
-    groups = similar_groups(docs, tables, radius, text_col, id_col)
+def keep_one(docs: DataFrame, words: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The documents, one of each group of ``overlap.similar_groups``: the one with the smallest id. Rows of a NULL id
+    stay, and rows that share the smallest id stay together."""
+    groups = overlap.similar_groups(docs, words, text_col, id_col)
     gone = groups.filter(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias("gone")).distinct()
     return docs.join(gone, F.col(id_col) == F.col("gone"), "left_anti")
