@@ -54,3 +54,34 @@ def rows():
 def test_cut_appended_and_replaced_copies(spark, rows):
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     assert {r["doc_id"] for r in kept} == expected(rows)
+
+
+def test_a_chain_of_one_boilerplate(spark, monkeypatch):
+    """All meet in the same shingles, few are near any one leader, and both thinning and the blocks are needed."""
+    monkeypatch.setattr(overlap, "PAIRS_LEFT", 1)
+    monkeypatch.setattr(overlap, "THINNINGS", 2)
+    monkeypatch.setattr(overlap, "BLOCK", 16)
+    rng = random.Random(3)
+    base = edge.sentence(rng, 300).split()
+    rows = []
+    for n in range(120):
+        words = list(base)
+        at = rng.randrange(0, 240)
+        words[at : at + 30] = [f"v{n}_{i}" for i in range(30)]
+        rows.append((n, " ".join(words)))
+    chain = edge.sentence(rng, 200).split()
+    rows += [(1000 + n, " ".join(chain[6 * n : 6 * n + 80])) for n in range(20)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"] for r in kept} == expected(rows)
+
+
+def test_less_similar_documents_stay(spark):
+    rng, rows = random.Random(7), []
+    for n in range(10):
+        words = edge.sentence(rng, 200).split()
+        changed = list(words)
+        for i in range(0, 200, 20):  # one word in twenty: most fingerprints of words are still close
+            changed[i] = f"neu{i}"
+        rows += [(3 * n, " ".join(words)), (3 * n + 1, " ".join(changed)), (3 * n + 2, " ".join(reversed(words)))]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(kept) == len(rows)
