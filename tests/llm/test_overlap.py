@@ -8,7 +8,7 @@ from collections import defaultdict
 import pytest
 
 from tests.llm import edge
-from tests.llm.test_dedup import brute_components
+from tests.llm.test_dedup import brute_components, partition
 from tidemark.llm import overlap, simhash
 
 
@@ -85,3 +85,31 @@ def test_less_similar_documents_stay(spark):
         rows += [(3 * n, " ".join(words)), (3 * n + 1, " ".join(changed)), (3 * n + 2, " ".join(reversed(words)))]
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(kept) == len(rows)
+
+
+def test_a_crowded_prefix_is_cut(spark, monkeypatch):
+    """Near copies of one boilerplate: different fingerprints with the same leading bits."""
+    rng = random.Random(9)
+    base = rng.getrandbits(64)
+    prints = {base ^ sum(1 << b for b in rng.sample(range(50), rng.randrange(1, 9))) for _ in range(400)} | {rng.getrandbits(64) for _ in range(50)}
+    prints = sorted(prints)
+    largest, meet = spark.sparkContext.accumulator(0), simhash.meet
+
+    def counted(found, prefix, lead, half):
+        away = [((int(p) >> (64 - lead)) ^ prefix).bit_count() for p in found]
+        spent = sum(len(simhash.masks(list(range(64 - lead)), half - n)) for n in away)
+        if spent > 20_000:
+            largest.add(1)
+        return meet(found, prefix, lead, half)
+
+    monkeypatch.setattr(simhash, "meet", counted)
+    signed = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "print long")
+    found = {(r["a"] & (1 << 64) - 1, r["b"] & (1 << 64) - 1) for r in simhash.links(signed, most_variants=20_000).collect()}
+    assert largest.value == 0
+    assert simhash.links(signed).count() and largest.value > 0
+    at = {p: n for n, p in enumerate(prints)}
+    joined = {(at[a], at[b]) for a, b in found}
+    order = list(range(len(prints)))
+    mine = brute_components(order, lambda a, b: (a, b) in joined or (b, a) in joined)
+    theirs = brute_components(order, lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 4)
+    assert partition(mine) == partition(theirs)

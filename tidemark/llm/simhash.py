@@ -6,7 +6,8 @@ variant are linked in a chain, whatever their number, without making pairs.
 
 With radius 4 a fingerprint has 2,081 variants. To shuffle fewer bytes, they are dealt by their leading bits: a
 fingerprint is sent once to each prefix that its variants have, and makes the variants of that prefix there. The number
-of leading bits follows the number of fingerprints, so that a prefix has about ``variants_per_prefix`` variants.
+of leading bits follows the number of fingerprints, so that a prefix has about ``variants_per_prefix`` variants; one that
+gets far more is cut by further bits.
 
 Defined results: a text without words (NULL, empty, only white space) has fingerprint 0 and links like any other; fewer
 words than a shingle are one shingle; an empty table gives no rows; NULL ids are kept, and a group of NULL ids alone has
@@ -19,7 +20,7 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.durable import materialise
@@ -30,6 +31,8 @@ from tidemark.llm.text import slices, whole
 OUTPUT = ("fingerprint", "component_id")
 SEED = 42
 BLOCK = 1 << 15
+#: Bits by which a crowded prefix is cut at a time, and the longest one.
+FURTHER, LONGEST = 6, 60
 
 
 def fingerprint(text: bytes, words: int) -> int:
@@ -105,32 +108,58 @@ def meet(prints: np.ndarray, prefix: int, lead: int, half: int) -> tuple[np.ndar
     return prints[moved], prints[label[moved]]
 
 
-def links(distinct: DataFrame, radius: int = 4, variants_per_prefix: int = 1 << 20, tables: int = 1) -> DataFrame:
+def closer(sent: DataFrame, used: Column, lead: int, further: int, half: int) -> DataFrame:
+    """Rows of ``print`` and ``prefix`` (of ``lead`` bits, ``used`` of them flipped) sent on to prefixes of ``further``
+    bits more, by the variants that the print has left."""
+    bits = F.shiftrightunsigned("print", 64 - lead - further).bitwiseAND((1 << further) - 1)
+    flips = F.array(*[F.lit(int(m)) for m in masks(list(range(further)), half)])
+    left = F.filter(flips, lambda m: F.bit_count(m) + used <= half)
+    longer = F.transform(left, lambda m: F.shiftleft("prefix", further).bitwiseOR(bits.bitwiseXOR(m)))
+    return sent.withColumn("prefix", F.explode(longer))
+
+
+def links(
+    distinct: DataFrame, radius: int = 4, variants_per_prefix: int = 1 << 20, tables: int = 1, most_variants: int = 1 << 22
+) -> DataFrame:
     """(a, b) links between distinct fingerprints (column ``print``), enough to connect all within ``radius``. Further
-    columns, such as the number of a table, keep fingerprints apart and are kept; ``tables`` is how many there are."""
+    columns, such as the number of a table, keep fingerprints apart and are kept; ``tables`` is how many there are.
+
+    A prefix that gets more than ``most_variants`` variants, as near copies of one text bring about, is cut by further
+    bits, alone, until none does or the prefix has ``LONGEST`` bits; so long a one is reached by few prints at most."""
     half = radius // 2
     if radius != 2 * half:
         raise ValueError("the radius is even: both sides go half of it")
     ball = sum(len(list(combinations(range(64), n))) for n in range(half + 1))
     lead = max(6, min(24, (distinct.count() // tables * ball // variants_per_prefix).bit_length()))
     apart = [f for f in distinct.schema if f.name != "print"]
-    flips = F.array(*[F.lit(int(m)) for m in masks(list(range(lead)), half)])
-    sent = distinct.select(
-        *[f.name for f in apart],
-        "print",
-        F.explode(
-            F.transform(flips, lambda m: F.shiftrightunsigned("print", 64 - lead).bitwiseXOR(m.cast("long")))
-        ).alias("prefix"),
-    )
+    place = [*[f.name for f in apart], "prefix"]
+    now = closer(distinct.withColumn("prefix", F.lit(0).cast("long")), F.lit(0), 0, lead, half)
+    done = None
+    while True:
+        used = F.bit_count(F.shiftrightunsigned("print", 64 - lead).bitwiseXOR(F.col("prefix")))
+        each = F.element_at(F.array(*[F.lit(len(masks(list(range(64 - lead)), half - n))) for n in range(half + 1)]), used + 1)
+        hot = now.groupBy(*place).agg(F.sum(each).alias("variants")).filter(F.col("variants") > most_variants)
+        crowded = lead < LONGEST
+        if crowded:
+            hot = materialise(hot.select(*place), "hot-prefixes")
+            crowded = not hot.isEmpty()
+        kept = (now.join(hot, place, "left_anti") if crowded else now).withColumn("lead", F.lit(lead))
+        done = kept if done is None else done.unionByName(kept)
+        if not crowded:
+            break
+        further = min(FURTHER, LONGEST - lead)
+        now = closer(now.join(hot, place, "left_semi"), used, lead, further, half)
+        now = materialise(now, "sent-on")
+        lead += further
 
     def local(key, table):
         prints = table.column("print").to_numpy().view(np.uint64)
-        a, b = meet(prints, key[-1].as_py(), lead, half)
+        a, b = meet(prints, key[-1].as_py(), key[-2].as_py(), half)
         same = {f.name: pa.array([k.as_py()] * len(a), k.type) for f, k in zip(apart, key, strict=False)}
         return pa.table(same | {"a": a.view(np.int64), "b": b.view(np.int64)})
 
     schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in apart], "a long", "b long"])
-    return sent.groupBy(*[f.name for f in apart], "prefix").applyInArrow(local, schema)
+    return done.groupBy(*[f.name for f in apart], "lead", "prefix").applyInArrow(local, schema)
 
 
 def near_groups(
