@@ -1,4 +1,9 @@
-"""A training-data pipeline over ``documents``: each stage works on what the one before it kept."""
+"""A training-data pipeline over ``documents``: each stage works on what the one before it kept.
+
+Defined results of every stage: NULL counts as empty text; a NULL id is kept like any other and comes last where ids are
+compared; ties and repeated rows as the operator of the stage says; an empty table gives no rows; further columns keep
+their values, whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -45,7 +50,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @filtering
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicate texts the row with the smallest id."""
+    """Of texts with linked fingerprints (four-word shingles, four bits) the row with the smallest id."""
     return simhash.keep_one(docs)
 
 

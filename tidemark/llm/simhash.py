@@ -10,8 +10,9 @@ of leading bits follows the number of fingerprints, so that a prefix has about `
 gets far more is cut by further bits.
 
 Defined results: a text without words (NULL, empty, only white space) has fingerprint 0 and links like any other; fewer
-words than a shingle are one shingle; an empty table gives no rows; NULL ids are kept, and a group of NULL ids alone has
-a NULL component; columns named like an output column are replaced by it.
+words than a shingle are one shingle; a text of any length is read whole, in blocks of its hashes; repeated rows link to
+each other; an empty table gives no rows; NULL ids are kept, and a group of NULL ids alone has a NULL component; columns
+named like an output column are replaced by it.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.durable import materialise
-from tidemark.llm import overlap, packets
 from tidemark.llm.components import components
 from tidemark.llm.text import slices, whole
 
@@ -54,15 +54,17 @@ def fingerprint(text: bytes, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 4, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(id, print): the fingerprint of every row as signed long."""
-    rows = docs.select(F.col(id_col).alias("id"), whole(F.col(text_col)).cast("binary").alias("text"))
+    """(id, text_hash, print): the fingerprint of every row as signed long, and a hash of its text as it stands."""
+    text = whole(F.col(f"`{text_col}`"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
 
     def task(batches):
         for batch in (part for whole_batch in batches for part in slices(whole_batch)):
             prints = np.array([fingerprint(t, words) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints.view(np.int64))], ["id", "print"])
+            arrays = [batch.column("id"), batch.column("text_hash"), pa.array(prints.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "text_hash", "print"])
 
-    return rows.mapInArrow(task, f"id {docs.schema[id_col].dataType.simpleString()}, print long")
+    return rows.mapInArrow(task, f"id {docs.schema[id_col].dataType.simpleString()}, text_hash long, print long")
 
 
 def masks(bits: list[int], flips: int) -> np.ndarray:
@@ -119,10 +121,9 @@ def closer(sent: DataFrame, used: Column, lead: int, further: int, half: int) ->
 
 
 def links(
-    distinct: DataFrame, radius: int = 4, variants_per_prefix: int = 1 << 20, tables: int = 1, most_variants: int = 1 << 22
+    distinct: DataFrame, radius: int = 4, variants_per_prefix: int = 1 << 20, most_variants: int = 1 << 22
 ) -> DataFrame:
-    """(a, b) links between distinct fingerprints (column ``print``), enough to connect all within ``radius``. Further
-    columns, such as the number of a table, keep fingerprints apart and are kept; ``tables`` is how many there are.
+    """(a, b) links between distinct fingerprints (column ``print``), enough to connect all within ``radius``.
 
     A prefix that gets more than ``most_variants`` variants, as near copies of one text bring about, is cut by further
     bits, alone, until none does or the prefix has ``LONGEST`` bits; so long a one is reached by few prints at most."""
@@ -130,36 +131,43 @@ def links(
     if radius != 2 * half:
         raise ValueError("the radius is even: both sides go half of it")
     ball = sum(len(list(combinations(range(64), n))) for n in range(half + 1))
-    lead = max(6, min(24, (distinct.count() // tables * ball // variants_per_prefix).bit_length()))
-    apart = [f for f in distinct.schema if f.name != "print"]
-    place = [*[f.name for f in apart], "prefix"]
+    lead = max(6, min(24, (distinct.count() * ball // variants_per_prefix).bit_length()))
     now = closer(distinct.withColumn("prefix", F.lit(0).cast("long")), F.lit(0), 0, lead, half)
     done = None
     while True:
         used = F.bit_count(F.shiftrightunsigned("print", 64 - lead).bitwiseXOR(F.col("prefix")))
         each = F.element_at(F.array(*[F.lit(len(masks(list(range(64 - lead)), half - n))) for n in range(half + 1)]), used + 1)
-        hot = now.groupBy(*place).agg(F.sum(each).alias("variants")).filter(F.col("variants") > most_variants)
+        hot = now.groupBy("prefix").agg(F.sum(each).alias("variants")).filter(F.col("variants") > most_variants)
         crowded = lead < LONGEST
         if crowded:
-            hot = materialise(hot.select(*place), "hot-prefixes")
+            hot = materialise(hot.select("prefix"), "hot-prefixes")
             crowded = not hot.isEmpty()
-        kept = (now.join(hot, place, "left_anti") if crowded else now).withColumn("lead", F.lit(lead))
+        kept = (now.join(hot, "prefix", "left_anti") if crowded else now).withColumn("lead", F.lit(lead))
         done = kept if done is None else done.unionByName(kept)
         if not crowded:
             break
         further = min(FURTHER, LONGEST - lead)
-        now = closer(now.join(hot, place, "left_semi"), used, lead, further, half)
+        now = closer(now.join(hot, "prefix", "left_semi"), used, lead, further, half)
         now = materialise(now, "sent-on")
         lead += further
 
     def local(key, table):
         prints = table.column("print").to_numpy().view(np.uint64)
-        a, b = meet(prints, key[-1].as_py(), key[-2].as_py(), half)
-        same = {f.name: pa.array([k.as_py()] * len(a), k.type) for f, k in zip(apart, key, strict=False)}
-        return pa.table(same | {"a": a.view(np.int64), "b": b.view(np.int64)})
+        a, b = meet(prints, key[1].as_py(), key[0].as_py(), half)
+        return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in apart], "a long", "b long"])
-    return done.groupBy(*[f.name for f in apart], "lead", "prefix").applyInArrow(local, schema)
+    return done.groupBy("lead", "prefix").applyInArrow(local, "a long, b long")
+
+
+def labelled(docs: DataFrame, words: int, radius: int, text_col: str, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """The stored fingerprints of all rows, and (print, component) of the distinct ones; a component's name is a print."""
+    prints = materialise(fingerprints(docs, words, text_col, id_col), "fingerprints")
+    distinct = materialise(prints.select("print").distinct(), "distinct-fingerprints")
+    joined = components(links(distinct, radius))
+    placed = distinct.join(joined, F.col("print") == F.col("node"), "left").select(
+        F.col("print").alias("of"), F.coalesce("component", "print").alias("component")
+    )
+    return prints, placed
 
 
 def near_groups(
@@ -167,36 +175,24 @@ def near_groups(
 ) -> DataFrame:
     """One row per document: id, ``fingerprint`` (16 hexadecimal digits), ``component_id`` (the smallest id among all
     whose fingerprints are linked with its own, through others too)."""
-    prints = materialise(fingerprints(docs, words, text_col, id_col), "fingerprints")
-    distinct = materialise(prints.groupBy("print").agg(F.min("id").alias("first")), "distinct-fingerprints")
-    joined = components(links(distinct.select("print"), radius))
-    placed = distinct.join(joined, F.col("print") == F.col("node"), "left").select(
-        "print", "first", F.coalesce("component", "print").alias("component")
-    )
+    prints, placed = labelled(docs, words, radius, text_col, id_col)
+    first = prints.groupBy("print").agg(F.min("id").alias("first"))
+    placed = placed.join(first, F.col("of") == F.col("print")).select("of", "component", "first")
     least = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    labels = placed.join(least, "component").select(F.col("print").alias("of"), "component_id")
+    labels = placed.join(least, "component").select("of", "component_id")
     return prints.join(labels, F.col("print") == F.col("of")).select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def word_set_prints(text: bytes, tables: int) -> list[int]:
-    """Fingerprints of the distinct words, each table with hashes of its own. Without words all are 0."""
-    words = list(set(text.lower().split()))
-    if not words:
-        return [0] * tables
-    base = packets.word_hashes(words)
-    found = []
-    for factor in packets.coefficients(tables, SEED):
-        octets = packets.mix64(base * factor).astype("<u8").view(np.uint8).reshape(-1, 8)
-        counts = np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        found.append(int(np.packbits(2 * counts > len(words), bitorder="little").view("<i8")[0]))
-    return found
-
-
-def keep_one(docs: DataFrame, words: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The documents, one of each group of ``overlap.similar_groups``: the one with the smallest id. Rows of a NULL id
-    stay, and rows that share the smallest id stay together."""
-    groups = overlap.similar_groups(docs, words, text_col, id_col)
-    gone = groups.filter(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias("gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("gone"), "left_anti")
+def keep_one(docs: DataFrame, words: int = 4, radius: int = 4, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The documents, one of each group of linked fingerprints: the one with the smallest id (NULL ids come last; of
+    rows that share it, the one with the smallest fingerprint, then text hash; rows alike in id and text stay together)."""
+    prints, placed = labelled(docs, words, radius, text_col, id_col)
+    order = F.struct(F.col("id").isNull().alias("nameless"), "id", "print", "text_hash")
+    rows = prints.join(placed, F.col("print") == F.col("of")).select("component", "id", "text_hash", order.alias("place"))
+    first = rows.groupBy("component").agg(F.min("place").alias("first"))
+    gone = rows.join(first, "component").filter(F.col("place") != F.col("first"))
+    gone = gone.select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    this = F.xxhash64(whole(F.col(f"`{text_col}`")))
+    return docs.join(gone, F.col(f"`{id_col}`").eqNullSafe(gone["gone_id"]) & (this == gone["gone_hash"]), "left_anti")
