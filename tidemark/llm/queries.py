@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import anchors, ann_tree, interpolation, licences, mixing, pieces, quality, sharding, simhash, trie
+from tidemark.llm import anchors, ann_tree, interpolation, licences, mixing, pieces, quality, sharding, simhash, toxicity, trie
 from tidemark.llm.text import id_remainder, word_count
 
 
@@ -82,6 +82,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(docs).drop("text")
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = id_remainder(F.col("doc_id"), 5) == 0
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), learn=~held)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_kmeans_tree": op1_kmeans_tree,
     "op2_source_mix": op2_source_mix,
@@ -93,6 +101,7 @@ QUERIES = {
     "op8_merge_dropout": op8_merge_dropout,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
+    "op13_toxicity": op13_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -190,9 +190,7 @@ def keep_one(docs: DataFrame, words: int = 4, radius: int = 4, text_col: str = "
     rows that share it, the one with the smallest fingerprint, then text hash; rows alike in id and text stay together)."""
     prints, placed = labelled(docs, words, radius, text_col, id_col)
     order = F.struct(F.col("id").isNull().alias("nameless"), "id", "print", "text_hash")
-    rows = prints.join(placed, F.col("print") == F.col("of")).select("component", "id", "text_hash", order.alias("place"))
-    first = rows.groupBy("component").agg(F.min("place").alias("first"))
-    gone = rows.join(first, "component").filter(F.col("place") != F.col("first"))
-    gone = gone.select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    rows = prints.join(placed, F.col("print") == F.col("of"))
+    kept = rows.groupBy("component").agg(F.min(order).alias("first")).select("first.id", "first.text_hash").distinct()
     this = F.xxhash64(whole(F.col(f"`{text_col}`")))
-    return docs.join(gone, F.col(f"`{id_col}`").eqNullSafe(gone["gone_id"]) & (this == gone["gone_hash"]), "left_anti")
+    return docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(kept["id"]) & (this == kept["text_hash"]), "left_semi")
