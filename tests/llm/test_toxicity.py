@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,16 +105,41 @@ def test_the_penalty_spares_neutral_mentions():
     assert fair[1] > 0.5 > plain[1]
 
 
-def test_swaps_score_alike():
-    words = toxicity.word_keys("the muslims live here")
+def test_swaps_change_the_terms_round_a_name():
     sets = toxicity.swap_sets()
-    copies = toxicity.swapped(words, sets)
-    assert len(copies) == len(toxicity.IDENTITY_TERMS[1]) - 1
-    assert {int(c[1][0]) for c in copies} == {int(toxicity.word_keys(w)[0][0]) for w in toxicity.IDENTITY_TERMS[1]} - {int(words[1][0])}
-    assert all((c[[0, 2, 3]] == words[[0, 2, 3]]).all() for c in copies)
+    words = toxicity.word_keys("the muslims live here")
+    others = {int(k[0]) for w in toxicity.IDENTITY_TERMS[1] for k in toxicity.word_keys(w)} - {int(words[1, 0])}
+    assert {int(o[0]) for o in sets[int(words[1, 0])]} == others
+    every = sorted({int(k) for o in [words[1], *sets[int(words[1, 0])]] for k in toxicity.near_terms(words[0, 0], o, words[2, 0])} - {0})
+    terms = np.array(every, np.uint64)
+    # The second text says the same again, so it adds no row.
+    changes = toxicity.score_changes(toxicity.Windows([[words], [words]]), terms, len(terms) + 1, sets)
+    assert changes.shape == (len(others), len(terms) + 1)
+    weights = np.random.default_rng(1).normal(size=len(terms))
+    model = toxicity.Model(terms, weights, 0.0)
+    texts = [f"the {w} live here" for w in toxicity.IDENTITY_TERMS[1] if w != "muslims"]
+    logit = lambda p: np.log(p / (1 - p))
+    expected = logit(model.scores(["the muslims live here"])) - logit(model.scores(texts))
+    assert sorted(changes.times(np.append(weights, 5.0))) == pytest.approx(sorted(expected))
     assert sum(len(g) for g in toxicity.IDENTITY_TERMS) < 200
 
 
+def test_windows_hold_what_scoring_sums():
+    rng = random.Random(2)
+    texts = [[toxicity.word_keys(edge.sentence(rng, n))] for n in (1, 2, 16, 17, 32, 33, 48, 49, 200)] + [[toxicity.word_keys("")]]
+    windows = toxicity.Windows(texts)
+    terms = np.unique(np.concatenate([k for _, k, _ in windows.terms()]))
+    weights = np.random.default_rng(3).normal(size=len(terms))
+    model = toxicity.Model(terms, weights, 0.0)
+    counted = toxicity.Rows.counted(windows, terms, len(terms)).times(weights)
+    direct = []
+    for (words,) in texts:
+        first = toxicity.window_starts(len(words))
+        if len(first):
+            direct += model.windows(words, first, np.minimum(first + toxicity.WINDOW, len(words))).tolist()
+    assert counted == pytest.approx(direct)
+
+
 def test_copies_and_shared_passages_teach_nothing():
     rng = random.Random(3)
     passage = edge.sentence(rng, 40)

@@ -10,7 +10,8 @@ difference of both scores is charged. What is left of such a term's weight canno
 group that happened to be named in toxic texts stays below the threshold.
 
 At most ``SAMPLE_ROWS`` labelled texts are learnt from, by hash of the id; of one with more than ``SAMPLE_WINDOWS`` windows
-those with the smallest hashes, wherever they stand (a quarter of a gigabyte on the driver if all texts are that long). Terms are kept that at least ``LEAST_TEXTS`` texts of the sample have and that lean to one
+those with the smallest hashes, wherever they stand (a quarter of a gigabyte on the driver if all texts are that long;
+some thirty megabytes usually). Terms are kept that at least ``LEAST_TEXTS`` texts of the sample have and that lean to one
 label by ``LEAST_LEAN`` standard deviations, ``MOST_TERMS`` at most, so the model has a megabyte at any size of the input.
 Equal windows count once, and a term once in the same surroundings, else a text with many copies, or a passage that many
 texts share, would teach its own words.
@@ -101,39 +102,72 @@ def window_starts(words: int) -> np.ndarray:
 
 
 class Windows:
-    """The words of many windows in one array, and each word's window."""
-
-    def __init__(self, windows: list[np.ndarray]):
-        self.count = len(windows)
-        self.words = np.concatenate([np.zeros((0, 2), np.uint64), *windows])
-        lengths = np.array([len(w) for w in windows], np.int64)
-        self.row = np.repeat(np.arange(len(windows)), lengths)
-        self.whole = self.row[:-1] == self.row[1:]
-        self.length = np.repeat(lengths, lengths)
-
-    def terms(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(keys, their windows) of all words, of all stems of a length, of all pairs; one kind at a time to hold little."""
+    """The windows of some texts. A text comes as runs of its words (all of it, or the windows chosen from a long one)."""
+
+    def __init__(self, texts: list[list[np.ndarray]]):
+        runs = [r for own in texts for r in own if len(r)]
+        self.words = np.concatenate([np.zeros((0, 2), np.uint64), *runs])
+        lengths = np.array([len(r) for r in runs], np.int64)
+        owners = np.repeat(np.arange(len(texts)), [sum(len(r) > 0 for r in own) for own in texts])
+        #: Of each run: where its words begin, how many they are, whose it is, its windows and the first one's number.
+        self.begin, self.length, self.text = np.cumsum(lengths) - lengths, lengths, owners
+        starts = [window_starts(n) for n in lengths.tolist()]
+        self.windows = np.array([len(x) for x in starts], np.int64)
+        self.base = np.cumsum(self.windows) - self.windows
+        #: Of each word its run; of each window its first word and its text.
+        self.run = np.repeat(np.arange(len(runs), dtype=np.int32), lengths)
+        self.whole = self.run[:-1] == self.run[1:]
+        self.first = np.concatenate([np.zeros(0, np.int64), *[x + b for x, b in zip(starts, self.begin.tolist(), strict=True)]])
+        self.owner = np.repeat(owners, self.windows) if len(runs) else np.zeros(0, np.int64)
+
+    def terms(self) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """(place, key, words) of all words, of all pairs, of all stems of a length; one kind at a time to hold little."""
         key, pairs = self.words[:, 0], np.flatnonzero(self.whole)
-        yield key, self.row
-        yield pair_keys(key[pairs], key[pairs + 1]), self.row[pairs]
+        yield np.arange(len(key)), key, 1
+        yield pairs, pair_keys(key[pairs], key[pairs + 1]), 2
         for n in STEMS:
             stems = stem_keys(self.words, n)
-            yield stems[stems != 0], self.row[stems != 0]
+            some = np.flatnonzero(stems)
+            yield some, stems[some], 1
 
     def seen(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(keys, their surroundings, their windows) of the terms that have both neighbours in their window, by kind."""
+        """(key, surroundings, text) of the terms that have both neighbours in their run, by kind."""
         key = self.words[:, 0]
         inner = np.flatnonzero(self.whole[:-1] & self.whole[1:]) + 1
-        left = inner[:-1][(np.diff(inner) == 1) & (self.row[inner[:-1]] == self.row[inner[1:]])]
-        yield pair_keys(key[left], key[left + 1]), pair_keys(key[left - 1], key[left + 2]), self.row[left]
-        tiny = np.flatnonzero(self.length <= 2)
+        left = inner[:-1][np.diff(inner) == 1]
+        left = left[self.run[left - 1] == self.run[left + 2]] if len(left) else left
+        yield pair_keys(key[left], key[left + 1]), pair_keys(key[left - 1], key[left + 2]), self.text[self.run[left]]
+        tiny = np.flatnonzero(self.length[self.run] <= 2) if len(self.run) else inner
         at = np.concatenate([inner, tiny])
         around = np.concatenate([pair_keys(key[inner - 1], key[inner + 1]), np.zeros(len(tiny), np.uint64)])
-        yield key[at], around, self.row[at]
+        yield key[at], around, self.text[self.run[at]]
         for n in STEMS:
             stems = stem_keys(self.words[at], n)
-            some = stems != 0
-            yield stems[some], around[some], self.row[at][some]
+            some = np.flatnonzero(stems)
+            yield stems[some], around[some], self.text[self.run[at[some]]]
+
+    def around(self, place: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """(index into ``place``, window) for every window that holds the words from that place on."""
+        half = WINDOW // 2
+        run = self.run[place]
+        offset = place - self.begin[run]
+        last = np.minimum(offset // half, self.windows[run] - 1)
+        first = np.maximum(-(-(offset + words - WINDOW) // half), 0)
+        n = last - first + 1
+        index = np.repeat(np.arange(len(place)), n)
+        step = np.arange(len(index)) - np.repeat(np.cumsum(n) - n, n)
+        return index, (self.base[run] + first)[index] + step
+
+    def new(self, labels: np.ndarray) -> np.ndarray:
+        """Whether no window before holds the same words under the same label."""
+        total = labels[self.owner].astype(np.uint64)
+        for j, factor in enumerate(packets.coefficients(WINDOW, 17)):
+            at = np.minimum(self.first + j, len(self.words) - 1)
+            inside = self.run[at] == self.run[self.first]
+            total += np.where(inside & (self.first + j == at), self.words[at, 0] * factor, np.uint64(0))
+        first = np.zeros(len(total), bool)
+        first[np.unique(packets.mix64(total), return_index=True)[1]] = True
+        return first
 
 
 def swap_sets() -> dict[int, list[np.ndarray]]:
@@ -146,6 +180,12 @@ def swap_sets() -> dict[int, list[np.ndarray]]:
     return {k: [o for _, o in sorted(others.items()) if int(o[0]) != k] for k, others in found.items()}
 
 
+def position(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The place of each key, or -1."""
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return np.where(sorted_keys[at] == keys, at, -1)
+
+
 @dataclass
 class Model:
     terms: np.ndarray  # sorted keys
@@ -198,12 +238,12 @@ class Rows:
     def counted(cls, windows: Windows, terms: np.ndarray, columns: int) -> Rows:
         """How often each window has each of the sorted ``terms``."""
         found = []
-        for keys, rows in windows.terms():
-            at = np.minimum(np.searchsorted(terms, keys), len(terms) - 1)
-            known = terms[at] == keys
-            found.append(rows[known] * columns + at[known])
+        for place, keys, words in windows.terms():
+            at = position(terms, keys)
+            index, window = windows.around(place[at >= 0], words)
+            found.append(window * columns + at[at >= 0][index])
         cells, n = np.unique(np.concatenate(found), return_counts=True)
-        return cls(windows.count, columns, cells // columns, cells % columns, n.astype(float))
+        return cls(len(windows.first), columns, cells // columns, cells % columns, n.astype(float))
 
     def take(self, rows: np.ndarray) -> Rows:
         """The given rows (each once) in that order."""
@@ -212,9 +252,6 @@ class Rows:
         own = place[self.at] >= 0
         return Rows(len(rows), self.shape[1], place[self.at[own]], self.column[own], self.value[own])
 
-    def less(self, other: Rows) -> Rows:
-        return Rows(*self.shape, *(np.concatenate(p) for p in ((self.at, other.at), (self.column, other.column), (self.value, -other.value))))
-
     def with_bias(self) -> Rows:
         """The last column set to 1."""
         n = np.arange(self.shape[0])
@@ -258,24 +295,46 @@ def regress(x: Rows, y: np.ndarray, swaps: Rows, start: np.ndarray, fairness: fl
     return w
 
 
-def swapped(words: np.ndarray, sets: dict[int, list[np.ndarray]]) -> list[np.ndarray]:
-    """The window with each identity term in it replaced by every other of its set, one at a time."""
-    found = []
-    for i, k in enumerate(words[:, 0].tolist()):
-        for other in sets.get(k, ()):
-            copy = words.copy()
-            copy[i] = other
-            found.append(copy)
-    return found
-
-
-def evidence(windows: Windows, text: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def near_terms(before: np.uint64 | None, word: np.ndarray, after: np.uint64 | None) -> np.ndarray:
+    """The keys of the terms that hold a word: itself, its stems, the pairs with its neighbours."""
+    words = word[None, :]
+    keys = [words[:, 0], *[stem_keys(words, n) for n in STEMS]]
+    if before is not None:
+        keys.append(pair_keys(np.array([before]), words[:, 0]))
+    if after is not None:
+        keys.append(pair_keys(words[:, 0], np.array([after])))
+    return np.concatenate(keys)
+
+
+def score_changes(windows: Windows, terms: np.ndarray, columns: int, sets: dict[int, list[np.ndarray]]) -> Rows:
+    """A row for every identity term in every different surroundings and every term of its set: what swapping both adds
+    to and takes from the window. (The rest of a window does not change.)"""
+    key = windows.words[:, 0]
+    found, seen = [], set()
+    for i in np.flatnonzero(position(np.array(sorted(sets), np.uint64), key) >= 0).tolist():
+        before = key[i - 1] if i and windows.whole[i - 1] else None
+        after = key[i + 1] if i + 1 < len(key) and windows.whole[i] else None
+        if (place := (before, int(key[i]), after)) in seen:
+            continue
+        seen.add(place)
+        here = position(terms, near_terms(before, windows.words[i], after))
+        for other in sets[int(key[i])]:
+            there = position(terms, near_terms(before, other, after))
+            found.append((here[here >= 0], there[there >= 0]))
+    sizes = [(len(a), len(b)) for a, b in found]
+    at = np.repeat(np.arange(len(found)), [a + b for a, b in sizes])
+    column = np.concatenate([np.zeros(0, np.int64), *[np.concatenate(x) for x in found]])
+    value = np.concatenate([np.zeros(0), *[np.repeat([1.0, -1.0], x) for x in sizes]])
+    return Rows(len(found), columns, at, column, value)
+
+
+def evidence(windows: Windows, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The terms of some texts, the texts that each is seen in and the toxic ones among these. A term is seen once in the
     same surroundings (its two neighbours): a passage that many texts share says no more than one text does."""
     found = []
-    for term, around, row in windows.seen():
+    for term, around, text in windows.seen():
         _, first = np.unique(pair_keys(term, around), return_index=True)
-        term, own = term[first], text[row[first]]
+        term, own = term[first], text[first]
         _, once = np.unique(pair_keys(term, own.astype(np.uint64)), return_index=True)
         terms, place, count = np.unique(term[once], return_inverse=True, return_counts=True)
         toxic = np.bincount(place, labels[own[once]], len(terms))
@@ -285,60 +344,50 @@ def evidence(windows: Windows, text: np.ndarray, labels: np.ndarray) -> tuple[np
 
 
 def fit(bags: list[tuple[int, list[np.ndarray]]], fairness: float = FAIRNESS) -> Model:
-    """``bags``: the label of each labelled text and the words of its windows."""
+    """``bags``: the label of each labelled text and its runs of words."""
     nothing = np.zeros(0, np.uint64)
     if not bags:
         return Model(nothing, np.zeros(0), -np.inf)
-    seen: set[int] = set()
-    texts = []
-    for label, windows in bags:
-        names = [hash((label, w.tobytes())) for w in windows]
-        own = [w for w, name in zip(windows, names, strict=True) if name not in seen]
-        seen.update(names)
-        if own:
-            texts.append((label, own))
-    if not texts:
-        share = float(np.clip(np.mean([b[0] for b in bags]), 1e-6, 1 - 1e-6))
+    labels = np.array([y for y, _ in bags], float)
+    windows = Windows([runs for _, runs in bags])
+    share = np.clip(labels.mean(), 1e-6, 1 - 1e-6)
+    if not len(windows.first):
         return Model(nothing, np.zeros(0), float(np.log(share / (1 - share))))
-    labels = np.array([t[0] for t in texts], float)
-    begins = np.concatenate(([0], np.cumsum([len(own) for _, own in texts])))
-    flat = [w for _, own in texts for w in own]
-    windows = Windows(flat)
-    terms, count, toxic = evidence(windows, np.repeat(np.arange(len(texts)), np.diff(begins)), labels)
+    terms, count, toxic = evidence(windows, labels)
     sets = swap_sets()
-    share = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
     lean = np.abs(toxic - share * count) / np.sqrt(share * (1 - share) * count)
     kept = np.flatnonzero(lean >= LEAST_LEAN)
     kept = kept[np.lexsort((terms[kept], -lean[kept]))][: MOST_TERMS - len(sets)]
     learnt = np.union1d(terms[kept], np.array(sorted(sets), np.uint64))
     columns = len(learnt) + 1
-    x = Rows.counted(windows, learnt, columns)
-    pairs = [(w, other) for w in flat for other in swapped(w, sets)]
-    swaps = Rows.counted(Windows([w for w, _ in pairs]), learnt, columns)
-    swaps = swaps.less(Rows.counted(Windows([o for _, o in pairs]), learnt, columns))
+    x, swaps = Rows.counted(windows, learnt, columns), score_changes(windows, learnt, columns, sets)
     # The first choice of windows goes by the log odds of single terms, drawn to zero where little is known.
     n1, n0 = labels.sum(), len(labels) - labels.sum()
     odds = np.log((toxic + 0.5) / (n1 + 1)) - np.log((count - toxic + 0.5) / (n0 + 1))
     w = np.zeros(columns)
     w[np.searchsorted(learnt, terms[kept])] = (odds * count / (count + 10))[kept]
+    usable = np.flatnonzero(windows.new(labels))
+    texts, begins = np.unique(windows.owner[usable], return_index=True)
     was = None
     for _ in range(ROUNDS):
-        sums = x.times(w)
-        chosen = np.array([a + int(sums[a:b].argmax()) for a, b in zip(begins, begins[1:], strict=False)])
+        sums = x.times(w)[usable]
+        ends = np.append(begins[1:], len(usable))
+        chosen = usable[[a + int(sums[a:b].argmax()) for a, b in zip(begins, ends, strict=True)]]
         if was is not None and (chosen == was).all():
             break
         was = chosen
-        w = regress(x.take(chosen).with_bias(), labels, swaps, w, fairness)
+        w = regress(x.take(chosen).with_bias(), labels[texts], swaps, w, fairness)
     return Model(learnt, w[:-1], float(w[-1]))
 
 
-def sample(keys: np.ndarray) -> list[np.ndarray]:
-    """The windows of a labelled text that are learnt from, of very many those with the smallest hashes."""
-    windows = [keys[s : s + WINDOW] for s in window_starts(len(keys))]
-    if len(windows) > SAMPLE_WINDOWS:
-        order = packets.mix64(np.array([w[:, 0].sum(dtype=np.uint64) for w in windows]) + packets.GOLDEN)
-        windows = [windows[i] for i in np.sort(np.argsort(order, kind="stable")[:SAMPLE_WINDOWS])]
-    return windows
+def sample(words: np.ndarray) -> list[np.ndarray]:
+    """What is learnt from a labelled text: the whole of it, or of very many windows those with the smallest hashes."""
+    starts = window_starts(len(words))
+    if len(starts) <= SAMPLE_WINDOWS:
+        return [words]
+    windows = [words[s : s + WINDOW] for s in starts]
+    order = packets.mix64(np.array([w[:, 0].sum(dtype=np.uint64) for w in windows]) + packets.GOLDEN)
+    return [windows[i] for i in np.sort(np.argsort(order, kind="stable")[:SAMPLE_WINDOWS])]
 
 
 def train(
@@ -366,14 +415,14 @@ def train(
         for batch in (part for whole_batch in batches for part in slices(whole_batch)):
             found = [[w.tobytes() for w in sample(word_keys(t))] for t in batch.column("text").to_pylist()]
             arrays = [batch.column("id"), batch.column("label"), pa.array(found, pa.list_(pa.binary()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", "label", "windows"])
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "label", "runs"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    found = rows.mapInArrow(task, f"id {kind}, label int, windows array<binary>")
+    found = rows.mapInArrow(task, f"id {kind}, label int, runs array<binary>")
     # Ids that occur very often in the documents must not make the sample large.
-    table = found.orderBy(F.xxhash64(F.lit(seed), "id"), "id", "label", "windows").limit(SAMPLE_ROWS).toArrow()
-    bags = zip(table.column("label").to_pylist(), table.column("windows").to_pylist(), strict=True)
-    return fit([(int(y != 0), [np.frombuffer(w, np.uint64).reshape(-1, 2) for w in windows]) for y, windows in bags], fairness)
+    table = found.orderBy(F.xxhash64(F.lit(seed), "id"), "id", "label", "runs").limit(SAMPLE_ROWS).toArrow()
+    bags = zip(table.column("label").to_pylist(), table.column("runs"), strict=True)
+    return fit([(int(y != 0), [np.frombuffer(r.as_buffer(), np.uint64).reshape(-1, 2) for r in runs]) for y, runs in bags], fairness)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
