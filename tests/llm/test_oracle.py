@@ -9,13 +9,14 @@ import pytest
 
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = "/root/testdata/sf0.01"
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_sql(spark, name):
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "embeddings", "conversations"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     cursor = duck.execute(ORACLE_SQL[name])
     columns = [d[0] for d in cursor.description]
     found = QUERIES[name](spark, SF_DIR)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import anchors, ann_tree, interpolation, licences, mixing, pieces, quality, sharding, simhash, toxicity, trie
+from tidemark.llm import anchors, ann_tree, hard_negatives, interpolation, licences, mixing, pieces, quality, sharding, simhash, toxicity, trie
 from tidemark.llm.text import id_remainder, word_count
 
 
@@ -82,6 +82,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(docs).drop("text")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(rows, every=100, k=5, least=80, most=100, scale=256)
+
+
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = id_remainder(F.col("doc_id"), 5) == 0
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -101,6 +107,7 @@ QUERIES = {
     "op8_merge_dropout": op8_merge_dropout,
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_toxicity": op13_toxicity,
 }
 
@@ -129,4 +136,25 @@ ORACLE_SQL: dict[str, str] = {
                  list_transform(list_filter(list_zip(words, range(1, len(words) + 1)),
                    lambda x: NOT list_contains(spots, x[2])), lambda x: x[1]), ' ') END) AS kept_sha256
         FROM docs LEFT JOIN lost USING (place)""",
+    "op11_hard_negatives": """
+        WITH vectors AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+        scored AS (
+          SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+                 list_dot_product(a.v, r.v)::BIGINT AS score
+          FROM vectors a JOIN vectors r ON a.vec_id <> r.vec_id AND len(a.v) = len(r.v)
+          WHERE a.vec_id % 100 = 0),
+        positives AS (
+          SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+               (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5""",
 }
