@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import anchors, ann_tree, hard_negatives, interpolation, licences, mixing, pieces, quality, sharding, simhash, toxicity, trie
+from tidemark.llm import anchors, ann_tree, hard_negatives, interpolation, licences, mixing, pieces, prefix_trie, quality, sharding, simhash, toxicity, trie
 from tidemark.llm.text import id_remainder, word_count
 
 
@@ -88,6 +88,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, every=100, k=5, least=80, most=100, scale=256)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"), group=5, most_shared=9)
+
+
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = id_remainder(F.col("doc_id"), 5) == 0
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -108,6 +112,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_sharding": op10_sharding,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_toxicity": op13_toxicity,
 }
 
@@ -157,4 +162,47 @@ ORACLE_SQL: dict[str, str] = {
         FROM positives JOIN scored USING (anchor_id)
         WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
         QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5""",
+    "op12_prefix_trie": """
+        WITH turns AS (
+          SELECT conv_id, coalesce(text, '') AS text,
+                 md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS name,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                   md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS place
+          FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS (
+          -- CRC-32 of the decimal id, bit by bit
+          SELECT conv_id, conv_id - conv_id % 5 AS base,
+                 xor(list_reduce(
+                   list_prepend(4294967295, list_transform(range(1, len(conv_id::VARCHAR) + 1),
+                     lambda i: ascii(substr(conv_id::VARCHAR, i::INT, 1))::BIGINT)),
+                   lambda crc, octet: list_reduce(list_prepend(xor(crc, octet), range(8)),
+                     lambda x, bit: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 9 AS shared
+          FROM (SELECT DISTINCT conv_id FROM turns)),
+        rebuilt AS (
+          SELECT conv_id, own, place, name, text FROM (
+            SELECT convs.conv_id, 0 AS own, place, name, text FROM convs JOIN turns ON turns.conv_id = base AND place < shared
+            UNION ALL
+            SELECT conv_id, 1, place, name, text FROM convs JOIN turns USING (conv_id) WHERE place >= shared)),
+        paths AS (
+          SELECT conv_id, row_number() OVER conv AS depth, strlen(text) AS size,
+                 string_agg(name, '') OVER (conv ROWS UNBOUNDED PRECEDING) AS path
+          FROM rebuilt WINDOW conv AS (PARTITION BY conv_id ORDER BY own, place)
+          UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+        nodes AS (
+          SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size
+          FROM paths GROUP BY path, depth),
+        children AS (SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+        subtrees AS (
+          SELECT left(path, 32 * above) AS path, sum((n IS NULL)::INT) AS n_leaves, sum((n_convs - 1) * size) AS saved
+          FROM (SELECT path, n, n_convs, size, unnest(range(depth + 1)) AS above FROM nodes LEFT JOIN children USING (path))
+          GROUP BY 1),
+        ends AS (
+          SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS hash
+          FROM (FROM paths QUALIFY depth = max(depth) OVER (PARTITION BY conv_id)) GROUP BY path)
+        SELECT nodes.conv_id, nodes.depth::BIGINT AS depth, above.conv_id AS parent_conv_id, nodes.n_convs,
+               coalesce(n, 0) AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+               coalesce(hash, sha256('')) AS ends_sha256
+        FROM nodes LEFT JOIN nodes above ON nodes.depth > 0 AND above.path = left(nodes.path, 32 * (nodes.depth::INT - 1))
+          LEFT JOIN children ON children.path = nodes.path
+          LEFT JOIN subtrees ON subtrees.path = nodes.path LEFT JOIN ends ON ends.path = nodes.path""",
 }
