@@ -466,6 +466,19 @@ def oracle_sql() -> dict[str, str]:
             businesses(2, f"({sentinel_differ})"), f"SELECT {BUSINESS_COLUMNS} FROM business_2"
         ),
         "scd2_publish_resumed": query(businesses(3), f"SELECT {BUSINESS_COLUMNS} FROM business_3"),
+        "scd2_two_runs_interleaved": query(businesses(3), f"SELECT {BUSINESS_COLUMNS} FROM business_3"),
+        "scd2_read_while_published": query(
+            businesses(3),
+            " UNION ALL ".join(
+                f"SELECT '{opened}' AS opened, business_id, business_nk, business_stars, effective_from, effective_to, is_current"
+                f" FROM business_{state}"
+                for opened, state in (("before", 2), ("meanwhile", 2), ("after", 3))
+            ),
+        ),
+        "mart_survives_failed_write": mart(MART_BASE),
+        "facts_in_balanced_files": f"""
+            SELECT CAST(date_trunc('week', tips_date) AS DATE) AS week, count(*) AS tips
+              FROM ({MART_FACTS['fact_tips']}) GROUP BY 1""",
         "bronze_keeps_extra_fields": f"""
             SELECT CASE WHEN s_acctbal >= 0 AND s_nationkey <> 3 THEN {key('b', 's_suppkey')} END AS business_id,
                    CASE WHEN s_acctbal >= 0 THEN n_name END AS chain,

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acceptance import star
+from tidemark import versions
 from tidemark.durable import fresh_path, materialise
 from tidemark.entities import DIM_BUSINESSES, DIM_USERS, entity_spec, entity_specs, raw_schema
 from tidemark.load import LOAD_DATE, LOAD_ID, LoadContext, stamp
@@ -36,11 +38,19 @@ from tidemark.plans.lake import (
     read_quality,
     run_jobs,
     run_load,
+    standing,
 )
 from tidemark.plans.mart import checkin_measures, fact_extent, review_measures, tip_measures, weekly_business
-from tidemark.sinks.writers import complete_publish, publish_dimension, publish_fact, publish_staged, write_bronze
+from tidemark.sinks.writers import (
+    DIMENSION,
+    overwrite_table,
+    publish_dimension,
+    publish_fact,
+    replace_partitions,
+    write_bronze,
+)
 from tidemark.sources.readers import empty_table, read_entity, read_or_empty, read_table, since_load
-from tidemark.specs import CORRUPT_RECORD, EXTRA_FIELDS, IS_CURRENT, DimSpec, Field
+from tidemark.specs import CORRUPT_RECORD, EXTRA_FIELDS, DimSpec, Field
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -258,32 +268,76 @@ def scd2_merge_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merge(spark, DIM_TURNS, [turns, turns.withColumn("text", corrected)])
 
 
+def _next_load(spark: SparkSession, sf_dir: str, path: str, n: int) -> tuple[DataFrame, versions.Version | None, dict[str, int]]:
+    """What a load brings to the businesses on disk, the version it starts from, and the numbers in use."""
+    spec, base = DIM_BUSINESSES, versions.live(spark, path)
+    current, marks = standing(spark, path, base, spec)
+    delta = scd2_delta(current, _businesses(spark, sf_dir, n), spec, star.LOADS[n], marks=marks, digests=True)
+    return delta, base, marks
+
+
+def _publish_load(spark: SparkSession, sf_dir: str, path: str, n: int) -> None:
+    delta, base, marks = _next_load(spark, sf_dir, path, n)
+    publish_dimension(delta, path, base=base, highest=marks)
+
+
+def _read_businesses(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path, schema=DIM_BUSINESSES.schema).select(*DIM_BUSINESSES.columns)
+
+
 def scd2_publish_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three loads, each merged into the table on disk and published over it."""
-    path, spec = fresh_path(spark, "dim"), DIM_BUSINESSES
-    for n, load in star.LOADS.items():
-        current = read_or_empty(spark, path, spec.schema)
-        publish_dimension(scd2_delta(current, _businesses(spark, sf_dir, n), spec, load), path)
-    return read_table(spark, path, schema=spec.schema).select(*spec.columns)
+    """Three loads, each merged into the table on disk and published as its next version."""
+    path = fresh_path(spark, "dim")
+    for n in star.LOADS:
+        _publish_load(spark, sf_dir, path, n)
+    return _read_businesses(spark, path)
 
 
 def scd2_publish_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As above, but the third publish breaks off when the closed versions are in place and the current ones are not.
-    The next run completes it, and the load, run again, finds nothing to change."""
-    root, spec = fresh_path(spark, "lake"), DIM_BUSINESSES
-    path, stage = f"{root}/dim", f"{root}/stage"
+    """As above, but the third publish breaks off when its rows are written and its pointer is not. The load, run again,
+    starts from the second version; run once more, it finds nothing to change."""
+    path = fresh_path(spark, "dim")
+    for n in (1, 2):
+        _publish_load(spark, sf_dir, path, n)
+    _next_load(spark, sf_dir, path, 3)[0].write.partitionBy(*DIMENSION).parquet(f"{path}/_run=broken-off")
+    for _ in range(2):
+        _publish_load(spark, sf_dir, path, 3)
+    return _read_businesses(spark, path)
 
-    def delta(n: int) -> DataFrame:
-        current = read_or_empty(spark, path, spec.schema)
-        return scd2_delta(current, _businesses(spark, sf_dir, n), spec, star.LOADS[n])
 
+def scd2_two_runs_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the third load start from the second version. The first to publish wins; the other is refused, starts
+    again and finds nothing to change."""
+    path = fresh_path(spark, "dim")
     for n in (1, 2):
-        publish_staged(delta(n), path, stage, spec)
-    delta(3).write.parquet(stage)
-    publish_dimension(spark.read.schema(spec.schema).parquet(stage).filter(~F.col(IS_CURRENT)), path)
-    complete_publish(spark, path, stage, spec)
-    publish_staged(delta(3), path, stage, spec)
-    return read_table(spark, path, schema=spec.schema).select(*spec.columns)
+        _publish_load(spark, sf_dir, path, n)
+    first, second = _next_load(spark, sf_dir, path, 3), _next_load(spark, sf_dir, path, 3)
+    publish_dimension(second[0], path, base=second[1], highest=second[2])
+    try:
+        publish_dimension(first[0], path, base=first[1], highest=first[2])
+        raise AssertionError("the second publish from one version was not refused")
+    except versions.Conflict:
+        _publish_load(spark, sf_dir, path, 3)
+    return _read_businesses(spark, path)
+
+
+def scd2_read_while_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see who open the table before the third load is published, when its rows are written, and after."""
+    path, seen = fresh_path(spark, "dim"), {}
+    for n in (1, 2):
+        _publish_load(spark, sf_dir, path, n)
+    delta, base, _ = _next_load(spark, sf_dir, path, 3)
+    seen["before"] = _read_businesses(spark, path)
+
+    def notes() -> dict:  # asked between the rows and the pointer
+        seen["meanwhile"] = _read_businesses(spark, path)
+        return {}
+
+    versions.publish(delta, path, DIMENSION, base, notes)
+    seen["after"] = _read_businesses(spark, path)
+    columns = ("business_id", "business_nk", "business_stars", "effective_from", "effective_to", "is_current")
+    views = [df.select(F.lit(when).alias("opened"), *columns) for when, df in seen.items()]
+    return views[0].unionByName(views[1]).unionByName(views[2])
 
 
 def scd2_merge_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -381,6 +435,27 @@ def weekly_business_aggregate_filled(spark: SparkSession, sf_dir: str) -> DataFr
     return weekly_business(star.dim_businesses(spark, sf_dir), *_mart_facts(spark, sf_dir), fill_idle_weeks=True)
 
 
+def mart_survives_failed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart is published, then a rebuild of it with the idle weeks filled fails in the middle. Readers still have it."""
+    path = fresh_path(spark, "mart")
+    overwrite_table(weekly_business_aggregate(spark, sf_dir), path)
+    filled = weekly_business_aggregate_filled(spark, sf_dir)
+    breaks = F.when(F.col("business_id") % 7 == 3, F.raise_error(F.lit("broken off")).cast("bigint")).otherwise(F.col("business_id"))
+    try:
+        overwrite_table(filled.withColumn("business_id", breaks), path)
+        raise AssertionError("the rebuild did not fail")
+    except SparkRuntimeException:
+        return read_table(spark, path)
+
+
+def facts_in_balanced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tips of both loads published by their week, in files sized by bytes; read back from all partitions."""
+    path = fresh_path(spark, "balanced")
+    tips = star.mart_tips(spark, sf_dir).withColumn("week", F.date_trunc("week", "tips_date").cast("date"))
+    replace_partitions(tips, path, ["week"], files="balanced")
+    return read_table(spark, path).groupBy(F.col("week").cast("date").alias("week")).agg(F.count(F.lit(1)).alias("tips"))
+
+
 def two_loads_to_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON landing, bronze, dimensions, facts and mart on disk, for two loads in a row."""
     lake = Lake(fresh_path(spark, "lake"))
@@ -444,6 +519,10 @@ QUERIES: dict[str, Query] = {
     "fact_reviews_several_loads": fact_reviews_several_loads,
     "empty_rerun_clears_load": empty_rerun_clears_load,
     "scd2_publish_resumed": scd2_publish_resumed,
+    "scd2_two_runs_interleaved": scd2_two_runs_interleaved,
+    "scd2_read_while_published": scd2_read_while_published,
+    "mart_survives_failed_write": mart_survives_failed_write,
+    "facts_in_balanced_files": facts_in_balanced_files,
     "scd2_merge_same_day": scd2_merge_same_day,
     "scd2_merge_null_sentinels": scd2_merge_null_sentinels,
     "two_loads_to_mart": two_loads_to_mart,

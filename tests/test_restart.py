@@ -13,11 +13,12 @@ from pyspark.sql import types as T
 from tests.plans import formatted
 from tests.test_durable import Session
 from tests.test_lake import FIRST, SECOND, business, land, review
-from tidemark import files
+from tidemark import files, versions
 from tidemark.durable import CHECKPOINT_DIR, materialise, scratch, shared_folder
 from tidemark.entities import DIM_BUSINESSES, FILE_PREFIX, raw_schema
 from tidemark.jobs import arguments, main
-from tidemark.operators.scd2 import scd2_delta
+from tidemark.load import LoadContext
+from tidemark.operators.scd2 import changed_rows, scd2_delta
 from tidemark.plans.lake import (
     Lake,
     build_dimension,
@@ -29,10 +30,11 @@ from tidemark.plans.lake import (
     read_fact,
     read_quality,
     run_jobs,
+    standing,
 )
-from tidemark.sinks.writers import publish_dimension
-from tidemark.sources.readers import read_or_empty, read_table
-from tidemark.specs import CORRUPT_RECORD, EXTRA_FIELDS, IS_CURRENT
+from tidemark.sinks.writers import DIMENSION, overwrite_table, publish_dimension, replace_partitions
+from tidemark.sources.readers import read_table
+from tidemark.specs import CORRUPT_RECORD, DIGEST, EXTRA_FIELDS, DimSpec, Field
 
 SPEC = DIM_BUSINESSES
 
@@ -57,7 +59,7 @@ def lake(spark, tmp_path):
     return lake
 
 
-def versions(spark, lake):
+def versions_of(spark, lake):
     dim = read_dimension(spark, lake, SPEC)
     return sorted((r.business_id, r.business_nk, r.business_stars, r.effective_to, r.is_current) for r in dim.collect())
 
@@ -71,33 +73,199 @@ WHOLE = [
 ]
 
 
-def staged(spark, lake):
+def second_delta(spark, lake):
+    """What load 2 brings, and the version it starts from."""
     raw = read_table(spark, lake.bronze("business"), "orc", raw_schema("business").add("ctl_loading", T.IntegerType()))
-    current = read_or_empty(spark, lake.silver(SPEC.table), SPEC.schema)
-    scd2_delta(current, SPEC.conform(raw.filter("ctl_loading = 2")), SPEC, SECOND).write.parquet(lake.stage(SPEC.table))
-    return spark.read.schema(SPEC.schema).parquet(lake.stage(SPEC.table))
-
-
-@pytest.mark.parametrize("broken_off", ["after the stage", "between the swaps", "current partition gone", "after the publish"])
-def test_a_publish_that_broke_off_is_completed(spark, lake, broken_off):
-    rows, path = staged(spark, lake), lake.silver(SPEC.table)
-    if broken_off != "after the stage":
-        publish_dimension(rows.filter(~F.col(IS_CURRENT)), path)
-    if broken_off == "current partition gone":
-        files.remove(spark, f"{path}/is_current=true")
-    if broken_off == "after the publish":
-        publish_dimension(rows.filter(IS_CURRENT), path)
-        files.touch(spark, f"{lake.stage(SPEC.table)}/_PUBLISHED")
+    base = versions.live(spark, lake.silver(SPEC.table))
+    current, marks = standing(spark, lake.silver(SPEC.table), base, SPEC)
+    raw = SPEC.conform(raw.filter("ctl_loading = 2"))
+    return scd2_delta(current, raw, SPEC, SECOND, marks=marks, digests=True), base, marks
+
+
+def folders(path):
+    return sorted(name for name in os.listdir(path) if name.startswith("_run="))
+
+
+def test_a_publish_that_broke_off_shows_nothing_and_is_run_again(spark, lake):
+    """Killed when its rows are written and its pointer is not: nobody can clean up after it."""
+    path, before = lake.silver(SPEC.table), versions_of(spark, lake)
+    delta, _, _ = second_delta(spark, lake)
+    delta.write.partitionBy(*DIMENSION).parquet(f"{path}/_run=killed")
+    files.write_text(spark, f"{path}/_pointers/.draft", "half a poin")
+    assert versions_of(spark, lake) == before != WHOLE
     build_dimension(spark, lake, SPEC, SECOND)
-    assert versions(spark, lake) == WHOLE
-    assert not files.exists(spark, lake.stage(SPEC.table))
+    assert versions_of(spark, lake) == WHOLE
+    assert versions.sweep(spark, path, older_than_hours=1) == []
+    assert versions.sweep(spark, path, older_than_hours=0) == ["_run=killed"] and versions_of(spark, lake) == WHOLE
+
+
+def test_a_failing_write_leaves_the_table_and_no_folder(spark, lake):
+    path, before = lake.silver(SPEC.table), versions_of(spark, lake)
+    delta, base, marks = second_delta(spark, lake)
+    fails = F.when(F.col("business_nk") == "new2", F.raise_error(F.lit("no")).cast("string")).otherwise(F.col("business_name"))
+    runs = folders(path)
+    with pytest.raises(Exception, match="no"):
+        publish_dimension(delta.withColumn("business_name", fails), path, base=base, highest=marks)
+    assert versions_of(spark, lake) == before and folders(path) == runs
+
+
+def test_of_two_interleaved_runs_the_second_is_refused(spark, lake):
+    """Both start from one version, and both write before either points."""
+    path = lake.silver(SPEC.table)
+    mine, base, marks = second_delta(spark, lake)
+    theirs, _, _ = second_delta(spark, lake)
+    publish_dimension(mine, path, base=base, highest=marks)
+    runs = folders(path)
+    with pytest.raises(versions.Conflict, match="version 2"):
+        publish_dimension(theirs, path, base=base, highest=marks)
+    assert versions_of(spark, lake) == WHOLE and folders(path) == runs
+    build_dimension(spark, lake, SPEC, SECOND)
+    assert versions_of(spark, lake) == WHOLE
+
+
+def test_readers_see_a_publish_whole_or_not_at_all(spark, lake):
+    """A reader that opened the table before, one while the rows are written, one after."""
+    path = lake.silver(SPEC.table)
+    opened, before = read_dimension(spark, lake, SPEC), versions_of(spark, lake)
+    delta, base, marks = second_delta(spark, lake)
+    seen = []
+
+    def notes():  # asked between the rows and the pointer
+        seen.append(versions_of(spark, lake))
+        return {}
+
+    versions.publish(delta, path, DIMENSION, base, notes)
+    assert seen == [before] and versions_of(spark, lake) == WHOLE
+    assert sorted(r.business_id for r in opened.collect()) == [v[0] for v in before]
+
+
+def test_without_the_mark_of_the_committer(spark, lake):
+    """The pointer says that a run is whole; the file that Spark leaves by default is not needed."""
+    setting = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    spark._jsc.hadoopConfiguration().set(setting, "false")
+    try:
+        build_dimension(spark, lake, SPEC, SECOND)
+    finally:
+        spark._jsc.hadoopConfiguration().unset(setting)
+    assert versions_of(spark, lake) == WHOLE
+
+
+def test_old_versions_go_with_the_folders_that_only_they_have(spark, lake):
+    path = lake.silver(SPEC.table)
+    for n in range(2, 9):
+        build_dimension(spark, lake, SPEC, LoadContext(2, date(2020, 2, n)), after_load=1)
+    assert [n for n in sorted(os.listdir(f"{path}/_pointers")) if n.isdigit()] == [f"{n:010d}" for n in (6, 7, 8)]
+    live = versions.live(spark, path)
+    # The first load closes a version of "b"; its partition stays with the run that wrote it.
+    assert sorted(f.split("/", 1)[1] for f in live.folders) == [
+        "is_current=false/effective_to=2020-02-01", "is_current=true/effective_to=9999-12-31",
+    ]
+    kept = {f for n in (6, 7, 8) for f in versions._version(spark, path, n).folders}
+    assert folders(path) == sorted({f.split("/")[0] for f in kept}) and len(folders(path)) == 4
 
 
-def test_a_stage_that_is_not_whole_is_dropped(spark, lake):
-    staged(spark, lake)
-    files.remove(spark, f"{lake.stage(SPEC.table)}/_SUCCESS")
+def test_numbers_come_from_the_mark_and_are_never_used_twice(spark, lake):
+    """The whole history lies in the table, but no column of it is read."""
+    path = lake.silver(SPEC.table)
+    assert versions.live(spark, path).notes["highest"] == {"business_id": 2 + 1}
+    build_dimension(spark, lake, SPEC, SECOND)
+    assert versions.live(spark, path).notes["highest"] == {"business_id": 5}
+    delta, base, marks = second_delta(spark, lake)
+    assert marks == {"business_id": 5}
+    current, _ = standing(spark, path, base, SPEC)
+    arriving = SPEC.conform(read_table(spark, lake.bronze("business"), "orc", raw_schema("business")).limit(0))
+    scans = [part for part in formatted(delta).split("Scan parquet")[1:] if "PartitionFilters: [" in part]
+    assert scans and all("is_current" in s.split("PartitionFilters: [")[1].split("]")[0] for s in scans)
+    # Without the mark a column of all versions is read.
+    assert "Subquery" not in formatted(delta) and "Subquery" in formatted(scd2_delta(current, arriving, SPEC, SECOND))
+    publish_dimension(delta, path, base=base)  # notes no marks
+    current, marks = standing(spark, path, versions.live(spark, path), SPEC)
+    assert marks == {"business_id": 5}
+
+
+def test_unchanged_members_are_matched_by_key_and_digest(spark, lake):
     build_dimension(spark, lake, SPEC, SECOND)
-    assert versions(spark, lake) == WHOLE
+    path = lake.silver(SPEC.table)
+    current, _ = standing(spark, path, versions.live(spark, path), SPEC)
+    increment = current.filter("is_current").select(*SPEC.key_names, *SPEC.attribute_names)
+    plan = formatted(new_and_changed(current, increment))
+    scans = [part for part in plan.split("ReadSchema: ")[1:]]
+    narrow = [s.split("\n")[0] for s in scans if "business_name" not in s.split("\n")[0]]
+    assert narrow and all(DIGEST in s for s in narrow)
+    wide = changed_rows(current.drop(DIGEST), increment, SPEC)
+    assert all("business_name" in s.split("\n")[0] for s in formatted(wide).split("ReadSchema: ")[1:])
+    other = increment.withColumn("business_stars", F.when(F.col("business_nk") == "a", None).otherwise(F.col("business_stars")))
+    for rows, expected in ((increment, []), (other, ["a"])):
+        for dim in (current, current.drop(DIGEST)):
+            assert [r.business_nk for r in changed_rows(dim, rows, SPEC).collect()] == expected
+
+
+def new_and_changed(current, increment):
+    return changed_rows(current, increment, SPEC).select("business_id")
+
+
+def test_digests_tell_what_comparison_tells(spark):
+    rows = [(1.5, "a", None), (-0.0, "", "x"), (0.0, "", "x"), (float("nan"), None, ""), (float("nan"), None, None), (None, "2:ab", "-"), (None, "2", ":ab-")]
+    spec = DimSpec("t", "t", ("i",), (Field("k", T.LongType(), "k"),), (
+        Field("d", T.DoubleType(), "d"), Field("s", T.StringType(), "s"), Field("u", T.StringType(), "u")))
+    df = spark.createDataFrame(rows, "d double, s string, u string").withColumn("h", spec.digest())
+    left, right = df.alias("l"), df.alias("r")
+    same = F.col("l.d").eqNullSafe(F.col("r.d")) & F.col("l.s").eqNullSafe(F.col("r.s")) & F.col("l.u").eqNullSafe(F.col("r.u"))
+    pairs = left.join(right, F.lit(True)).select(same.alias("same"), (F.col("l.h") == F.col("r.h")).alias("digest"))
+    found = pairs.collect()
+    assert len(found) == 49 and all(r.same == r.digest for r in found) and sum(r.same for r in found) == 9
+
+
+def test_a_table_without_pointers_is_adopted(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    rows = spark.range(6).selectExpr("id", "id < 4 AS is_current", "if(id < 4, DATE '9999-12-31', date_add(DATE '2020-01-01', int(id))) AS effective_to")
+    rows.write.partitionBy(*DIMENSION).parquet(path)
+    with pytest.raises(versions.Conflict, match="adopt"):
+        publish_dimension(rows, path)
+    versions.adopt(spark, path, DIMENSION)
+    versions.adopt(spark, path, DIMENSION)
+    schema = "id long, is_current boolean, effective_to date"
+    assert sorted(r.id for r in read_table(spark, path, schema=schema).collect()) == [0, 1, 2, 3, 4, 5]
+    publish_dimension(rows.filter("id < 2"), path)
+    assert sorted(r.id for r in read_table(spark, path, schema=schema).collect()) == [0, 1, 4, 5]
+    versions.adopt(spark, str(tmp_path / "nowhere"), DIMENSION)
+    assert versions.live(spark, str(tmp_path / "nowhere")) is None
+
+
+def test_a_mart_survives_a_failed_rebuild(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    spark.range(3).write.parquet(path)  # as a lake without pointers has it
+    overwrite_table(spark.range(5), path)
+    assert read_table(spark, path).count() == 5 and [n for n in os.listdir(path) if n.endswith(".parquet")] == []
+    opened = read_table(spark, path)
+    with pytest.raises(Exception, match="no"):
+        overwrite_table(spark.range(100).selectExpr("if(id = 77, raise_error('no'), id) AS id"), path)
+    assert sorted(r.id for r in read_table(spark, path).collect()) == list(range(5))
+    overwrite_table(spark.range(2), path)
+    assert read_table(spark, path).count() == 2 and opened.count() == 5
+    overwrite_table(spark.range(0), path)
+    assert read_table(spark, path).collect() == []
+
+
+def test_balanced_files_follow_the_bytes(spark, tmp_path):
+    """One huge partition and many tiny ones."""
+    sized = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.shuffle.partitions": "40"}
+    was = {k: spark.conf.get(k) for k in sized}
+    rows = spark.range(0, 240_000, 1, 12).selectExpr("id", "uuid() AS text", "if(id % 60 > 0, 0, 1 + id % 300) AS p")
+    counts = {}
+    for key, value in sized.items():
+        spark.conf.set(key, value)
+    try:
+        for files_asked in (None, "balanced"):
+            path = str(tmp_path / str(files_asked))
+            replace_partitions(rows, path, ["p"], files=files_asked)
+            counts[files_asked] = {n: len([f for f in os.listdir(f"{path}/{n}") if f.endswith(".parquet")]) for n in os.listdir(path) if n[:2] == "p="}
+    finally:
+        for key, value in was.items():
+            spark.conf.set(key, value)
+    assert len(counts["balanced"]) == 6 == len(counts[None])
+    tiny = {n: c for n, c in counts["balanced"].items() if n != "p=0"}
+    assert set(counts[None].values()) == {12} and set(tiny.values()) == {1} and counts["balanced"]["p=0"] > 4
 
 
 def test_intermediate_tables_go(spark, lake):
@@ -188,10 +356,10 @@ def test_bronze_keeps_all_and_facts_leave_broken_lines(spark, lake, tmp_path):
 def test_command_line_runs_one_table_with_file_counts(spark, lake, tmp_path):
     common = ["--root", lake.root, "--ctl_loading", "2", "--ctl_loading_date", str(SECOND.load_date)]
     main(["silver", *common, "--table", "dim_businesses", "--table", "dim_users", "--files", "1", "--workers", "2"], spark)
-    assert versions(spark, lake) == WHOLE
+    assert versions_of(spark, lake) == WHOLE
     assert not os.path.exists(lake.silver("fact_tips"))
-    current = f"{lake.silver(SPEC.table)}/is_current=true/effective_to=9999-12-31"
-    assert len([f for f in os.listdir(current) if f.endswith(".parquet")]) == 1
+    current = [f for f in versions.live(spark, lake.silver(SPEC.table)).folders if "is_current=true" in f]
+    assert len([f for f in os.listdir(f"{lake.silver(SPEC.table)}/{current[0]}") if f.endswith(".parquet")]) == 1
     main(["silver", *common, "--table", "fact_reviews", "--after_load", "0"], spark)
     assert read_fact(spark, lake, "fact_reviews").count() == 2
     build_facts(spark, lake, SECOND)
@@ -229,4 +397,4 @@ def test_null_sentinels_reach_the_merge(spark, tmp_path):
         land(folder, "business", [business("a", 4.0) | {"city": "" if n == 2 else None}])
         ingest_load(spark, lake, load, str(folder), entities=["business"])
         build_dimension(spark, lake, SPEC, load, null_sentinels=True)
-    assert [v[0] for v in versions(spark, lake)] == [1]
+    assert [v[0] for v in versions_of(spark, lake)] == [1]

@@ -21,9 +21,41 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
-def touch(spark: SparkSession, path: str) -> None:
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, whole."""
     system, target = _located(spark, path)
-    system.create(target, True).close()
+    stream = system.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    system, target = _located(spark, path)
+    stream = system.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def rename(spark: SparkSession, path: str, to: str) -> bool:
+    """False if the file system refuses, as most do where the new name exists."""
+    system, target = _located(spark, path)
+    return system.rename(target, spark._jvm.org.apache.hadoop.fs.Path(to))
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, target = _located(spark, path)
+    system.mkdirs(target)
+
+
+def changed(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names in a folder with the time of their last change, in milliseconds."""
+    system, target = _located(spark, path)
+    found = system.listStatus(target) if system.exists(target) else []
+    return {status.getPath().getName(): status.getModificationTime() for status in found}
 
 
 def children(spark: SparkSession, path: str) -> list[str]:

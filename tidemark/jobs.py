@@ -20,6 +20,10 @@ TABLES = {"bronze": list(RAW_FIELDS), "silver": [*DIMS, *FACTS], "gold": [MART],
 STEPS = ("bronze", "silver", "gold", "all")
 
 
+def file_count(text: str) -> int | str:
+    return text if text == "balanced" else int(text)
+
+
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tidemark.jobs")
     parser.add_argument("step", choices=STEPS)
@@ -33,7 +37,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--after_load", type=int, help="silver: take all loads after this one, not the load alone")
     parser.add_argument("--null_sentinels", action="store_true", help="silver: compare NULL as '', 1.0, 0 and so on")
     parser.add_argument("--fill_idle_weeks", action="store_true", help="gold: 0 and carried totals in idle weeks")
-    parser.add_argument("--files", type=int, help="files per table written")
+    parser.add_argument("--files", type=file_count, help="files per table written, or 'balanced': sized by their bytes")
     chosen = parser.parse_args(argv)
     for table in chosen.table:
         if table not in TABLES[chosen.step]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,7 @@ from tidemark.durable import materialise
 from tidemark.functions.changes import attrs_differ
 from tidemark.load import LOAD_ID, LoadContext
 from tidemark.operators.keys import dense_number, drop_null_keys, highest, lay_out, require_unique
-from tidemark.specs import EFFECTIVE_FROM, EFFECTIVE_TO, IS_CURRENT, OPEN_END, DimSpec
+from tidemark.specs import DIGEST, EFFECTIVE_FROM, EFFECTIVE_TO, IS_CURRENT, OPEN_END, DimSpec
 
 _KNOWN, _SINCE, _IN_PLACE, _NUMBER, _RETIRED = "_known", "_since", "_in_place", "_number", "_retired"
 
@@ -41,17 +42,24 @@ def _opened(load: LoadContext) -> dict[str, Column]:
 
 
 def _match(current: DataFrame, increment: DataFrame, spec: DimSpec, null_sentinels: bool) -> DataFrame:
-    """Each increment row beside the current version of its key, with what tells new, changed and same apart."""
+    """Each increment row beside the current version of its key, with what tells new, changed and same apart.
+
+    Where the dimension brings its digests, they stand for the attributes, which are then neither read nor shuffled here.
+    Sentinels make unequal attributes count as equal, so they need the attributes themselves."""
+    by_digest = DIGEST in current.columns and not null_sentinels
+    compared = [DIGEST] if by_digest else spec.attribute_names
     live = current_rows(current).select(
-        *[F.col(c).alias(_old(c)) for c in (*spec.surrogates, *spec.key_names, *spec.attribute_names)],
+        *[F.col(c).alias(_old(c)) for c in (*spec.surrogates, *spec.key_names, *compared)],
         F.col(EFFECTIVE_FROM).alias(_SINCE),
         F.lit(True).alias(_KNOWN),
     )
     matched = increment.join(live, [F.col(k) == F.col(_old(k)) for k in spec.key_names], "left")
-    pairs = [(F.col(f.name), F.col(_old(f.name)), f.dtype) for f in spec.attributes]
-    return matched.withColumns(
-        {_KNOWN: F.coalesce(F.col(_KNOWN), F.lit(False)), "_differs": attrs_differ(pairs, null_sentinels)}
-    )
+    if by_digest:
+        differs = ~spec.digest().eqNullSafe(F.col(_old(DIGEST)))
+    else:
+        pairs = [(F.col(f.name), F.col(_old(f.name)), f.dtype) for f in spec.attributes]
+        differs = attrs_differ(pairs, null_sentinels)
+    return matched.withColumns({_KNOWN: F.coalesce(F.col(_KNOWN), F.lit(False)), "_differs": differs})
 
 
 def changed_rows(
@@ -98,6 +106,8 @@ def scd2_delta(
     spec: DimSpec,
     load: LoadContext,
     null_sentinels: bool = False,
+    marks: Mapping[str, int] | None = None,
+    digests: bool = False,
 ) -> DataFrame:
     """The versions that a load opens, keeps current or closes: all that has to be written again.
 
@@ -106,7 +116,11 @@ def scd2_delta(
     and is replaced in place; a load dated before the version fails. Versions already closed on the same day
     are part of the result, so that it can replace that day's partition. The call stores the changed rows,
     so it runs jobs; the result itself is lazy.
+
+    ``marks`` are the largest surrogates in use; without them a column of all history is read. With ``digests`` the result
+    has the digest of each version's attributes too, and a dimension that brings them is matched by them.
     """
+    columns = [*spec.columns, DIGEST] if digests else spec.columns
     started_later = F.col(_SINCE) > F.lit(load.load_date)
     refused = F.raise_error(F.lit(f"{spec.table}: load date {load.load_date} is before the current version"))
     in_place = (
@@ -133,11 +147,15 @@ def scd2_delta(
 
     fresh = dense_number(stored, _NUMBER).withColumns(
         {
-            s: F.when(F.col(_IN_PLACE), F.col(_old(s))).otherwise(F.col(_NUMBER) + highest(current, s))
+            s: F.when(F.col(_IN_PLACE), F.col(_old(s))).otherwise(
+                F.col(_NUMBER) + (highest(current, s) if marks is None else F.lit(marks.get(s, 0)))
+            )
             for s in spec.surrogates
         }
     )
-    opened = fresh.withColumns(_opened(load)).select(*spec.columns)
+    opened = fresh.withColumns(_opened(load) | {DIGEST: spec.digest()}).select(*columns)
+    if digests and DIGEST not in current.columns:
+        current = current.withColumn(DIGEST, spec.digest())
 
     # Joined on the surrogates alone: as a rule few, so that Spark can broadcast them by their known size.
     retired = stored.filter(F.col(_old(spec.surrogates[0])).isNotNull()).select(
@@ -145,9 +163,9 @@ def scd2_delta(
     )
     kept = current_rows(current).join(retired, list(spec.surrogates), "left")
     kept = kept.filter(~F.coalesce(F.col(_RETIRED), F.lit(False)))
-    kept = _closed(kept, load, when=F.col(_RETIRED).isNotNull()).select(*spec.columns)
+    kept = _closed(kept, load, when=F.col(_RETIRED).isNotNull()).select(*columns)
 
-    closed_today = _history(current).filter(_closed_by(load)).select(*spec.columns)
+    closed_today = _history(current).filter(_closed_by(load)).select(*columns)
     return opened.unionByName(kept).unionByName(closed_today)
 
 

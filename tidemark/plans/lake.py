@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import versions
 from tidemark.durable import scratch
 from tidemark.entities import (
     DATE_FIELDS,
@@ -32,14 +33,14 @@ from tidemark.operators.scd2 import scd2_delta
 from tidemark.plans.facts import FACT_SCHEMAS, fact_checkins, fact_reviews, fact_tips
 from tidemark.plans.mart import weekly_business
 from tidemark.sinks.writers import (
-    complete_publish,
+    DIMENSION,
     overwrite_table,
+    publish_dimension,
     publish_fact,
-    publish_staged,
     replace_partitions,
     write_bronze,
 )
-from tidemark.sources.readers import EntityReader, is_record, read_entity, read_or_empty, read_table, since_load
+from tidemark.sources.readers import EntityReader, empty_table, is_record, read_entity, read_table, since_load
 from tidemark.specs import CORRUPT_RECORD, EXTRA_FIELDS, DimSpec, EntitySpec
 
 MART = "weekly_business_aggregate"
@@ -61,10 +62,6 @@ class Lake:
     def gold(self, table: str = MART) -> str:
         return f"{self.root}/gold/{table}"
 
-    def stage(self, table: str) -> str:
-        """Where a dimension's next state waits for its publish."""
-        return f"{self.root}/stage/{table}"
-
     def quality(self) -> str:
         return f"{self.root}/quality/load_quality"
 
@@ -115,7 +112,7 @@ def ingest(
     bronze: str,
     reader: EntityReader = read_entity,
     workers: int = 1,
-    files: int | None = None,
+    files: int | str | None = None,
     prefix: str = FILE_PREFIX,
     quality: str | None = None,
 ) -> None:
@@ -168,21 +165,38 @@ def build_dimension(
     load: LoadContext,
     after_load: int | None = None,
     null_sentinels: bool = False,
-    files: int | None = None,
+    files: int | str | None = None,
 ) -> None:
-    """Merge the load into a dimension and publish it, after completing a publish that broke off.
+    """Merge the load into a dimension and publish the next version of its table.
 
-    Over several loads the newest row per key counts; two rows of one key in the same load fail the job.
+    Over several loads the newest row per key counts; two rows of one key in the same load fail the job. If another run
+    publishes meanwhile, this one fails with :class:`tidemark.versions.Conflict` and changes nothing.
     """
-    path, stage = lake.silver(spec.table), lake.stage(spec.table)
-    complete_publish(spark, path, stage, spec, files)
+    path = lake.silver(spec.table)
+    versions.adopt(spark, path, DIMENSION)
     with scratch(spark):
         raw = bronze_increment(spark, lake, spec.entity, load, after_load)
         if after_load is not None:
             raw = newest_rows(raw, [f.source for f in spec.keys])
-        current = read_or_empty(spark, path, spec.schema)
-        delta = scd2_delta(current, spec.conform(raw), spec, load, null_sentinels)
-        publish_staged(delta, path, stage, spec, files)
+        base = versions.live(spark, path)
+        current, marks = standing(spark, path, base, spec)
+        delta = scd2_delta(current, spec.conform(raw), spec, load, null_sentinels, marks, digests=True)
+        publish_dimension(delta, path, files, base, marks)
+
+
+def standing(
+    spark: SparkSession, path: str, base: versions.Version | None, spec: DimSpec
+) -> tuple[DataFrame, dict[str, int]]:
+    """A dimension as of a version, with its digests if it has them, and the largest surrogates in use: as noted with
+    the version, or else by reading them."""
+    if base is None:
+        return empty_table(spark, spec.stored_schema), dict.fromkeys(spec.surrogates, 0)
+    schema = spec.stored_schema if base.notes.get("digests") else spec.schema
+    current = versions.read(spark, path, base, schema=schema)
+    marks = base.notes.get("highest") or {}
+    if not set(spec.surrogates) <= marks.keys():
+        marks = current.agg(*[F.coalesce(F.max(s), F.lit(0)).alias(s) for s in spec.surrogates]).first().asDict()
+    return current, {s: marks[s] for s in spec.surrogates}
 
 
 def newest_rows(raw: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -207,7 +221,7 @@ def build_facts(
     load: LoadContext,
     after_load: int | None = None,
     workers: int = 1,
-    files: int | None = None,
+    files: int | str | None = None,
     tables: Sequence[str] = FACTS,
 ) -> None:
     """Publish the load's snapshot of each fact; both dimensions of the load must be there.
@@ -241,8 +255,9 @@ def newest_fact(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     return fact if newest is None else fact.filter(F.col(LOAD_DATE) == F.lit(date.fromisoformat(newest)))
 
 
-def build_mart(spark: SparkSession, lake: Lake, fill_idle_weeks: bool = False, files: int | None = None) -> None:
-    """Rebuild the weekly mart from the current businesses and the newest load of each fact."""
+def build_mart(spark: SparkSession, lake: Lake, fill_idle_weeks: bool = False, files: int | str | None = None) -> None:
+    """Rebuild the weekly mart from the current businesses and the newest load of each fact, and publish it as the next
+    version: until then, and if the rebuild fails, readers have the one before."""
     facts = [newest_fact(spark, lake, table) for table in ("fact_reviews", "fact_checkins", "fact_tips")]
     mart = weekly_business(read_dimension(spark, lake, DIM_BUSINESSES), *facts, fill_idle_weeks)
     overwrite_table(mart, lake.gold(), files)
@@ -256,7 +271,7 @@ def run_load(
     workers: int = 1,
     null_sentinels: bool = False,
     fill_idle_weeks: bool = False,
-    files: int | None = None,
+    files: int | str | None = None,
 ) -> None:
     """One whole load: ingest, dimensions, facts, mart."""
     ingest_load(spark, lake, load, landing, workers, files)
@@ -271,7 +286,7 @@ def ingest_load(
     load: LoadContext,
     landing: str,
     workers: int = 1,
-    files: int | None = None,
+    files: int | str | None = None,
     entities: Sequence[str] = (),
 ) -> None:
     """Ingest all entities of the lake, or the named ones, with their quality counts."""
@@ -288,7 +303,7 @@ def build_dimensions(
     workers: int = 1,
     after_load: int | None = None,
     null_sentinels: bool = False,
-    files: int | None = None,
+    files: int | str | None = None,
 ) -> None:
     """Both dimensions, or the given ones, side by side."""
 

@@ -2,35 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark import files as folders
+from tidemark import versions
 from tidemark.load import LOAD_DATE, LOAD_ID, LoadContext
-from tidemark.specs import EFFECTIVE_TO, IS_CURRENT, DimSpec
+from tidemark.specs import DIGEST, EFFECTIVE_TO, IS_CURRENT
 
-# Fixed value: Spark leaves this file when all parts of a table are written. The other one is ours.
-WHOLE, DONE = "_SUCCESS", "_PUBLISHED"
+#: How the rows of a dimension lie.
+DIMENSION = (IS_CURRENT, EFFECTIVE_TO)
 
 
-def _spread(df: DataFrame, files: int | None) -> DataFrame:
-    # No shuffle unless a file count is asked for: one file per task and touched partition.
-    return df if files is None else df.repartition(files)
+def _spread(df: DataFrame, files: int | str | None, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Nothing is shuffled unless files are asked for: a number of them, or ``"balanced"`` ones, which adaptive execution
+    sizes by bytes, a hot partition in several and small ones together."""
+    if files is None:
+        return df
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if files == "balanced" else df.repartition(files)
 
 
 def replace_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet", files: int | None = None
+    df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet", files: int | str | None = None
 ) -> None:
     """Replace exactly the partitions that occur in ``df``, at commit time.
 
     Spark writes beside the table and swaps the partition folders when the job commits, so the table
     may be read by the very plan that replaces it, and a job that fails before its commit leaves it as it was.
-    A commit that breaks off may leave some folders swapped and some not: see :func:`publish_staged`.
+    A commit that breaks off may leave some folders swapped and some not; tables for which that matters are published
+    by version (:mod:`tidemark.versions`).
     """
     (
-        _spread(df, files)
+        _spread(df, files, partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -41,7 +46,7 @@ def replace_partitions(
 
 
 def replace_load(
-    df: DataFrame, path: str, column: str, value: object, fmt: str = "parquet", files: int | None = None
+    df: DataFrame, path: str, column: str, value: object, fmt: str = "parquet", files: int | str | None = None
 ) -> None:
     """Replace the one partition of a load, also by nothing: without rows no folder remains.
 
@@ -54,58 +59,48 @@ def replace_load(
         folders.remove(df.sparkSession, f"{path}/{column}={value}")
 
 
-def write_bronze(df: DataFrame, path: str, load: LoadContext, files: int | None = None) -> None:
+def write_bronze(df: DataFrame, path: str, load: LoadContext, files: int | str | None = None) -> None:
     """Raw rows as ORC, one partition per load; other loads stay."""
     replace_load(df, path, LOAD_ID, load.load_id, "orc", files)
 
 
-def publish_dimension(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Publish dimension rows by current flag and end of validity.
+def publish_dimension(
+    df: DataFrame,
+    path: str,
+    files: int | str | None = None,
+    base: versions.Version | None = None,
+    highest: Mapping[str, int] | None = None,
+) -> versions.Version:
+    """Publish dimension rows by current flag and end of validity, as the next version of the table.
 
-    All current rows share one open end, and a load closes rows at one date only. A load thus replaces the
-    current partition and the one it closes; older history is not rewritten.
+    All current rows share one open end, and a load closes rows at one date only. A load thus replaces the current
+    partition and the one it closes; older history is neither rewritten nor read. ``base`` is the version from which the
+    rows were made (if none is given, the newest). ``highest``, the largest surrogates in use before, is noted for the next
+    load with those that the rows bring.
     """
-    replace_partitions(df, path, [IS_CURRENT, EFFECTIVE_TO], files=files)
+    base = base or versions.live(df.sparkSession, path)
+    seen = Observation()
+    counted = df.observe(seen, *[F.max(s).alias(s) for s in highest]) if highest else df
 
+    def notes() -> dict:
+        marks = {s: max(n, seen.get[s] or 0) for s, n in highest.items()} if highest else {}
+        return {"highest": marks, "digests": DIGEST in df.columns}
 
-def publish_staged(
-    delta: DataFrame, path: str, stage: str, spec: DimSpec, files: int | None = None
-) -> None:
-    """Publish a dimension so that a publish which breaks off can be taken up again.
-
-    The delta is first stored whole in ``stage``, on the lake's own file system. From there the closed partition is
-    published, then the current one: at each moment every version is in the table or in the stage.
-    """
-    _spread(delta, files).write.mode("overwrite").parquet(stage)
-    _from_stage(delta.sparkSession, path, stage, spec, files)
-
-
-def complete_publish(spark: SparkSession, path: str, stage: str, spec: DimSpec, files: int | None = None) -> bool:
-    """Finish what an earlier run left: a whole stage is published (again), one that was not written whole is dropped.
-    True if something was published."""
-    if not folders.exists(spark, stage):
-        return False
-    whole = folders.exists(spark, f"{stage}/{WHOLE}") and not folders.exists(spark, f"{stage}/{DONE}")
-    if whole:
-        _from_stage(spark, path, stage, spec, files)
-    else:
-        folders.remove(spark, stage)
-    return whole
-
-
-def _from_stage(spark: SparkSession, path: str, stage: str, spec: DimSpec, files: int | None) -> None:
-    staged = spark.read.schema(spec.schema).parquet(stage)
-    for part in (~F.col(IS_CURRENT), F.col(IS_CURRENT)):
-        publish_dimension(staged.filter(part), path, files)
-    folders.touch(spark, f"{stage}/{DONE}")
-    folders.remove(spark, stage)
+    return versions.publish(_spread(counted, files, DIMENSION), path, DIMENSION, base, notes)
 
 
-def publish_fact(df: DataFrame, path: str, load: LoadContext, files: int | None = None) -> None:
+def publish_fact(df: DataFrame, path: str, load: LoadContext, files: int | str | None = None) -> None:
     """Publish one load's snapshot of a fact; running the load again replaces it, with rows or without."""
     replace_load(df, path, LOAD_DATE, load.load_date, files=files)
 
 
-def overwrite_table(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Replace a whole table."""
-    _spread(df, files).write.mode("overwrite").parquet(path)
+def overwrite_table(df: DataFrame, path: str, files: int | str | None = None) -> versions.Version:
+    """Replace a whole table by a next version: readers have the one before it until then, and keep it if this fails."""
+    spark = df.sparkSession
+    base = versions.live(spark, path)
+    version = versions.publish(_spread(df, files), path, base=base)
+    if base is None:  # what lay there without a pointer
+        for name in folders.children(spark, path):
+            if name != versions.POINTERS and not name.startswith(f"{versions.RUN}="):
+                folders.remove(spark, f"{path}/{name}")
+    return version

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import versions
 from tidemark.load import LOAD_ID
 from tidemark.specs import CORRUPT_RECORD, EXTRA_FIELDS, EntitySpec
 
@@ -73,7 +74,11 @@ def corrupt_rows(df: DataFrame) -> DataFrame:
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None
 ) -> DataFrame:
-    """Scan a lake table. With a schema, partition columns keep their declared type (a flag stays boolean)."""
+    """Scan a lake table, of a published one the newest version. With a schema, partition columns keep their declared
+    type (a flag stays boolean)."""
+    version = versions.live(spark, path)
+    if version is not None:
+        return versions.read(spark, path, version, fmt, schema)
     reader = spark.read.format(fmt)
     return (reader.schema(schema) if schema is not None else reader).load(path)
 

@@ -16,6 +16,9 @@ EFFECTIVE_FROM = "effective_from"
 EFFECTIVE_TO = "effective_to"
 IS_CURRENT = "is_current"
 
+# In a stored dimension: a digest of a version's attributes, by which a load tells changed members.
+DIGEST = "_attributes_digest"
+
 # Fixed value: the open end of a version's validity.
 OPEN_END = date(9999, 12, 31)
 
@@ -93,6 +96,21 @@ class DimSpec:
     def columns(self) -> list[str]:
         return self.schema.names
 
+    @property
+    def stored_schema(self) -> T.StructType:
+        """The schema with the digest that lies in the table besides."""
+        return self.schema.add(DIGEST, T.BinaryType())
+
+    def digest(self) -> Column:
+        """SHA-256 of all attributes. Equal for rows whose attributes are equal, NULL to NULL only; 0.0 is -0.0."""
+
+        def text(f: Field) -> Column:
+            value = F.col(f.name) + F.lit(0.0) if isinstance(f.dtype, (T.FloatType, T.DoubleType)) else F.col(f.name)
+            shown = value.cast("string")
+            return F.coalesce(F.concat(F.octet_length(shown).cast("string"), F.lit(":"), shown), F.lit("-"))
+
+        return F.unhex(F.sha2(F.concat(F.lit(""), *[text(f) for f in self.attributes]), 256))
+
     def conform(self, source: DataFrame) -> DataFrame:
         """Rename and cast the mapped source columns once; unmapped ones are pruned from the scan."""
         return source.select(*[f.conformed() for f in self.keys + self.attributes])
