@@ -39,7 +39,7 @@ from tidemark.llm.text import whole
 
 #: Turns of a segment, turns a shard should have, the most shards, sampled paths of a shard.
 SEGMENT = 64
-SHARD_TURNS = 8_192
+SHARD_TURNS = 1_024
 MOST_SHARDS = 2_048
 SAMPLED = 16
 #: Segments of a conversation that are summed together, and bytes of ids in a packet.
