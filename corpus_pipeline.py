@@ -67,7 +67,7 @@ def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, and whether they decode to its text."""
-    done = pieces.round_trip(docs, pieces.default_model())
+    done = pieces.round_trip(docs, pieces.default_model(spark))
     return done.select("doc_id", "source", "lang", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
 
 

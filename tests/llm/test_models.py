@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -250,16 +251,51 @@ def test_dropout_varies_by_key_and_decodes_to_the_text(spark):
     assert key(stored.collect()) == key(first) and stored.filter("decoded <> coalesce(text, '')").count() == 0
 
 
-def test_all_dropped_leaves_characters():
-    words = pieces.vocabulary(MODEL)
-    ids = np.frombuffer(words.encode(["ab ▁c"], 1, 1.0, {})[0], "<i4")
-    assert words.decode(ids) == "ab ▁c" and len(ids) == 3 + 1 + 3 + 1
+def one_by_one(words, texts, documents, rate):
+    """Every occurrence by an agenda of its own."""
+    found = []
+    for text, key in zip(texts, documents.tolist(), strict=True):
+        written = pieces.SPACE + text.replace(pieces.SPACE, pieces.OWN_SPACE).replace(" ", pieces.SPACE) if text else ""
+        units = re.findall(words.units, written)
+        keys = pieces.occurrence_keys(np.full(len(units), key, np.uint64), np.arange(len(units)))
+        ids = [words.encode_unit(u, int(k), int(rate * 2**64)) for u, k in zip(units, keys, strict=True)]
+        found.append(np.concatenate([np.zeros(0, "<i4"), *ids]).tolist())
+    return found
 
 
-@pytest.mark.parametrize("rate", [0.0, 0.2, 0.7])
-def test_encoding_together_equals_one_agenda_each(rate):
+@pytest.mark.parametrize("rate", [0.0, 0.1, 0.7, 1.0])
+def test_encoding_together_equals_one_agenda_each(rate, monkeypatch):
+    monkeypatch.setattr(pieces, "CACHED_UNITS", 900)  # emptied now and then
     rng = random.Random(7)
+    words, cache = pieces.vocabulary(MODEL), pieces.Cache()
+    for _ in range(6):
+        texts = [
+            " ".join("".join(rng.choices("abcdefgitnersoué▁ßñ你.,-0😀", k=rng.randrange(30))) for _ in range(rng.randrange(60)))
+            for _ in range(40)
+        ] + ["", "x" * 5_000, "the the the\n the  the", "▁"]
+        documents = np.random.default_rng(len(texts)).integers(0, 1 << 63, len(texts)).astype(np.uint64)
+        ids, counts = words.encode(texts, documents, rate, cache)
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == one_by_one(words, texts, documents, rate)
+
+
+def test_every_occurrence_is_drawn_for_by_itself(spark):
+    """No bound on the cuts of a word: they grow with its occurrences, in one document and over many."""
+    texts = [(i, " ".join(["international"] * 200)) for i in range(20)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    cuts = Counter()
+    words = pieces.vocabulary(MODEL)
+    begin = {i for i, o in enumerate(words.octets) if o.startswith(b" ")}
+    per_document = []
+    for r in pieces.encode(docs, MODEL, dropout=0.1).collect():
+        starts = [n for n, i in enumerate(r["ids"]) if i in begin]
+        own = {tuple(r["ids"][a:b]) for a, b in zip(starts, [*starts[1:], None], strict=True)}
+        per_document.append(len(own))
+        cuts.update(own)
+    assert min(per_document) > 4 and len(cuts) > 2 * max(per_document)
+
+
+def test_all_dropped_leaves_characters():
     words = pieces.vocabulary(MODEL)
-    units = {"▁" * rng.randrange(3) + "".join(rng.choices("abcdefgitnersoué▁ßñ你.,-0", k=rng.randrange(1, 30))) for _ in range(3000)}
-    found = words.encode_units(sorted(units), 11, bound := int(rate * 2**64))
-    assert found == {u: words.encode_unit(u, 11, bound) for u in units}
+    ids, _ = words.encode(["ab ▁c"], np.ones(1, np.uint64), 1.0, pieces.Cache())
+    assert words.decode(ids) == "ab ▁c" and len(ids) == 3 + 1 + 3 + 1

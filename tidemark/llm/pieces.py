@@ -3,29 +3,34 @@
 The pieces and their scores come from a published BPE model (a path, read on the driver; the table of a few ten
 thousand pieces is broadcast). A text is cut into units that no piece crosses. In a unit, candidate merges wait in an
 agenda, best piece first and leftmost among equals; a candidate that comes up is skipped if a hash keyed by seed,
-variant, unit, piece and place falls below the dropout rate. A document's variant follows from its id, so the same word
-is cut in ``variants`` ways over the corpus and always alike in a rerun. With dropout 0 the pieces are the model's own.
+document id, the unit's place in the text, piece and place in the unit falls below the dropout rate. So every occurrence
+of a word is drawn for by itself, and a rerun draws alike. With dropout 0 the pieces are the model's own.
+
+What is cached of a unit is what every occurrence has in common: its symbols, their first candidates, and the merges of the
+agenda when nothing is skipped. An occurrence draws for those merges; if none is skipped, their outcome is its own, else its
+agenda is run, together with those of many other occurrences, as arrays.
 
 What no piece covers becomes byte pieces. A space is written as U+2581; a U+2581 of the text itself becomes bytes, so
 that every text decodes to itself.
 
-Defined results: NULL counts as empty text and has no pieces; repeated rows are encoded one by one and alike; an empty
-table gives no rows; columns named like an output column are replaced by it.
+Defined results: NULL counts as empty text and has no pieces; a NULL id draws like an id of its own; repeated rows are encoded
+one by one and alike; a text of any length is encoded whole, and a unit without end (no white space in it) has an agenda of
+its own, a heap; an empty table gives no rows; columns named like an output column are replaced by it.
 """
 
 from __future__ import annotations
 
 import re
-from array import array
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm import packets
 from tidemark.llm.text import whole
 
 SPACE = "▁"
@@ -43,6 +48,19 @@ PLACES = (1 << PLACE) - 1
 #: Units up to this length are encoded together; a longer one has an agenda of its own.
 TOGETHER = 24
 NONE = np.int64(1) << 60
+#: Occurrences whose agendas run as one array.
+ROWS = 1 << 14
+
+
+def occurrence_keys(document: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """What an occurrence draws with, from its document's key and its place there."""
+    return packets.mix64(document + place.astype(np.uint64) * packets.GOLDEN)
+
+
+def spread(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The indexes of runs, one run after the other."""
+    ends = np.cumsum(length)
+    return np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Merges:
@@ -73,37 +91,43 @@ class Merges:
         at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
         return np.where(self.keys[at] == asked, self.ranks[at], NONE)
 
-    def run(self, units: list[str], keys: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
-        """The symbols left of each unit (-1 where one was merged away) after its agenda is empty: in every round each
-        unit takes its best candidate, the leftmost of the best piece, and skips it or merges."""
-        width = max(map(len, units))
-        code = "".join(u.ljust(width, "\0") for u in units).encode("utf-32-le", "surrogatepass")
-        lengths = np.array([len(u) for u in units])
-        symbols = self.of_char[np.frombuffer(code, "<u4").reshape(-1, width)]
-        places = np.arange(width)
-        symbols[places[None, :] >= lengths[:, None]] = -1
-        after = np.tile(places + 1, (len(units), 1))
-        before = np.tile(places - 1, (len(units), 1))
-        best = np.full(symbols.shape, NONE)
-        if width > 1:
-            both = symbols[:, 1:] >= 0
-            best[:, :-1][both] = self.joined(symbols[:, :-1][both], symbols[:, 1:][both])
-        rows = np.arange(len(units))
+    def begin(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The symbols of some units one after the other, the rank of each with the next one, and the units' lengths."""
+        lengths = np.array([len(u) for u in units], np.int64)
+        code = "".join(units).encode("utf-32-le", "surrogatepass")
+        symbols = self.of_char[np.frombuffer(code, "<u4")]
+        best = np.full(len(symbols), NONE)
+        inside = np.ones(len(symbols), bool)
+        inside[np.cumsum(lengths) - 1] = False
+        at = np.flatnonzero(inside)
+        best[at] = self.joined(symbols[at], symbols[at + 1])
+        return symbols, best, lengths
+
+    def run(self, symbols: np.ndarray, best: np.ndarray, lengths: np.ndarray, keys: np.ndarray, bound: int, path: list | None = None):
+        """The symbols left of each row (-1 where one was merged away) after its agenda is empty: in every round each
+        row takes its best candidate, the leftmost of the best piece, and skips it or merges. ``symbols`` and ``best``
+        have a row for each and are changed. The merges made go to ``path``, by round, as (rows, candidates)."""
+        width = symbols.shape[1]
+        places = np.arange(width, dtype=np.int32)
+        after = np.tile(places + 1, (len(symbols), 1))
+        before = np.tile(places - 1, (len(symbols), 1))
+        rows = np.arange(len(symbols))
         while len(rows):
-            at = best[rows].argmin(1)
-            rank = best[rows, at]
+            now = best[rows]
+            at = now.argmin(1)
+            rank = now[np.arange(len(rows)), at]
             open_ = rank < NONE
-            rows, at, rank = rows[open_], at[open_], rank[open_]
+            if not open_.all():
+                rows, at, rank = rows[open_], at[open_], rank[open_]
+            r, i = rows, at
             if bound:
                 top = (rank << PLACE | at).astype(np.uint64)
-                draw = keys[rows] + top * np.uint64(GOLDEN)
-                draw = (draw ^ draw >> np.uint64(29)) * np.uint64(MIXER)
-                skipped = draw < np.uint64(min(bound, MASK))
+                skipped = draws(keys[rows], top) < np.uint64(min(bound, MASK))
                 best[rows[skipped], at[skipped]] = NONE
                 taken = ~skipped
                 r, i, rank = rows[taken], at[taken], rank[taken]
-            else:
-                r, i = rows, at
+            if path is not None:
+                path.append((r, rank << PLACE | i))
             j = after[r, i]
             symbols[r, i], symbols[r, j], best[r, j], best[r, i] = rank, -1, NONE, NONE
             k = after[r, j]
@@ -116,7 +140,65 @@ class Merges:
             more = h >= 0
             rm, im, hm = r[more], i[more], h[more]
             best[rm, hm] = self.joined(symbols[rm, hm], symbols[rm, im])
-        return symbols, lengths
+        return symbols
+
+
+def draws(keys: np.ndarray, tops: np.ndarray) -> np.ndarray:
+    drawn = keys + tops * np.uint64(GOLDEN)
+    return (drawn ^ drawn >> np.uint64(29)) * np.uint64(MIXER)
+
+
+class Cache:
+    """What all occurrences of a unit have in common. Of each: symbols and first candidates (``begin`` on, ``length``
+    many), the merges without dropout (``path``), and the ids that they end in (``ids``)."""
+
+    def __init__(self):
+        self.index: dict[str, int] = {}
+        self.units: list[str] = []
+        none = np.zeros(0, np.int64)
+        self.symbols, self.best, self.length, self.begin = none, none, none, none
+        self.path, self.path_begin, self.path_length = none.astype(np.uint64), none, none
+        self.ids, self.ids_begin, self.ids_length = none.astype("<i4"), none, none
+
+    def add(self, words: Vocabulary, units: list[str]) -> None:
+        self.index.update(zip(units, range(len(self.units), len(self.units) + len(units)), strict=True))
+        self.units += units
+        symbols, best, length = words.merges.begin(units)
+        path: list = []
+        ended = np.full(len(symbols), -1, np.int64)
+        begin = np.cumsum(length) - length
+        for rows in by_width(length):
+            grid, first = words.gather(symbols, begin, length, rows, -1), words.gather(best, begin, length, rows, NONE)
+            made: list = []
+            grid = words.merges.run(grid, first, length[rows], np.zeros(len(rows), np.uint64), 0, made)
+            path += [(rows[r], tops) for r, tops in made]
+            ended[spread(begin[rows], length[rows])] = grid[np.arange(grid.shape[1])[None, :] < length[rows][:, None]]
+        owner = np.concatenate([r for r, _ in path]) if path else np.zeros(0, np.int64)
+        tops = np.concatenate([t for _, t in path]).astype(np.uint64) if path else np.zeros(0, np.uint64)
+        order = np.argsort(owner, kind="stable")
+        count = np.bincount(owner, minlength=len(units))
+        ids, ids_length, _ = words.ids_of(ended, begin, length, units)
+
+        def more(name: str, values: np.ndarray, lengths: np.ndarray) -> None:
+            old = getattr(self, name)
+            setattr(self, f"{name}_begin", np.append(getattr(self, f"{name}_begin"), len(old) + np.cumsum(lengths) - lengths))
+            setattr(self, f"{name}_length", np.append(getattr(self, f"{name}_length"), lengths))
+            setattr(self, name, np.append(old, values))
+
+        self.begin = np.append(self.begin, len(self.symbols) + begin)
+        self.length = np.append(self.length, length)
+        self.symbols, self.best = np.append(self.symbols, symbols), np.append(self.best, best)
+        more("path", tops[order], count)
+        more("ids", ids, ids_length)
+
+
+def by_width(lengths: np.ndarray):
+    """Rows of like length together, ``ROWS`` at most."""
+    order = np.argsort(lengths, kind="stable")
+    edges = np.searchsorted(lengths[order], [5, 9, 13, 17, TOGETHER + 1])
+    for a, b in zip([0, *edges[:-1]], edges, strict=True):
+        for first in range(a, b, ROWS):
+            yield order[first : min(b, first + ROWS)]
 
 
 @dataclass
@@ -128,20 +210,18 @@ class Vocabulary:
     units: str  # pattern
     merges: Merges
 
-    def encode_unit(self, unit: str, seed: int, bound: int) -> bytes:
-        """The ids of a unit, four bytes each; a candidate is skipped if its draw is below ``bound`` of 2^64.
+    def encode_unit(self, unit: str, key: int, bound: int) -> np.ndarray:
+        """The ids of one occurrence of a unit by an agenda of its own; a candidate is skipped if its draw is below
+        ``bound`` of 2^64.
 
         A candidate is one number: the rank of its piece, then where it starts. It is stale if the symbols there no
         longer join to that piece.
         """
-        import xxhash
-
         n, get = len(unit), self.rank.get
         symbols: list[str | None] = list(unit)
         agenda = [r << PLACE | i for i in range(n - 1) if (r := get(unit[i : i + 2])) is not None]
         if agenda:
             after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-            key = xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), seed) if bound else 0
             heapify(agenda)
             while agenda:
                 top = heappop(agenda)
@@ -170,36 +250,100 @@ class Vocabulary:
                 if (number := self.number.get(symbol)) is not None:
                     ids.append(number)
                 else:
-                    ids += [self.byte_number[b] for b in symbol.replace(OWN_SPACE, SPACE).encode()]
-        return array("i", ids).tobytes()
-
-    def encode_units(self, units: list[str], seed: int, bound: int) -> dict[str, bytes]:
-        """As :meth:`encode_unit` for many; those with characters that no piece covers go through it one by one."""
-        import xxhash
-
-        found = {}
-        short = [u for u in units if len(u) <= TOGETHER]
-        if short:
-            keys = np.array([xxhash.xxh64_intdigest(u.encode("utf-8", "surrogatepass"), seed) for u in short], np.uint64)
-            symbols, _ = self.merges.run(short, keys, bound)
-            covered = (symbols < self.merges.pieces).all(1)
-            left = symbols[covered] >= 0
-            ids = self.merges.numbers[symbols[covered][left]].tobytes()
-            ends = (4 * np.cumsum(left.sum(1))).tolist()
-            names = [u for u, c in zip(short, covered.tolist(), strict=True) if c]
-            found = {u: ids[a:b] for u, a, b in zip(names, [0, *ends], ends, strict=False)}
-        return found | {u: self.encode_unit(u, seed, bound) for u in units if u not in found}
-
-    def encode(self, texts: list[str], seed: int, rate: float, cache: dict) -> list[bytes]:
-        """The ids of each text, four bytes each. What the cache lacks is encoded together."""
+                    ids += self.bytes_of(symbol)
+        return np.array(ids, "<i4")
+
+    def bytes_of(self, character: str) -> list[int]:
+        return [self.byte_number[b] for b in character.replace(OWN_SPACE, SPACE).encode()]
+
+    @staticmethod
+    def gather(flat: np.ndarray, begin: np.ndarray, length: np.ndarray, rows: np.ndarray, beyond) -> np.ndarray:
+        """Runs of a flat array as rows of a matrix, filled up with ``beyond``."""
+        width = int(length[rows].max())
+        found = np.full((len(rows), width), beyond, np.int64)
+        found[np.arange(width)[None, :] < length[rows][:, None]] = flat[spread(begin[rows], length[rows])]
+        return found
+
+    def ids_of(self, ended: np.ndarray, begin: np.ndarray, length: np.ndarray, units: list[str]):
+        """(ids, how many each unit has, whether pieces cover it) from the symbols that are left, unit after unit."""
+        if not len(units):
+            return np.zeros(0, "<i4"), np.zeros(0, np.int64), np.zeros(0, bool)
+        foreign = ended >= self.merges.pieces
+        left = ended >= 0
+        counts = np.add.reduceat(left, begin).astype(np.int64)
+        plain = ~np.logical_or.reduceat(foreign, begin)
+        if plain.all():
+            return self.merges.numbers[ended[left]], counts, plain
+        parts, at = [], 0
+        found = np.where(foreign, -1, self.merges.numbers[np.clip(ended, 0, self.merges.pieces - 1)])
+        odd = np.flatnonzero(~plain).tolist()
+        for n in odd:
+            parts.append(found[at : begin[n]][left[at : begin[n]]])
+            at = int(begin[n] + length[n])
+            own: list[int] = []
+            for i in range(int(begin[n]), at):
+                if left[i]:
+                    own += self.bytes_of(units[n][i - int(begin[n])]) if foreign[i] else [int(found[i])]
+            parts.append(np.array(own, "<i4"))
+            counts[n] = len(own)
+        parts.append(found[at:][left[at:]])
+        return np.concatenate(parts).astype("<i4"), counts, plain
+
+    def rerun(self, cache: Cache, which: np.ndarray, keys: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each has) of occurrences of cached units whose agendas must be run."""
+        lengths = cache.length[which]
+        ends = np.cumsum(lengths)
+        ended = np.full(ends[-1] if len(ends) else 0, -1, np.int64)
+        for rows in by_width(lengths):
+            units = which[rows]
+            grid = self.gather(cache.symbols, cache.begin, cache.length, units, -1)
+            best = self.gather(cache.best, cache.begin, cache.length, units, NONE)
+            grid = self.merges.run(grid, best, lengths[rows], keys[rows], bound)
+            inside = np.arange(grid.shape[1])[None, :] < lengths[rows][:, None]
+            ended[spread(ends[rows] - lengths[rows], lengths[rows])] = grid[inside]
+        units = [cache.units[n] for n in which.tolist()]
+        ids, counts, _ = self.ids_of(ended, ends - lengths, lengths, units)
+        return ids, counts
+
+    def encode(self, texts: list[str], documents: np.ndarray, rate: float, cache: Cache) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each text has); ``documents`` are the keys that the texts draw with."""
         written = [SPACE + t.replace(SPACE, OWN_SPACE).replace(" ", SPACE) if t else "" for t in texts]
         found = [re.findall(self.units, w) for w in written]
-        lacking = {u for units in found for u in units} - cache.keys()
-        if len(cache) + len(lacking) > CACHED_UNITS:
-            cache.clear()
-            lacking = {u for units in found for u in units}
-        cache |= self.encode_units(list(lacking), seed, int(rate * 2**64))
-        return [b"".join([cache[u] for u in units]) for units in found]
+        sizes = np.array([len(units) for units in found], np.int64)
+        flat = [u for units in found for u in units]
+        bound = int(rate * 2**64)
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        keys = occurrence_keys(np.repeat(documents, sizes), place)
+        lacking = {u for u in flat if len(u) <= TOGETHER} - cache.index.keys()
+        if len(cache.units) + len(lacking) > CACHED_UNITS:
+            cache.__init__()
+            lacking = {u for u in flat if len(u) <= TOGETHER}
+        if lacking:
+            cache.add(self, sorted(lacking))
+        which = np.fromiter((cache.index.get(u, -1) for u in flat), np.int64, len(flat))
+        known = np.flatnonzero(which >= 0)
+        unit = which[known]
+        again = np.zeros(0, np.int64)
+        if bound:
+            # Who skips one of the merges that it would make without dropout?
+            steps = cache.path_length[unit]
+            owner = np.repeat(np.arange(len(unit)), steps)
+            tops = cache.path[spread(cache.path_begin[unit], steps)]
+            hit = np.zeros(len(unit), bool)
+            hit[owner[draws(keys[known][owner], tops) < np.uint64(min(bound, MASK))]] = True
+            again = np.flatnonzero(hit)
+        ids, counts = self.rerun(cache, unit[again], keys[known[again]], bound)
+        begin, length = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int64)
+        begin[known], length[known] = cache.ids_begin[unit], cache.ids_length[unit]
+        begin[known[again]], length[known[again]] = len(cache.ids) + np.cumsum(counts) - counts, counts
+        parts, at = [cache.ids, ids], len(cache.ids) + len(ids)
+        for n in np.flatnonzero(which < 0).tolist():
+            own = self.encode_unit(flat[n], int(keys[n]), bound)
+            parts.append(own)
+            begin[n], length[n] = at, len(own)
+            at += len(own)
+        ends = np.concatenate(([0], np.cumsum(length)))[np.concatenate(([0], np.cumsum(sizes)))]
+        return np.concatenate(parts)[spread(begin, length)], np.diff(ends)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of some ids; the space that encoding puts first is taken off."""
@@ -238,42 +382,36 @@ def encode(
     model_path: str,
     dropout: float = 0.1,
     seed: int = 42,
-    variants: int = 4,
     text_col: str = "text",
     id_col: str = "doc_id",
     decoded: bool = False,
 ) -> DataFrame:
-    """The documents with ``variant`` and ``ids`` (array of int), and if asked the text ``decoded`` from those ids in
-    the same task, which spares a second Python worker."""
+    """The documents with ``ids`` (array of int), and if asked the text ``decoded`` from those ids in the same task, which
+    spares a second Python worker."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(model_path))
-    kept = [f for f in docs.schema if f.name.lower() not in ("variant", "ids", *["decoded"] * decoded)]
-    rows = docs.select(
-        *[F.col(f"`{f.name}`") for f in kept],
-        F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{id_col}`")), F.lit(variants)).cast("int").alias("variant"),
-    )
+    kept = [f for f in docs.schema if f.name.lower() not in ("ids", *["decoded"] * decoded)]
+    key = F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"))
+    rows = docs.select(*[F.col(f"`{f.name}`") for f in kept], key.alias("draws_with"))
     at = [f.name for f in kept].index(text_col)
 
     def task(batches):
-        words, caches = shared.value, [{} for _ in range(variants)]
+        words, cache = shared.value, Cache()
         for batch in batches:
             for first in range(0, batch.num_rows, BATCH):
                 part = batch.slice(first, BATCH)
-                texts, which = part.column(at).to_pylist(), part.column(len(kept)).to_pylist()
-                ids = [b""] * len(texts)
-                for v in range(variants):
-                    mine = [n for n, w in enumerate(which) if w == v]
-                    done = words.encode([texts[n] or "" for n in mine], seed * variants + v, dropout, caches[v])
-                    for n, i in zip(mine, done, strict=True):
-                        ids[n] = i
-                ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
-                array = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-                arrays, names = [*part.columns, array], [*part.schema.names, "ids"]
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                documents = np.asarray(part.column(len(kept))).view(np.uint64)
+                ids, counts = words.encode(texts, documents, dropout, cache)
+                ends = np.concatenate(([0], np.cumsum(counts)))
+                array = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+                arrays, names = [*part.columns[:-1], array], [*part.schema.names[:-1], "ids"]
                 if decoded:
-                    arrays.append(pa.array([words.decode(np.frombuffer(i, "<i4")) for i in ids], pa.string()))
+                    texts = [words.decode(ids[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+                    arrays.append(pa.array(texts, pa.string()))
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    added = [T.StructField("variant", T.IntegerType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
     added += [T.StructField("decoded", T.StringType())] * decoded
     return rows.mapInArrow(task, T.StructType([*kept, *added]))
 
@@ -296,9 +434,12 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFra
     return rows.mapInArrow(task, T.StructType([*kept, T.StructField("decoded", T.StringType())]))
 
 
-def default_model() -> str:
-    """The published 32k BPE model, where the tokenizer files are installed."""
-    return "/opt/tokenizers/piece_bpe_32k.model"
+#: Setting with the path of the model, and where the published 32k BPE model lies if it is not set.
+MODEL_SETTING, MODEL_PATH = "spark.tidemark.pieces.model", "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def default_model(spark: SparkSession | None = None) -> str:
+    return MODEL_PATH if spark is None else spark.conf.get(MODEL_SETTING, MODEL_PATH)
 
 
 def round_trip(docs: DataFrame, model_path: str, **settings) -> DataFrame:

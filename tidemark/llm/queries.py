@@ -62,10 +62,9 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    done = pieces.round_trip(docs, pieces.default_model())
+    done = pieces.round_trip(docs, pieces.default_model(spark))
     return done.select(
         "doc_id",
-        "variant",
         F.size("ids").cast("long").alias("n_pieces"),
         F.xxhash64("ids").alias("ids_xxhash64"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
