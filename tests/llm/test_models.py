@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import edge
-from tidemark.llm import ann_tree, interpolation, licences, pieces, quality
+from tidemark.llm import ann_tree, interpolation, pieces, quality
 from tidemark.llm.text import id_remainder
 
 MODEL = pieces.default_model()
@@ -193,35 +193,6 @@ def test_context_beats_the_base_on_held_out_text(spark):
     assert held and sum(r["score"] for r in held) > 0.5 * sum(r["base_score"] for r in held)
 
 
-# licenses
-
-
-def test_license_scan(spark):
-    templates = licences.TEMPLATES
-    rows = [(n, f"vorher\n{t}\nnachher") for n, t in enumerate(templates.values())]
-    rows += [
-        (100, "Licensed under the Apache Licence, Version 2.0."),  # one word spelt otherwise
-        (101, "Licensed under the Apache License, Version 1.1."),  # another version is another license
-        (102, "We talk about licensing and permission at length, but grant nothing at all."),
-        (103, edge.LONG + " Released under the MIT License. " + edge.LONG),
-        (104, "Released under the MIT License.\nReleased under the MIT License.\nLicensed under CC BY-SA 4.0."),
-        (None, None),
-        (105, ""),
-    ]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r["doc_id"]: [f["license"] for f in r["findings"]] for r in licences.scan(docs, tolerance=0.35).collect()}
-    assert len(found) == len(rows)
-    for n, name in enumerate(sorted(templates, key=list(templates).index)):
-        assert found[n] == [name]
-    assert found[100] == ["Apache-2.0"] and found[101] == [] and found[102] == [] and found[None] == [] and found[105] == []
-    assert set(found[103]) == {"MIT"} and found[104] == ["MIT", "CC-BY-SA-4.0"]
-    assert licences.scan(edge.nothing(spark)).collect() == []
-
-
-def test_differences_name_the_words():
-    assert licences.differences("Dual licensed under GNU GPL version 3", "licensed under the GPL, version 2") == (["the", "2"], ["gnu"])
-
-
 # pieces
 
 
