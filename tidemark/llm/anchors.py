@@ -7,11 +7,12 @@ windows are compared over their whole length with those of all other hits, and o
 maximal repeats. Probes and windows travel as sorted hashes, once per chunk (see ``packets``): a passage that very many
 documents share is one hash per chunk, and no pairs are made.
 
-A probe is told by its leading 40 bits and more, which may only give needless candidates; a window by 64 bits of a sum
-of its words' 64-bit hashes with random odd factors.
+A probe is told by its leading 40 bits and the bucket's, which may only give needless candidates. Windows count as equal if
+128 bits agree: two sums of their words' 128-bit hashes, with random odd factors for each place.
 
-Defined results: a text shorter than the window keeps all its words; NULL counts as empty; repeated rows repeat each
-other; an empty table gives no rows.
+Defined results: a text shorter than the window keeps all its words; NULL counts as empty; NULL ids are kept; repeated rows
+repeat each other; a text of any length is one document of one chunk, a word of any length is one hash; an empty table gives
+no rows; further columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from tidemark.durable import materialise
 from tidemark.llm import packets
 from tidemark.llm.text import whole
 
@@ -42,8 +44,8 @@ class Chunk:
             lengths.append(len(words))
         self.lengths = np.array(lengths, np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.lengths)))[:-1].astype(np.int64)
-        parts = [packets.word_hashes(w) for w in self.words if len(w)]
-        self.hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        parts = [wide_hashes(w) for w in self.words if len(w)]
+        self.hashes = np.concatenate(parts) if parts else np.zeros((0, 2), np.uint64)
 
     def positions(self, n: int) -> np.ndarray:
         """Where n words start in one document that is long enough for a window."""
@@ -51,10 +53,10 @@ class Chunk:
         first = np.repeat(self.starts - np.concatenate(([0], np.cumsum(room)))[:-1], room)
         return first + np.arange(room.sum())
 
-    def sums(self, at: np.ndarray, n: int, seed: int) -> np.ndarray:
-        total = np.zeros(len(at), np.uint64)
+    def sums(self, at: np.ndarray, n: int, seed: int, half: int = 0) -> np.ndarray:
+        total, hashes = np.zeros(len(at), np.uint64), np.ascontiguousarray(self.hashes[:, half])
         for j, factor in enumerate(packets.coefficients(n, seed)):
-            total += self.hashes[at + j] * factor
+            total += hashes[at + j] * factor
         return packets.mix64(total)
 
     def probes(self):
@@ -64,15 +66,16 @@ class Chunk:
         keys, place = np.unique(self.sums(at, self.block, 1), return_inverse=True)
         return at, keys, place, offset % self.block == 0
 
-    def candidates(self, hits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Windows that hold a hit, with their sorted distinct keys and each one's place."""
+    def candidates(self, hits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Windows that hold a hit, with their sorted distinct keys (in two halves) and each one's place."""
         marks = np.zeros(len(self.hashes) + 1, np.int64)
         marks[1:][hits] = 1
         before = np.cumsum(marks)
         at = self.positions(self.window)
         at = at[before[at + self.window - self.block + 1] > before[at]]
-        keys, place = np.unique(self.sums(at, self.window, 2), return_inverse=True)
-        return at, keys, place
+        keys, rest = self.sums(at, self.window, 2), self.sums(at, self.window, 5, half=1)
+        order, place, first = tell_apart(keys, rest)
+        return at, keys[order][first], rest[order][first], place
 
     def covered(self, at: np.ndarray) -> np.ndarray:
         """Words inside the windows that start there."""
@@ -82,78 +85,78 @@ class Chunk:
         return np.cumsum(change)[:-1] > 0
 
 
-def short(keys: np.ndarray, bits: int) -> bytes:
-    """The 40 bits that follow the bucket's."""
-    return packets.narrow((keys << np.uint64(bits)) >> np.uint64(64 - 8 * KEY_BYTES), KEY_BYTES)
+def wide_hashes(words: list[bytes]) -> np.ndarray:
+    """128 bits of each word, in two halves."""
+    import xxhash
 
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), "<u8").reshape(-1, 2)
 
-def hits_of(chunk: Chunk, answers: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+
+def tell_apart(keys: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts keys of two halves, the place of each among the distinct ones, and where in that order a
+    distinct one begins."""
+    order = np.lexsort((rest, keys))
+    first = np.ones(len(order), bool)
+    first[1:] = (keys[order][1:] != keys[order][:-1]) | (rest[order][1:] != rest[order][:-1])
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(first) - 1
+    return order, place, first
+
+
+def hits_of(chunk: Chunk, once: np.ndarray, twice: np.ndarray) -> np.ndarray:
     """Starts of the probes that hit: not a block, and some block is alike; a block, and another block is alike."""
-    at, keys, place, is_block = chunk.probes()
-    sizes = [s.stop - s.start for _, s in packets.buckets_of(keys, (len(answers) - 1).bit_length())]
-    once, twice = (
-        np.concatenate([np.unpackbits(np.frombuffer(a[i], np.uint8), count=n) for a, n in zip(answers, sizes, strict=True)])
-        for i in (0, 1)
-    )
-    return at[np.where(is_block, twice[place], once[place]).astype(bool)], keys
+    at, _, place, is_block = chunk.probes()
+    return at[np.where(is_block, twice[place], once[place]).astype(bool)]
+
+
+def blocks_alike(kind: int, asked: list) -> list:
+    """Of each probe, whether one block has its key and whether two have."""
+    held = np.concatenate([k[n > 0] for k, (n,) in asked])
+    index, place = np.unique(held, return_inverse=True)
+    counts = np.bincount(place, weights=np.concatenate([n[n > 0] for _, (n,) in asked]), minlength=len(index))
+    replies = []
+    for k, _ in asked:
+        found = np.zeros(len(k))
+        if len(index):
+            at = np.minimum(np.searchsorted(index, k), len(index) - 1)
+            same = index[at] == k
+            found[same] = counts[at[same]]
+        replies.append(((found >= 1).astype(np.uint8), (found >= 2).astype(np.uint8)))
+    return replies
 
 
-def repeats(docs: DataFrame, window: int = 35, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def windows_alike(kind: int, asked: list) -> list:
+    """Of each window, whether it starts anywhere else."""
+    _, place, first = tell_apart(np.concatenate([k for k, _ in asked]), np.concatenate([rest for _, (rest, _) in asked]))
+    starts = 1 + np.concatenate([several for _, (_, several) in asked])
+    counts = np.bincount(place, weights=starts, minlength=int(first.sum()))
+    bounds = np.cumsum([len(k) for k, _ in asked])[:-1]
+    return [((counts[p] > 1).astype(np.uint8),) for p in np.split(place, bounds)]
+
+
+def repeats(
+    docs: DataFrame, window: int = 35, text_col: str = "text", id_col: str = "doc_id", chunk_bytes: int = CHUNK_BYTES
+) -> DataFrame:
     """One row per document: id, ``n_words``, ``n_removed``, ``spans`` (first and last+1 word of each maximal repeat)
     and ``kept`` (the other words joined by one space)."""
-    total = docs.agg(F.sum(F.octet_length(whole(F.col(text_col))))).first()[0] or 0
-    chunks, bits = packets.bits_for(total, CHUNK_BYTES)
-    packed = packets.packs(docs, chunks, text_col, id_col)
+    total = docs.agg(F.sum(F.octet_length(whole(F.col(f"`{text_col}`"))))).first()[0] or 0
+    probing, comparing = packets.route_for(total, chunk_bytes, (KEY_BYTES,)), packets.route_for(total, chunk_bytes, (8,))
+    packed = packets.packs(docs, probing.chunks, text_col, id_col)
 
     def probe(rows):
         _, keys, place, is_block = Chunk(rows, window).probes()
         blocks = np.minimum(np.bincount(place, weights=is_block, minlength=len(keys)), 2).astype(np.uint8)
-        for bucket, part in packets.buckets_of(keys, bits):
-            yield bucket, packets.squeeze((short(keys[part], bits), blocks[part].tobytes()))
-
-    def look_up(payloads: list[bytes]) -> list[bytes]:
-        """Of each key, whether one block has it and whether two have."""
-        asked = [packets.expand(p) for p in payloads]
-        keys = [packets.widen(k, KEY_BYTES) for k, _ in asked]
-        blocks = [np.frombuffer(b, np.uint8) for _, b in asked]
-        held = np.concatenate([k[b > 0] for k, b in zip(keys, blocks, strict=True)])
-        index, place = np.unique(held, return_inverse=True)
-        counts = np.bincount(place, weights=np.concatenate([b[b > 0] for b in blocks]), minlength=len(index))
-        replies = []
-        for k in keys:
-            at = np.searchsorted(index, k)
-            found = np.zeros(len(k))
-            inside = at < len(index)
-            same = np.flatnonzero(inside)[index[at[inside]] == k[inside]]
-            found[same] = counts[at[same]]
-            replies.append(packets.squeeze((np.packbits(found >= 1).tobytes(), np.packbits(found >= 2).tobytes())))
-        return replies
+        return [(keys, (blocks,))]
 
     def extend(key, left, right):
-        chunk = Chunk(packets.unpack(left.column("pack")), window)
-        answers = packets.in_order(right)
-        hits, _ = hits_of(chunk, [packets.expand(a) for a in answers])
-        at, keys, place = chunk.candidates(hits)
-        several = np.bincount(place, minlength=len(keys)) > 1
-        parts = packets.buckets_of(keys, bits)
-        found = (
-            (b, packets.squeeze((answers[b], packets.narrow(keys[p], 8), np.packbits(several[p]).tobytes())))
-            for b, p in parts
-        )
-        return packets.requests(key[0].as_py(), found)
-
-    def compare(payloads: list[bytes]) -> list[bytes]:
-        """Of each window, whether it starts anywhere else; the answer to the probes is handed through."""
-        asked = [packets.expand(p) for p in payloads]
-        keys = [packets.widen(k, 8) for _, k, _ in asked]
-        several = [np.unpackbits(np.frombuffer(s, np.uint8), count=len(k)) for (_, _, s), k in zip(asked, keys, strict=True)]
-        index, place = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.bincount(place, weights=1 + np.concatenate(several), minlength=len(index))
-        bounds = np.cumsum([len(k) for k in keys])[:-1]
-        return [
-            packets.squeeze((a[0], np.packbits(counts[p] > 1).tobytes()))
-            for a, p in zip(asked, np.split(place, bounds), strict=True)
-        ]
+        """The packets about windows, and one more to the chunk itself, with its hits."""
+        chunk, number = Chunk(packets.unpack(left.column("pack")), window), key[0].as_py()
+        ((once, twice),) = packets.in_order(right) if right.num_rows else ((np.zeros(0, np.uint8),) * 2,)
+        _, keys, rest, place = chunk.candidates(hits_of(chunk, once, twice))
+        several = (np.bincount(place, minlength=len(keys)) > 1).astype(np.uint8)
+        own = packets.squeeze((np.packbits(once).tobytes(), np.packbits(twice).tobytes()))
+        memo = pa.table({"destination": [-1], "group": [-1], "sender": [number], "payload": pa.array([own], pa.binary())})
+        return pa.concat_tables([packets.send(number, 0, [(keys, (rest, several))], comparing), memo.cast(types)])
 
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = to_arrow_type(docs.schema[id_col].dataType)
@@ -161,13 +164,13 @@ def repeats(docs: DataFrame, window: int = 35, text_col: str = "text", id_col: s
 
     def cut(key, left, right):
         chunk = Chunk(packets.unpack(left.column("pack")), window)
-        answers = [packets.expand(a) for a in packets.in_order(right)]
-        hits, _ = hits_of(chunk, [packets.expand(a) for a, _ in answers])
-        at, keys, place = chunk.candidates(hits)
-        sizes = [p.stop - p.start for _, p in packets.buckets_of(keys, bits)]
-        repeated = np.concatenate(
-            [np.unpackbits(np.frombuffer(r, np.uint8), count=n) for (_, r), n in zip(answers, sizes, strict=True)]
-        ).astype(bool)
+        _, probes, _, _ = chunk.probes()
+        memo = np.asarray(right.column("origin")) == -1
+        own = packets.expand(right.filter(pa.array(memo)).column("payload")[0].as_py())
+        once, twice = (np.unpackbits(np.frombuffer(b, np.uint8), count=len(probes)) for b in own)
+        at, _, _, place = chunk.candidates(hits_of(chunk, once, twice))
+        answers = right.filter(pa.array(~memo))
+        repeated = packets.in_order(answers)[0][0].astype(bool) if answers.num_rows else np.zeros(0, bool)
         gone = chunk.covered(at[repeated[place]])
         rows = []
         for words, start in zip(chunk.words, chunk.starts, strict=True):
@@ -185,12 +188,15 @@ def repeats(docs: DataFrame, window: int = 35, text_col: str = "text", id_col: s
         arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
         return pa.Table.from_arrays([pa.array(chunk.ids, id_type), *arrays], ["id", "n_words", "n_removed", "spans", "kept"])
 
+    types = pa.schema([(c, pa.int64()) for c in ("destination", "group", "sender")] + [("payload", pa.binary())])
     by_chunk = packed.groupBy("chunk")
-    hit = packets.answer(packets.ask(packed, probe), look_up)
-    windows = by_chunk.cogroup(hit.groupBy("chunk")).applyInArrow(extend, "bucket int, chunk int, payload binary")
-    repeated = packets.answer(windows, compare)
+    hit = packets.converse(packets.ask(packed, probe, probing), blocks_alike, probing)
+    sent = by_chunk.cogroup(hit.groupBy("sender")).applyInArrow(extend, packets.PACKETS)
+    sent = materialise(sent, "windows")  # read twice: by the buckets, and by the chunks for their own
+    repeated = packets.converse(sent.filter("destination >= 0"), windows_alike, comparing)
+    back = repeated.unionByName(sent.filter("destination < 0").select("sender", F.lit(-1).cast("long").alias("origin"), "payload"))
     return (
-        by_chunk.cogroup(repeated.groupBy("chunk"))
+        by_chunk.cogroup(back.groupBy("sender"))
         .applyInArrow(cut, schema)
         .select(F.col("id").alias(id_col), "n_words", "n_removed", "spans", F.col("kept").cast("string").alias("kept"))
     )

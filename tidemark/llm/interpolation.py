@@ -9,11 +9,14 @@ histogram over a fixed grid of quarter-octave steps, and only that grid reaches
 Counts never leave Spark: every chunk asks for the totals of the words and word pairs that it holds (see ``packets``)
 and is stored together with the answers, once for both the histogram and the scores.
 
-Tokens: words with ASCII letters lower-cased, then one end per text; the context of the first is a begin mark. A word is
-told by 6 bytes of its hash and more, a pair by 5 and more.
-
-Defined results: NULL counts as empty text, which is one end token; repeated rows are scored one by one; without any
-training text every probability is 1 / (V + 1) = 1; an empty table gives no rows.
+Tokens: words with ASCII letters lower-cased, then one end per text; the context of the first is a begin mark. A word or
+pair is told by seven bytes of its hash and the bits of its bucket: 62 bits at least, so that among n different pairs some
+n * n / 2^63 are taken for another (among a billion, one in nine such corpora).
+
+Defined results: NULL counts as empty text, which is one end token; NULL ids are kept, and learnt from if the empty text would
+be as an id; repeated rows are scored one by one; a text of any length is scored whole, a word of any length is one token;
+without any training text every probability is 1 / (V + 1) = 1; an empty table gives no rows; further columns, whatever their
+names, are left out.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from tidemark.llm import packets
 from tidemark.llm.text import whole
 
 CHUNK_BYTES = 8 << 20
-WORD_BYTES, PAIR_BYTES = 6, 5
+KEY_BYTES = 7
 BEGIN, END = np.uint64(0x1B873593CC9E2D51), np.uint64(0x85EBCA6BC2B2AE35)
 CONTEXTS = 16
 STEPS = 160  # quarter octaves, 40 octaves in all; 0 stands for probability zero
@@ -77,53 +80,25 @@ class Tokens:
         self.own_words = np.bincount(self.word_at, weights=self.learned, minlength=len(self.words)).astype(np.int64)
         self.own_pairs = np.bincount(self.pair_at, weights=self.learned, minlength=len(self.pairs)).astype(np.int64)
 
-    def request(self, bits: int):
-        pairs = dict(packets.buckets_of(self.pairs, bits))
-        for bucket, w in packets.buckets_of(self.words, bits):
-            p = pairs[bucket]
-            yield (
-                bucket,
-                packets.squeeze(
-                    (
-                        shorten(self.words[w], bits, WORD_BYTES),
-                        packets.pack_counts(self.own_words[w]),
-                        shorten(self.pairs[p], bits, PAIR_BYTES),
-                        packets.pack_counts(self.own_pairs[p]),
-                    )
-                ),
-            )
-
-    def counts(self, answers: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Training counts of the distinct words and pairs in the whole corpus."""
-        found = [packets.expand(a) for a in answers]
-        return tuple(np.concatenate([packets.unpack_counts(f[i]) for f in found]) for i in (0, 1))
-
-
-def shorten(keys: np.ndarray, bits: int, width: int) -> bytes:
-    """The bytes that follow the bucket's bits."""
-    return packets.narrow((keys << np.uint64(bits)) >> np.uint64(64 - 8 * width), width)
-
-
-def total_counts(payloads: list[bytes]) -> tuple[list[bytes], int]:
-    """The answer to each packet of a bucket, and how many distinct words of it occur in training."""
-    asked = [packets.expand(p) for p in payloads]
-    replies, kinds = [], 0
-    for keys, own, width in ((0, 1, WORD_BYTES), (2, 3, PAIR_BYTES)):
-        each = [packets.widen(a[keys], width) for a in asked]
-        index, place = np.unique(np.concatenate(each), return_inverse=True)
-        counts = np.concatenate([packets.unpack_counts(a[own]) for a in asked])
-        total = np.bincount(place, weights=counts, minlength=len(index)).astype(np.int64)
-        if keys == 0:
-            kinds = int((total > 0).sum())
-        replies.append([total[p] for p in np.split(place, np.cumsum([len(e) for e in each])[:-1])])
-    return [
-        packets.squeeze((packets.pack_counts(w), packets.pack_counts(p))) for w, p in zip(*replies, strict=True)
-    ], kinds
+    def request(self) -> packets.Kinds:
+        return [(self.words, (packets.smallest(self.own_words),)), (self.pairs, (packets.smallest(self.own_pairs),))]
+
+
+def total_counts(kind: int, asked: list) -> list:
+    """Of each key how often it occurs in training, and whether this packet is the one that counts it as a kind of word."""
+    index, place = np.unique(np.concatenate([k for k, _ in asked]), return_inverse=True)
+    total = np.bincount(place, weights=np.concatenate([n for _, (n,) in asked]), minlength=len(index)).astype(np.int64)
+    first = np.zeros(len(place), np.uint8)
+    first[np.unique(place, return_index=True)[1]] = 1
+    counted = first * (total[place] > 0) if kind == 0 else np.zeros(len(place))
+    bounds = np.cumsum([len(k) for k, _ in asked])[:-1]
+    parts = zip(np.split(place, bounds), np.split(counted.astype(np.uint8), bounds), strict=True)
+    return [(packets.smallest(total[p]), c) for p, c in parts]
 
 
 def histogram(tokens: Tokens, words: np.ndarray, pairs: np.ndarray, train_tokens: int, train_texts: int) -> np.ndarray:
     """(cell, count) rows of the chunk's training tokens, predicted from the counts of all other chunks."""
-    words, pairs = words - tokens.own_words, pairs - tokens.own_pairs
+    words, pairs = words.astype(np.int64) - tokens.own_words, pairs.astype(np.int64) - tokens.own_pairs
     rest = train_tokens - int(tokens.own_words.sum())
     texts = train_texts - int((tokens.learned & tokens.begins).sum())
     context = np.where(tokens.begins, texts, words[tokens.context_at])
@@ -165,6 +140,7 @@ def learn_weights(cells: np.ndarray, counts: np.ndarray, kinds: int) -> np.ndarr
 
 def log_scores(tokens: Tokens, words: np.ndarray, pairs: np.ndarray, corpus: Corpus) -> list[np.ndarray]:
     """Per text: tokens, known tokens, base score, score."""
+    words, pairs = words.astype(np.int64), pairs.astype(np.int64)
     count = words[tokens.word_at]
     context = np.where(tokens.begins, corpus.train_texts, words[tokens.context_at])
     p2 = np.where(context > 0, pairs[tokens.pair_at] / np.maximum(context, 1), 0.0)
@@ -176,9 +152,11 @@ def log_scores(tokens: Tokens, words: np.ndarray, pairs: np.ndarray, corpus: Cor
     return [tokens.lengths, *sums]
 
 
-def model(docs: DataFrame, learn: Column, text_col: str = "text", id_col: str = "doc_id") -> tuple[DataFrame, Corpus]:
+def model(
+    docs: DataFrame, learn: Column, text_col: str = "text", id_col: str = "doc_id", chunk_bytes: int = CHUNK_BYTES
+) -> tuple[DataFrame, Corpus]:
     """The stored chunks with their counts, and the corpus figures with the learned weights."""
-    text = whole(F.col(text_col))
+    text = whole(F.col(f"`{text_col}`"))
     tokens = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")) + 1
     first = docs.agg(
         F.sum(F.octet_length(text)).alias("bytes"),
@@ -186,43 +164,27 @@ def model(docs: DataFrame, learn: Column, text_col: str = "text", id_col: str =
         F.count(F.when(learn, 1)).alias("texts"),
     ).first()
     train_tokens, train_texts = first["tokens"] or 0, first["texts"]
-    chunks, bits = packets.bits_for(first["bytes"] or 0, CHUNK_BYTES)
-    packed = packets.packs(docs, chunks, text_col, id_col, {"learn": F.coalesce(learn, F.lit(False))})
-
-    def reply(key, table):
-        found, kinds = total_counts([p.as_py() for p in table.column("payload")])
-        return pa.table(
-            {
-                "chunk": table.column("chunk"),
-                "bucket": table.column("bucket"),
-                "payload": pa.array(found, pa.binary()),
-                "kinds": pa.array([kinds] + [0] * (len(found) - 1), pa.int64()),
-            }
-        )
-
-    replies = (
-        packets.ask(packed, lambda rows: Tokens(rows).request(bits))
-        .groupBy("bucket")
-        .applyInArrow(reply, "chunk int, bucket int, payload binary, kinds long")
-    )
+    route = packets.route_for(first["bytes"] or 0, chunk_bytes, (KEY_BYTES, KEY_BYTES))
+    packed = packets.packs(docs, route.chunks, text_col, id_col, {"learn": F.coalesce(learn, F.lit(False))})
+    replies = packets.converse(packets.ask(packed, lambda rows: Tokens(rows).request(), route), total_counts, route)
 
     def gather(key, left, right):
-        answers = packets.in_order(right)
+        (words, counted), (pairs, _) = packets.in_order(right)
         chunk = Tokens(packets.unpack(left.column("pack")))
-        cells = histogram(chunk, *chunk.counts(answers), train_tokens, train_texts)
+        cells = histogram(chunk, words, pairs, train_tokens, train_texts)
         return pa.table(
             {
-                "kinds": pa.array([sum(right.column("kinds").to_pylist())], pa.int64()),
+                "kinds": pa.array([int(counted.sum())], pa.int64()),
                 "cells": pa.array([packets.squeeze(cells)], pa.binary()),
                 "packs": pa.array([left.column("pack").to_pylist()], pa.list_(pa.binary())),
-                "answers": pa.array([answers], pa.list_(pa.binary())),
+                "answers": pa.array([packets.squeeze((words, pairs))], pa.binary()),
             }
         )
 
     stored = materialise(
         packed.groupBy("chunk")
-        .cogroup(replies.groupBy("chunk"))
-        .applyInArrow(gather, "kinds long, cells binary, packs array<binary>, answers array<binary>"),
+        .cogroup(replies.groupBy("sender"))
+        .applyInArrow(gather, "kinds long, cells binary, packs array<binary>, answers binary"),
         "counted-chunks",
     )
 
@@ -239,9 +201,11 @@ def model(docs: DataFrame, learn: Column, text_col: str = "text", id_col: str =
     return stored, Corpus(train_tokens, kinds, train_texts, learn_weights(cells, counts, kinds))
 
 
-def score(docs: DataFrame, learn: Column, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def score(
+    docs: DataFrame, learn: Column, text_col: str = "text", id_col: str = "doc_id", chunk_bytes: int = CHUNK_BYTES
+) -> DataFrame:
     """One row per document: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
-    stored, corpus = model(docs, learn, text_col, id_col)
+    stored, corpus = model(docs, learn, text_col, id_col, chunk_bytes)
     kind, id_type = docs.schema[id_col].dataType.simpleString(), to_arrow_type(docs.schema[id_col].dataType)
     names = ["id", "held_out", "n_tokens", "n_known", "base_score", "score"]
 
@@ -249,7 +213,7 @@ def score(docs: DataFrame, learn: Column, text_col: str = "text", id_col: str =
         for batch in batches:
             for packs, answers in zip(batch.column("packs"), batch.column("answers").to_pylist(), strict=True):
                 chunk = Tokens(packets.unpack(packs.values))
-                figures = log_scores(chunk, *chunk.counts(answers), corpus)
+                figures = log_scores(chunk, *packets.expand(answers), corpus)
                 arrays = [pa.array(chunk.ids, id_type), pa.array([not x for x in chunk.learn]), *map(pa.array, figures)]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
