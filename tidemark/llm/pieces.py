@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -309,18 +310,19 @@ class Vocabulary:
         """(ids, how many each text has); ``documents`` are the keys that the texts draw with."""
         written = [SPACE + t.replace(SPACE, OWN_SPACE).replace(" ", SPACE) if t else "" for t in texts]
         found = [re.findall(self.units, w) for w in written]
-        sizes = np.array([len(units) for units in found], np.int64)
-        flat = [u for units in found for u in units]
+        sizes = np.array(list(map(len, found)), np.int64)
+        flat = list(chain.from_iterable(found))
         bound = int(rate * 2**64)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         keys = occurrence_keys(np.repeat(documents, sizes), place)
-        lacking = {u for u in flat if len(u) <= TOGETHER} - cache.index.keys()
+        distinct = {u for u in set(flat) if len(u) <= TOGETHER}
+        lacking = distinct - cache.index.keys()
         if len(cache.units) + len(lacking) > CACHED_UNITS:
             cache.__init__()
-            lacking = {u for u in flat if len(u) <= TOGETHER}
+            lacking = distinct
         if lacking:
-            cache.add(self, sorted(lacking))
-        which = np.fromiter((cache.index.get(u, -1) for u in flat), np.int64, len(flat))
+            cache.add(self, list(lacking))
+        which = np.fromiter(map(cache.index.get, flat, repeat(-1)), np.int64, len(flat))
         known = np.flatnonzero(which >= 0)
         unit = which[known]
         again = np.zeros(0, np.int64)
