@@ -52,6 +52,15 @@ def test_neighbours_against_brute_force(spark, settings):
     assert hits / (10 * len(truth)) >= 0.9
 
 
+def test_a_query_id_with_several_vectors_asks_with_the_smallest(spark):
+    rows = [(0, [2.0, 0.0]), (0, [1.0, 5.0]), (0, [1.0, 4.0]), (1, [1.0, 3.5]), (2, [2.0, 0.1]), (3, [2.0, 0.1])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit("own")).withColumn("score", F.lit(1))
+    for parts in (1, 4):
+        found = ann_tree.neighbours(table.repartition(parts), every=100, k=2).orderBy("rank").collect()
+        assert [(r["vec_id"], r["score"]) for r in found] == [(1, 0.5), (2, pytest.approx(math.hypot(1, 3.9)))]
+        assert all(0 < r["calibrated_recall"] <= 1 for r in found)
+
+
 def test_fewer_candidates_than_wanted_and_none(spark):
     three = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 3.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<float>")
     found = ann_tree.neighbours(three, every=100).orderBy("rank").collect()

@@ -91,6 +91,28 @@ def test_mix_holds_small_sources_at_the_cap_and_reruns_agree(spark):
     assert Counter((r["doc_id"], r["taken"]) for r in found) == Counter((r["doc_id"], r["taken"]) for r in again)
 
 
+def test_every_shard_takes_its_quota_of_blocks(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, "w " * int(rng.integers(0, 60)), None, "abcd"[min(3, int(rng.integers(0, 9)))], 9, *[None] * 8) for i in range(500)]
+    docs = spark.createDataFrame(rows, edge.SCHEMA).repartition(4)
+    found = mixing.mix(docs, shards=5, rows_per_part=40).collect()
+    sizes = Counter()
+    for r in found:
+        sizes[r["source"]] += r["size"]
+        assert len(r["taken_by_shard"]) == 5 and sum(r["taken_by_shard"]) == r["taken"]
+    aims = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
+    taken = Counter()
+    for r in found:
+        for shard, n in enumerate(r["taken_by_shard"]):
+            taken[r["source"], shard] += n
+    for q in mixing.apportion(aims, 5).collect():
+        most = 3 * sizes[q["source"]]
+        first, last = (min(most, b * q["block"]) for b in (q["first_block"], q["first_block"] + q["quota"]))
+        assert taken[q["source"], q["shard"]] == last - first, q
+    whole = [sum(n for (_, shard), n in taken.items() if shard == k) for k in range(5)]
+    assert max(whole) - min(whole) <= 5 * 4096
+
+
 def test_mixing_nothing_and_no_words(spark):
     assert mixing.mix(edge.nothing(spark)).collect() == []
     bare = spark.createDataFrame([(1, None, None, "a", 0, *[None] * 8), (2, " ", None, None, 0, *[None] * 8)], edge.SCHEMA)

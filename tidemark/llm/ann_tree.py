@@ -8,7 +8,9 @@ the queries of a much visited leaf, so that a vector with very many copies is ma
 
 Defined results: vectors that are NULL, empty or zero, or hold NULL or non-finite components, take no part, nor do those
 of another length than the commonest (of equally common ones, the longest); rows with the query's own id are not its
-neighbours; repeated rows of other ids count one by one; an empty table or no query gives no rows.
+neighbours; of a query id that the table holds with several vectors the smallest (component by component) is asked for;
+repeated rows of other ids count one by one, ties go to the smaller id and NULL ids come last; a NULL id is no query; an empty
+table or no query gives no rows; further columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ SAMPLE_ROWS = 20_000
 MOST_LEAVES = 4_096
 CALIBRATION = 128
 BRANCHES = 8
-RESULT = "query_id long, rank int, vec_id long, score double"
+RESULT = "query_id long, rank int, vec_id long, score double, calibrated_recall double"
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -311,9 +313,10 @@ def search(index: Index, queries: DataFrame, k: int = 10, block_rows: int = 2048
 def neighbours(
     vectors: DataFrame, every: int, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", **settings
 ) -> DataFrame:
-    """The k nearest of each row whose id is divisible by ``every``, among all rows."""
+    """The k nearest of each row whose id is divisible by ``every``, among all rows, with the share of true neighbours
+    that the calibration reached."""
     index = build(vectors, id_col, vec_col, k, **settings)
     if index is None:
         return vectors.sparkSession.createDataFrame([], RESULT)
-    queries = index.table.filter(F.col("id") % every == 0).select("id", "v").dropDuplicates(["id"])
-    return search(index, queries, k)
+    queries = index.table.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
+    return search(index, queries, k).withColumn("calibrated_recall", F.lit(index.recall))

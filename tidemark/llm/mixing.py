@@ -3,12 +3,13 @@
 The words of a source form one stream, its documents in seeded hash order; the stream is cut into blocks of equally
 many words and may be read up to ``cap`` times. Blocks are seats: seat k of a source with target t has the quotient
 t / (2k + 1), the highest quotients win, and dealing the seats in that order gives every shard an integer quota of each
-source. A source's selected blocks are the first of its stream, so what a document gives follows from its place in the
-stream alone, and no block is ever made a row.
+source. A shard's blocks of a source are those that follow the blocks of the shards before it, in the seeded order; so what
+a document gives to each shard follows from its place in the stream, and no block is ever made a row.
 
-Defined results: an empty table gives no rows; a NULL text has no words; a NULL source is a source of its own, last in
-order; a source without words has target 0; repeated rows take part one by one; columns named like an output column are
-replaced by it.
+Defined results: an empty table gives no rows; a NULL text has no words; a text of any length takes part whole; a NULL source
+is a source of its own, last in order; a NULL id has a place in the stream like any other; a source without words has target 0;
+repeated rows take part one by one, ties in the order of ids and sizes; columns named like an output column are replaced by it.
+The windows over all sources are one task: meant for thousands of sources, not millions.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.durable import materialise
 from tidemark.llm.text import scale_bits, word_count
 
-OUTPUT = ("size", "source_size", "target", "taken")
+OUTPUT = ("size", "source_size", "target", "taken", "taken_by_shard")
 
 
 def targets(sizes: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), cap: int = 3) -> DataFrame:
@@ -109,8 +110,9 @@ def mix(
     size: Column | None = None,
     rows_per_part: int = 20_000,
 ) -> DataFrame:
-    """Every row with ``size``, ``source_size``, ``target`` (its source's) and ``taken``: the words that the mix takes
-    of it, repeats counted, at most ``cap`` times its size. ``size`` defaults to the words of column ``text``.
+    """Every row with ``size``, ``source_size``, ``target`` (its source's), ``taken``: the words that the mix takes of it,
+    repeats counted, at most ``cap`` times its size, and ``taken_by_shard``: how many of them each shard takes. ``size``
+    defaults to the words of column ``text``.
 
     A stream is cut by hash range into parts, each of which is summed for itself; part totals give the offsets. A
     source with most of the rows is thereby many parts.
@@ -131,25 +133,43 @@ def mix(
     aims = materialise(
         targets(parts.groupBy("source").agg(F.sum("words").alias("source_size")), cycle, cap), "mix-targets"
     )
-    quotas = apportion(aims, shards).groupBy("place").agg((F.sum("quota") * F.max("block")).alias("stream"))
+    # The stretch of the stream that each shard's quota takes; a stream ends after ``cap`` readings.
+    first, last = F.col("first_block") * F.col("block"), (F.col("first_block") + F.col("quota")) * F.col("block")
+    quotas = apportion(aims, shards).groupBy("place").agg(
+        F.array_sort(F.collect_list(F.struct("shard", first.alias("first"), last.alias("last")))).alias("stretches")
+    )
     before = Window.partitionBy("place").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     plan = (
         parts.join(aims, parts["source"].eqNullSafe(aims["source"]))
         .select(parts["source"], "part", "words", "place", "source_size", "target")
         .join(quotas, "place", "left")
         .withColumn("offset", F.coalesce(F.sum("words").over(before), F.lit(0)))
-        .withColumn("stream", F.least(F.coalesce(F.col("stream"), F.lit(0)), F.col("source_size") * cap))
         .select(
-            F.col("source").alias("plan_source"), F.col("part").alias("plan_part"), "source_size", "target", "offset", "stream"
+            F.col("source").alias("plan_source"), F.col("part").alias("plan_part"), "source_size", "target", "offset", "stretches"
         )
     )
     within = Window.partitionBy("source", "part").orderBy("key", "size")
-    start = F.col("offset") + F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    passes = F.when(F.col("source_size") > 0, F.floor(F.col("stream") / F.col("source_size"))).otherwise(0)
-    rest = F.col("stream") - F.col("passes") * F.col("source_size")
+    place = F.col("offset") + F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    start = F.col("start")
+
+    def inside(stretch: Column) -> Column:
+        """Words of the document that lie in a stretch, in all readings of the stream."""
+        readings = [
+            F.greatest(
+                F.lit(0),
+                F.least(start + n * F.col("source_size") + F.col("size"), stretch["last"])
+                - F.greatest(start + n * F.col("source_size"), stretch["first"]),
+            )
+            for n in range(cap)
+        ]
+        return sum(readings[1:], readings[0]).cast("long")
+
+    none = F.array_repeat(F.lit(0).cast("long"), shards)
+    by_shard = F.coalesce(F.transform("stretches", inside), none)
+    taken = F.aggregate("taken_by_shard", F.lit(0).cast("long"), lambda a, b: a + b)
     return (
         rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("part") == F.col("plan_part")))
-        .withColumn("passes", passes.cast("long"))
-        .withColumn("taken", F.col("passes") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - start)))
-        .select("row.*", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+        .withColumn("start", place)
+        .withColumn("taken_by_shard", by_shard)
+        .select("row.*", "size", "source_size", "target", taken.alias("taken"), "taken_by_shard")
     )

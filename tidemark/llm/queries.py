@@ -20,7 +20,7 @@ def op1_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("n_words"))
     mixed = mixing.mix(docs, size=F.col("n_words"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "taken_by_shard")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
