@@ -93,6 +93,34 @@ def test_quality_on_held_out_rows_and_awkward_ones(spark):
     assert found[1001]["score"] == pytest.approx(model.prior)
 
 
+def test_labels_that_depend_on_wording_alone_are_learnt(spark):
+    """Good and bad texts of the same shapes: lower-case words, a fifth of them from a list that tells them apart."""
+    rng = random.Random(8)
+    common = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(300)]
+    telling = {1: "vertrag quelle befund".split(), 0: "gewinn sofort klicke".split()}
+    rows = []
+    for i in range(400):
+        words = [rng.choice(telling[i % 2]) if rng.random() < 0.2 else rng.choice(common) for _ in range(80)]
+        rows.append((i, " ".join(words)))
+    held = id_remainder(F.col("doc_id"), 3) == 1
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = quality.score(docs, quality.train(docs, labels, learn=~held)).filter(held).collect()
+    assert sum(r["predicted"] == r["doc_id"] % 2 for r in found) / len(found) > 0.9
+
+
+def test_the_wording_gets_the_weight_that_votes_best():
+    rng = np.random.default_rng(4)
+    y = rng.integers(0, 2, 300).astype(float)
+    noise = rng.poisson(0.3, (300, quality.TERMS)).astype(np.float32)
+    form, wording = noise.copy(), noise.copy()
+    form[:, 5] += 40 * y
+    wording[:, quality.SHAPE_TERMS + 5] += 40 * y
+    assert quality.fit(form, y).wording < quality.fit(wording, y).wording
+    for x in (form, wording):
+        assert quality.left_out(quality.fit(x, y)) > 0.95
+
+
 def test_votes_are_those_of_all_cosines(spark):
     rng = np.random.default_rng(5)
     x = np.log1p(rng.poisson(0.05, (200, quality.TERMS))).astype(np.float32)
