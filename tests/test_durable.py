@@ -4,7 +4,8 @@ from types import SimpleNamespace
 
 import pytest
 
-from tidemark.durable import CHECKPOINT_DIR, fresh_path, materialise, shared_folder
+from tidemark import files
+from tidemark.durable import CHECKPOINT_DIR, _located, drop, fresh_path, materialise, scratch, shared_folder
 
 
 class Context:
@@ -44,3 +45,15 @@ def test_a_local_session_gets_its_own():
 def test_materialised_rows_read_back(spark):
     df = spark.range(10).selectExpr("id", "id % 3 AS k")
     assert sorted(materialise(df, "t").collect()) == sorted(df.collect())
+
+
+def test_tables_that_outlive_and_tables_that_are_dropped(spark):
+    with scratch(spark):
+        gone, kept = materialise(spark.range(3), "gone"), materialise(spark.range(4), "kept", outlives=True)
+    assert not files.exists(spark, gone.stored_at) and kept.count() == 4
+    drop(kept)
+    assert not files.exists(spark, kept.stored_at)
+
+
+def test_a_folder_without_scheme_is_on_the_default_file_system(spark):
+    assert _located(spark, "/tmp/x") == "file:/tmp/x" and _located(spark, "file:///mnt/y") == "file:/mnt/y"

@@ -31,13 +31,21 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         folder = context.getCheckpointDir()
-    if not local and _of_this_machine(folder):
+    if not local and _of_this_machine(_located(spark, folder)):
         raise RuntimeError(f"{CHECKPOINT_DIR} is {folder}, a temporary folder that other machines do not see")
     return folder.rstrip("/")
 
 
+def _located(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Hadoop gives it: one without is on the default file system."""
+    if getattr(spark, "_jvm", None) is None:
+        return folder
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _of_this_machine(folder: str) -> bool:
-    """Whether a file: path lies under a temporary folder. A path without scheme is on the default file system."""
+    """Whether a file: path lies under a temporary folder."""
     path = folder.removeprefix("file://").removeprefix("file:")
     if path == folder:
         return False
@@ -48,17 +56,24 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, outlives: bool = False) -> DataFrame:
     """Write once and read back: later passes see the same rows even after executors are lost.
 
     A Parquet table rather than a checkpoint, so that a pass over one column reads one column and the
-    optimizer knows the true size.
+    optimizer knows the true size. One that ``outlives`` the scratch() around it is left when that ends.
     """
     path = fresh_path(df.sparkSession, label)
-    if (stored := _stored.get()) is not None:
+    if not outlives and (stored := _stored.get()) is not None:
         stored.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def drop(table: DataFrame) -> None:
+    """Remove a table that :func:`materialise` returned and that nothing reads any more."""
+    files.remove(table.sparkSession, table.stored_at)
 
 
 @contextmanager
