@@ -13,7 +13,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.durable import materialise
+from tidemark.durable import drop, materialise, scratch
 from tidemark.llm import mixing, pieces, quality, simhash, trie
 from tidemark.llm.text import id_remainder
 
@@ -84,9 +84,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for n, (name, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
-        if n < len(STAGES):
-            docs = materialise(docs, name)
-    return docs
+    """The rows of the last stage. What a stage stores goes when its result is written, and that when the next one's is."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES[:-1]:
+        with scratch(spark):
+            written = materialise(stage(spark, docs, sf_dir), name, outlives=True)
+        if before is not None:
+            drop(before)
+        docs = before = written
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.durable import materialise
+from tidemark.durable import drop, materialise
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component) of every node in an edge; component is the smallest node reachable.
 
     Each round is written to the shared folder, which cuts the lineage and gives the figures of the stopping test: the
-    edges no longer change when a round leaves their number and their combined hash as they were.
+    edges no longer change when a round leaves their number and their combined hash as they were. Only the last round's
+    table stays.
     """
 
     def state(df: DataFrame) -> tuple:
@@ -42,8 +43,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     now = materialise(edges.select("a", "b").filter(F.col("a") != F.col("b")).distinct(), "links")
     was = state(now)
     for _ in range(most_rounds):
-        now = materialise(star(star(now, True), False), "links")
+        before, now = now, materialise(star(star(now, True), False), "links")
         found = state(now)
+        drop(before)
         if found == was:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

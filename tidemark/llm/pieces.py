@@ -37,7 +37,7 @@ from tidemark.llm.text import whole
 SPACE = "▁"
 #: Stands for a U+2581 of the text. A lone surrogate occurs in no UTF-8 text.
 OWN_SPACE = "\ud800"
-CACHED_UNITS = 250_000
+CACHED_UNITS = 120_000
 BATCH = 256
 MASK = (1 << 64) - 1
 GOLDEN, MIXER = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9

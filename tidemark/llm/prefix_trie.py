@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.durable import materialise
+from tidemark.durable import materialise, scratch
 from tidemark.llm import packets
 from tidemark.llm.text import whole
 
@@ -307,7 +307,7 @@ def splitters_of(rooted: DataFrame, shards: int, total: int) -> list[tuple[bytes
     return sorted({rows[len(rows) * i // shards] for i in range(1, shards)}) if rows else []
 
 
-def tries(rooted: DataFrame, segment: int, shard_turns: int) -> DataFrame:
+def tries(rooted: DataFrame, segment: int, shard_turns: int, outlives: bool = False) -> DataFrame:
     """One row for each node of each segment's trie, with counts inside it and what its members hand up."""
     totals = rooted.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("sizes") + 1).alias("turns")).first()
     shards = max(1, min(MOST_SHARDS, -(-(totals["turns"] or 0) // shard_turns)))
@@ -351,7 +351,7 @@ def tries(rooted: DataFrame, segment: int, shard_turns: int) -> DataFrame:
         if reader.rows:
             yield done()
 
-    found = materialise(dealt.mapInArrow(grow, NODE), "trie-nodes")
+    found = materialise(dealt.mapInArrow(grow, NODE), "trie-nodes", outlives)
     kept = [n for n in names if n not in ("kind", "shard", "packet", "last_bytes", "goes_on")]
     return found.filter(F.col("kind") == FINAL).select(*kept).unionByName(reduced(found).select(*kept))
 
@@ -426,7 +426,7 @@ def handed_up(rooted: DataFrame, segment: int, shard_turns: int) -> DataFrame:
 def prefix_nodes(turns: DataFrame, segment: int = SEGMENT, shard_turns: int = SHARD_TURNS) -> DataFrame:
     """The nodes of all prefixes of (conv, total, place, digest, bytes) rows."""
     rooted = handed_up(with_roots(segments_of(turns, segment)), segment, shard_turns)
-    nodes = tries(rooted, segment, shard_turns)
+    nodes = tries(rooted, segment, shard_turns, outlives=True)
     name = ["depth", "a", "b"]
     begins = (F.col("segment") > 0) & (F.col("depth") == F.col("segment") * segment)
     # A node at which a segment ends has its children in the tries that begin there.
@@ -458,5 +458,6 @@ def trie(
     text_col: str = "text",
 ) -> DataFrame:
     """One row for each distinct prefix of the rebuilt conversations."""
-    turns = numbered(turns_of(conversations, conv_col, turn_col, role_col, text_col))
-    return prefix_nodes(rebuilt(turns, group, most_shared), segment, shard_turns)
+    with scratch(conversations.sparkSession):  # only the table of nodes stays
+        turns = numbered(turns_of(conversations, conv_col, turn_col, role_col, text_col))
+        return prefix_nodes(rebuilt(turns, group, most_shared), segment, shard_turns)

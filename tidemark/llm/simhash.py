@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.durable import materialise
+from tidemark.durable import drop, materialise, scratch
 from tidemark.llm.components import components
 from tidemark.llm.text import slices, whole
 
@@ -163,7 +163,10 @@ def labelled(docs: DataFrame, words: int, radius: int, text_col: str, id_col: st
     """The stored fingerprints of all rows, and (print, component) of the distinct ones; a component's name is a print."""
     prints = materialise(fingerprints(docs, words, text_col, id_col), "fingerprints")
     distinct = materialise(prints.select("print").distinct(), "distinct-fingerprints")
-    joined = components(links(distinct, radius))
+    with scratch(docs.sparkSession):
+        edges = materialise(links(distinct, radius), "fingerprint-links", outlives=True)
+    joined = components(edges)
+    drop(edges)
     placed = distinct.join(joined, F.col("print") == F.col("node"), "left").select(
         F.col("print").alias("of"), F.coalesce("component", "print").alias("component")
     )

@@ -14,6 +14,7 @@ empty table gives no rows; columns named like an output column are replaced by i
 from __future__ import annotations
 
 import hashlib
+import os
 import pickle
 import tempfile
 from collections.abc import Iterator
@@ -33,6 +34,11 @@ NODE_BYTES = 400
 OUT_BYTES = 4 << 20
 
 
+def spill_folder() -> str | None:
+    """A local folder of the executor, where Spark itself spills; outside of a task the system's."""
+    return os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None
+
+
 class Node:
     __slots__ = ("label", "children", "owner", "spill")
 
@@ -107,7 +113,7 @@ class Patricia:
             return False
         weights = [sum(len(n.label) + NODE_BYTES for n in self.nodes(child)) for child in open_]
         heaviest = open_[weights.index(max(weights))]
-        part = tempfile.TemporaryFile()
+        part = tempfile.TemporaryFile(dir=spill_folder())
         for text, owner in self.walk(heaviest, prefix + heaviest.label):
             pickle.dump((text, owner), part)
         # The label is cut to its first byte: whatever differs later belongs to the same subtree.
