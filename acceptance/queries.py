@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.errors import SparkRuntimeException
@@ -269,10 +270,10 @@ def scd2_merge_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _next_load(spark: SparkSession, sf_dir: str, path: str, n: int) -> tuple[DataFrame, versions.Version | None, dict[str, int]]:
-    """What a load brings to the businesses on disk, the version it starts from, and the numbers in use."""
-    spec, base = DIM_BUSINESSES, versions.live(spark, path)
+    """What a load brings to the businesses on disk (with digests), the version it starts from, and the numbers in use."""
+    spec, base = replace(DIM_BUSINESSES, digests=True), versions.live(spark, path)
     current, marks = standing(spark, path, base, spec)
-    delta = scd2_delta(current, _businesses(spark, sf_dir, n), spec, star.LOADS[n], marks=marks, digests=True)
+    delta = scd2_delta(current, _businesses(spark, sf_dir, n), spec, star.LOADS[n], marks=marks, digests=spec.digests)
     return delta, base, marks
 
 

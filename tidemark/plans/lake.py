@@ -180,7 +180,7 @@ def build_dimension(
             raw = newest_rows(raw, [f.source for f in spec.keys])
         base = versions.live(spark, path)
         current, marks = standing(spark, path, base, spec)
-        delta = scd2_delta(current, spec.conform(raw), spec, load, null_sentinels, marks, digests=True)
+        delta = scd2_delta(current, spec.conform(raw), spec, load, null_sentinels, marks, spec.digests)
         publish_dimension(delta, path, files, base, marks)
 
 
@@ -190,8 +190,8 @@ def standing(
     """A dimension as of a version, with its digests if it has them, and the largest surrogates in use: as noted with
     the version, or else by reading them."""
     if base is None:
-        return empty_table(spark, spec.stored_schema), dict.fromkeys(spec.surrogates, 0)
-    schema = spec.stored_schema if base.notes.get("digests") else spec.schema
+        return empty_table(spark, spec.schema), dict.fromkeys(spec.surrogates, 0)
+    schema = spec.stored_schema if spec.digests and base.notes.get("digests") else spec.schema
     current = versions.read(spark, path, base, schema=schema)
     marks = base.notes.get("highest") or {}
     if not set(spec.surrogates) <= marks.keys():
