@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.durable import materialise
 from tidemark.llm import packets
 from tidemark.llm.text import whole
 
@@ -149,14 +148,13 @@ def repeats(
         return [(keys, (blocks,))]
 
     def extend(key, left, right):
-        """The packets about windows, and one more to the chunk itself, with its hits."""
+        """The packets about windows, and a memo with the hits."""
         chunk, number = Chunk(packets.unpack(left.column("pack")), window), key[0].as_py()
         ((once, twice),) = packets.in_order(right) if right.num_rows else ((np.zeros(0, np.uint8),) * 2,)
         _, keys, rest, place = chunk.candidates(hits_of(chunk, once, twice))
         several = (np.bincount(place, minlength=len(keys)) > 1).astype(np.uint8)
-        own = packets.squeeze((np.packbits(once).tobytes(), np.packbits(twice).tobytes()))
-        memo = pa.table({"destination": [-1], "group": [-1], "sender": [number], "payload": pa.array([own], pa.binary())})
-        return pa.concat_tables([packets.send(number, 0, [(keys, (rest, several))], comparing), memo.cast(types)])
+        own = packets.memo(number, (np.packbits(once).tobytes(), np.packbits(twice).tobytes()))
+        return pa.concat_tables([packets.send(number, 0, [(keys, (rest, several))], comparing), own])
 
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = to_arrow_type(docs.schema[id_col].dataType)
@@ -165,7 +163,7 @@ def repeats(
     def cut(key, left, right):
         chunk = Chunk(packets.unpack(left.column("pack")), window)
         _, probes, _, _ = chunk.probes()
-        memo = np.asarray(right.column("origin")) == -1
+        memo = np.asarray(right.column("origin")) < 0
         own = packets.expand(right.filter(pa.array(memo)).column("payload")[0].as_py())
         once, twice = (np.unpackbits(np.frombuffer(b, np.uint8), count=len(probes)) for b in own)
         at, _, _, place = chunk.candidates(hits_of(chunk, once, twice))
@@ -188,13 +186,10 @@ def repeats(
         arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
         return pa.Table.from_arrays([pa.array(chunk.ids, id_type), *arrays], ["id", "n_words", "n_removed", "spans", "kept"])
 
-    types = pa.schema([(c, pa.int64()) for c in ("destination", "group", "sender")] + [("payload", pa.binary())])
     by_chunk = packed.groupBy("chunk")
     hit = packets.converse(packets.ask(packed, probe, probing), blocks_alike, probing)
     sent = by_chunk.cogroup(hit.groupBy("sender")).applyInArrow(extend, packets.PACKETS)
-    sent = materialise(sent, "windows")  # read twice: by the buckets, and by the chunks for their own
-    repeated = packets.converse(sent.filter("destination >= 0"), windows_alike, comparing)
-    back = repeated.unionByName(sent.filter("destination < 0").select("sender", F.lit(-1).cast("long").alias("origin"), "payload"))
+    back = packets.converse(sent, windows_alike, comparing)
     return (
         by_chunk.cogroup(back.groupBy("sender"))
         .applyInArrow(cut, schema)

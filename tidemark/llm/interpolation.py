@@ -10,8 +10,8 @@ Counts never leave Spark: every chunk asks for the totals of the words and word
 and is stored together with the answers, once for both the histogram and the scores.
 
 Tokens: words with ASCII letters lower-cased, then one end per text; the context of the first is a begin mark. A word or
-pair is told by seven bytes of its hash and the bits of its bucket: 62 bits at least, so that among n different pairs some
-n * n / 2^63 are taken for another (among a billion, one in nine such corpora).
+pair is told by six bytes of its hash and the bits of its bucket, which grow with the input: 54 bits at least, 59 at 30 GB,
+so that among n different pairs some n * n / 2^60 are taken for another there (about one among a billion).
 
 Defined results: NULL counts as empty text, which is one end token; NULL ids are kept, and learnt from if the empty text would
 be as an id; repeated rows are scored one by one; a text of any length is scored whole, a word of any length is one token;
@@ -34,7 +34,7 @@ from tidemark.llm import packets
 from tidemark.llm.text import whole
 
 CHUNK_BYTES = 8 << 20
-KEY_BYTES = 7
+KEY_BYTES = 6
 BEGIN, END = np.uint64(0x1B873593CC9E2D51), np.uint64(0x85EBCA6BC2B2AE35)
 CONTEXTS = 16
 STEPS = 160  # quarter octaves, 40 octaves in all; 0 stands for probability zero

@@ -154,6 +154,17 @@ def merged(table: pa.Table, route: Route) -> tuple[Kinds, list[np.ndarray], list
     return kinds, orders, [[len(p[n][0]) for n in range(len(route.widths))] for p in packets]
 
 
+def memo(sender: int, value) -> pa.Table:
+    """What a chunk sends to itself by way of the buckets, so that it comes with their answers."""
+    columns = [[-1 - sender], [sender], [sender], [squeeze(value)]]
+    types = [pa.int64()] * 3 + [pa.binary()]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["destination", "group", "sender", "payload"])
+
+
+def echoed(table: pa.Table, origin: str) -> pa.Table:
+    return pa.Table.from_arrays([table.column("sender"), table.column(origin), table.column("payload")], ["sender", "origin", "payload"])
+
+
 Answers = list[tuple[np.ndarray, ...]]
 
 
@@ -167,11 +178,13 @@ def converse(sent: DataFrame, reply: Callable[[int, list], list], route: Route)
     """(sender, origin, payload): the answers to the packets ``sent``, of each sender by the prefixes it sent to.
 
     ``reply`` gets the number of a kind and what a bucket is asked (keys and values of each packet), and returns the arrays
-    of answers to each packet."""
+    of answers to each packet. A memo (see :func:`memo`) comes back as it is."""
     beyond = route.beyond()
     if not beyond.digits:
 
         def answer(key, table):
+            if key[0].as_py() < 0:
+                return echoed(table, "destination")
             table = table.sort_by("sender")
             asked = [unpack_kinds(p.as_py(), beyond) for p in table.column("payload")]
             replies = [reply(n, [a[n] for a in asked]) for n in range(len(route.widths))]
@@ -183,10 +196,14 @@ def converse(sent: DataFrame, reply: Callable[[int, list], list], route: Route)
         return sent.groupBy("destination").applyInArrow(answer, ANSWERS)
 
     def merge(key, table):
+        if key[0].as_py() < 0:
+            return table.select(["destination", "group", "sender", "payload"])
         kinds, _, _ = merged(table, beyond)
         return send(key[1].as_py(), key[0].as_py(), kinds, beyond)
 
     def take_apart(key, there, answers):
+        if key[0].as_py() < 0:
+            return echoed(there, "destination")
         _, orders, sizes = merged(there, beyond)
         kinds = []
         for order, columns in zip(orders, joined(p.as_py() for p in answers.sort_by("origin").column("payload")), strict=True):
@@ -207,7 +224,7 @@ def converse(sent: DataFrame, reply: Callable[[int, list], list], route: Route)
     met = sent.groupBy("destination", "group")
     answers = converse(met.applyInArrow(merge, PACKETS), reply, beyond)
     # A task that merged is a sender of the next hop: its group is the sender, its prefix that of the answer's origin.
-    home = F.shiftright("origin", beyond.digits[0])
+    home = F.when(F.col("origin") < 0, F.col("origin")).otherwise(F.shiftright("origin", beyond.digits[0]))
     answers = answers.select(home.alias("destination"), F.col("sender").alias("group"), "origin", "payload")
     return met.cogroup(answers.groupBy("destination", "group")).applyInArrow(take_apart, ANSWERS)
 

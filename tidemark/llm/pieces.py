@@ -21,12 +21,14 @@ its own, a heap; an empty table gives no rows; columns named like an output colu
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +40,7 @@ SPACE = "▁"
 #: Stands for a U+2581 of the text. A lone surrogate occurs in no UTF-8 text.
 OWN_SPACE = "\ud800"
 CACHED_UNITS = 120_000
-BATCH = 256
+BATCH, BYTES = 256, 1 << 20
 MASK = (1 << 64) - 1
 GOLDEN, MIXER = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 #: Bits of the place in a candidate; the rank stands above.
@@ -315,6 +317,7 @@ class Vocabulary:
         bound = int(rate * 2**64)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         keys = occurrence_keys(np.repeat(documents, sizes), place)
+        del place, written, found
         distinct = {u for u in set(flat) if len(u) <= TOGETHER}
         lacking = distinct - cache.index.keys()
         if len(cache.units) + len(lacking) > CACHED_UNITS:
@@ -324,21 +327,16 @@ class Vocabulary:
             cache.add(self, list(lacking))
         which = np.fromiter(map(cache.index.get, flat, repeat(-1)), np.int64, len(flat))
         known = np.flatnonzero(which >= 0)
-        unit = which[known]
-        again = np.zeros(0, np.int64)
-        if bound:
-            # Who skips one of the merges that it would make without dropout?
-            steps = cache.path_length[unit]
-            owner = np.repeat(np.arange(len(unit)), steps)
-            tops = cache.path[spread(cache.path_begin[unit], steps)]
-            hit = np.zeros(len(unit), bool)
-            hit[owner[draws(keys[known][owner], tops) < np.uint64(min(bound, MASK))]] = True
-            again = np.flatnonzero(hit)
-        ids, counts = self.rerun(cache, unit[again], keys[known[again]], bound)
         begin, length = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int64)
-        begin[known], length[known] = cache.ids_begin[unit], cache.ids_length[unit]
-        begin[known[again]], length[known[again]] = len(cache.ids) + np.cumsum(counts) - counts, counts
-        parts, at = [cache.ids, ids], len(cache.ids) + len(ids)
+        begin[known], length[known] = cache.ids_begin[which[known]], cache.ids_length[which[known]]
+        parts, at = [cache.ids], len(cache.ids)
+        for first in range(0, len(known) if bound else 0, ROWS):
+            here = known[first : first + ROWS]
+            again = here[self.skips(cache, which[here], keys[here], bound)]
+            ids, counts = self.rerun(cache, which[again], keys[again], bound)
+            begin[again], length[again] = at + np.cumsum(counts) - counts, counts
+            parts.append(ids)
+            at += len(ids)
         for n in np.flatnonzero(which < 0).tolist():
             own = self.encode_unit(flat[n], int(keys[n]), bound)
             parts.append(own)
@@ -347,6 +345,16 @@ class Vocabulary:
         ends = np.concatenate(([0], np.cumsum(length)))[np.concatenate(([0], np.cumsum(sizes)))]
         return np.concatenate(parts)[spread(begin, length)], np.diff(ends)
 
+    @staticmethod
+    def skips(cache: Cache, unit: np.ndarray, keys: np.ndarray, bound: int) -> np.ndarray:
+        """Which occurrences skip one of the merges that they would make without dropout."""
+        steps = cache.path_length[unit]
+        owner = np.repeat(np.arange(len(unit)), steps)
+        tops = cache.path[spread(cache.path_begin[unit], steps)]
+        hit = np.zeros(len(unit), bool)
+        hit[owner[draws(keys[owner], tops) < np.uint64(min(bound, MASK))]] = True
+        return hit
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of some ids; the space that encoding puts first is taken off."""
         return b"".join(map(self.octets.__getitem__, ids.tolist())).decode()[1:]
@@ -379,6 +387,19 @@ def vocabulary(model_path: str) -> Vocabulary:
     return Vocabulary(rank, number, byte_number, octets, units, Merges(rank, number))
 
 
+def portions(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """A record batch in parts of at most BATCH rows and BYTES of text, but for a text that is longer alone."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(at)), 0)).tolist()
+    first, held = 0, 0
+    for n, size in enumerate(sizes):
+        if n > first and (n - first == BATCH or held + size > BYTES):
+            yield batch.slice(first, n - first)
+            first, held = n, 0
+        held += size
+    if first < len(sizes):
+        yield batch.slice(first)
+
+
 def encode(
     docs: DataFrame,
     model_path: str,
@@ -399,8 +420,7 @@ def encode(
     def task(batches):
         words, cache = shared.value, Cache()
         for batch in batches:
-            for first in range(0, batch.num_rows, BATCH):
-                part = batch.slice(first, BATCH)
+            for part in portions(batch, at):
                 texts = [t or "" for t in part.column(at).to_pylist()]
                 documents = np.asarray(part.column(len(kept))).view(np.uint64)
                 ids, counts = words.encode(texts, documents, dropout, cache)
