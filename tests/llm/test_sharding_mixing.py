@@ -5,9 +5,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import edge
 from tidemark.llm import mixing, sharding
+from tidemark.llm.text import scale_bits
 
 
 def test_shards_are_exact_gapless_and_repeatable(spark):
@@ -26,6 +28,37 @@ def test_shards_are_exact_gapless_and_repeatable(spark):
     assert key(found) != key(sharding.shard(docs, shards=8, seed=5).collect())
 
 
+@pytest.mark.parametrize("shards, rows_per_part", [(8, 20_000), (3, 2)])
+def test_every_row_lies_where_dealing_by_hand_puts_it(spark, shards, rows_per_part):
+    """Parts by leading bits, dealt in order by the drawn matrix, permuted again in each shard."""
+    docs = edge.documents(spark)
+    text = F.coalesce("text", F.lit(""))
+    local = F.xxhash64(F.lit(42), "doc_id", text)
+    keyed = docs.select(
+        "doc_id", "text", local.alias("local"), F.xxhash64("doc_id").alias("id_key"), F.xxhash64(F.lit(43), local).alias("key"),
+        (F.octet_length(text) + 1).alias("size"), F.crc32(text).alias("crc"),
+    ).collect()
+    bits = scale_bits(len(keyed), rows_per_part, 6, 12)
+    parts = defaultdict(list)
+    for r in keyed:
+        parts[(r["local"] & (1 << 64) - 1) >> 64 - bits].append(r)
+    total = len(keyed)
+    matrix = sharding.communication_matrix(
+        [len(parts[p]) for p in sorted(parts)], [total // shards + (s < total % shards) for s in range(shards)], 42
+    )
+    dealt = defaultdict(list)
+    for p, counts in zip(sorted(parts), matrix, strict=True):
+        rows = iter(sorted(parts[p], key=lambda r: (r["local"], r["id_key"], r["size"], r["crc"])))
+        for shard, n in enumerate(counts):
+            dealt[shard] += [next(rows) for _ in range(n)]
+    expected = Counter()
+    for shard, rows in dealt.items():
+        order = lambda r: ((r["key"] & (1 << 64) - 1) >> 64 - bits, r["key"], r["local"], r["id_key"], r["size"], r["crc"])
+        expected.update((r["doc_id"], r["text"], shard, slot) for slot, r in enumerate(sorted(rows, key=order)))
+    found = sharding.shard(docs, shards=shards, rows_per_part=rows_per_part)
+    assert Counter((r["doc_id"], r["text"], r["shard"], r["slot"]) for r in found.collect()) == expected
+
+
 def test_sharding_nothing(spark):
     assert sharding.shard(edge.nothing(spark)).collect() == []
 

@@ -5,7 +5,8 @@ random permutation obeys. Rows are permuted within their part and cut at those c
 within their shard. Only the part sizes (a bounded number) reach the driver; rows move as a DataFrame.
 
 Defined results: an empty table gives no rows; NULL ids and NULL texts are ordinary rows (a NULL text has no bytes);
-repeated rows are shuffled like any other; columns named like an output column are replaced by it.
+repeated rows are shuffled like any other, and as many equal rows as there are lie in one part (its window spills); a text of
+any length is one row; columns named like an output column are replaced by it.
 """
 
 from __future__ import annotations

@@ -7,8 +7,8 @@ task. When tries outgrow their budget, the first round emits what it has and sta
 heaviest subtree to a file of its own (anonymous, gone when the task ends; a task that is run again starts from its
 shuffled input) and deals with it at the end.
 
-Defined results: NULL counts as empty text; a NULL id is the smallest; of rows with the same id and text one is kept; an
-empty table gives no rows; columns named like an output column are replaced by it.
+Defined results: NULL counts as empty text; a NULL id is the smallest; of rows with the same id and text one is kept; a text
+of any length is one byte string; an empty table gives no rows; columns named like an output column are replaced by it.
 """
 
 from __future__ import annotations
