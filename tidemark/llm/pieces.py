@@ -39,7 +39,7 @@ from tidemark.llm.text import whole
 SPACE = "▁"
 #: Stands for a U+2581 of the text. A lone surrogate occurs in no UTF-8 text.
 OWN_SPACE = "\ud800"
-CACHED_UNITS = 120_000
+CACHED_UNITS = 200_000
 BATCH, BYTES = 256, 1 << 20
 MASK = (1 << 64) - 1
 GOLDEN, MIXER = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
@@ -50,7 +50,7 @@ PLACES = (1 << PLACE) - 1
 
 #: Units up to this length are encoded together; a longer one has an agenda of its own.
 TOGETHER = 24
-NONE = np.int64(1) << 60
+NONE = np.int32(1 << 30)
 #: Occurrences whose agendas run as one array.
 ROWS = 1 << 14
 
@@ -74,7 +74,7 @@ class Merges:
         inside = sorted({c for piece in rank for c in piece} - rank.keys())
         symbol = rank | {c: len(rank) + n for n, c in enumerate(inside)}
         self.pieces, self.other = len(rank), len(symbol)
-        self.of_char = np.full(0x110000, self.other, np.int64)
+        self.of_char = np.full(0x110000, self.other, np.int32)
         for c, n in symbol.items():
             if len(c) == 1:
                 self.of_char[ord(c)] = n
@@ -84,22 +84,47 @@ class Merges:
                 left, right = symbol.get(piece[:at]), symbol.get(piece[at:])
                 if left is not None and right is not None:
                     pairs[left * (self.other + 1) + right] = r
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.ranks = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        self.place_pairs(np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int32))
         self.numbers = np.array([number[p] for p in sorted(rank, key=rank.get)], "<i4")
 
+    def place_pairs(self, keys: np.ndarray, ranks: np.ndarray) -> None:
+        """A table by hash with an eighth of its slots filled; who finds a slot taken goes to the next one."""
+        bits = max(4, (8 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.ranks = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        slot = self.slots(keys)
+        while len(keys):
+            free = self.keys[slot] < 0
+            first = np.zeros(len(keys), bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            put = free & first
+            self.keys[slot[put]], self.ranks[slot[put]] = keys[put], ranks[put]
+            keys, ranks, slot = keys[~put], ranks[~put], slot[~put] + 1 & self.last
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * packets.GOLDEN >> self.shift).astype(np.int64)
+
     def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the piece that two symbols make, or NONE."""
-        asked = left * (self.other + 1) + right
-        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
-        return np.where(self.keys[at] == asked, self.ranks[at], NONE)
+        asked = left.astype(np.int64) * (self.other + 1) + right
+        slot = self.slots(asked)
+        there = self.keys[slot]
+        found = np.where(there == asked, self.ranks[slot], NONE)
+        open_ = np.flatnonzero((there != asked) & (there >= 0))
+        while len(open_):
+            slot[open_] = slot[open_] + 1 & self.last
+            there = self.keys[slot[open_]]
+            same = there == asked[open_]
+            found[open_[same]] = self.ranks[slot[open_[same]]]
+            open_ = open_[~same & (there >= 0)]
+        return found
 
     def begin(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The symbols of some units one after the other, the rank of each with the next one, and the units' lengths."""
         lengths = np.array([len(u) for u in units], np.int64)
         code = "".join(units).encode("utf-32-le", "surrogatepass")
         symbols = self.of_char[np.frombuffer(code, "<u4")]
-        best = np.full(len(symbols), NONE)
+        best = np.full(len(symbols), NONE, np.int32)
         inside = np.ones(len(symbols), bool)
         inside[np.cumsum(lengths) - 1] = False
         at = np.flatnonzero(inside)
@@ -124,13 +149,13 @@ class Merges:
                 rows, at, rank = rows[open_], at[open_], rank[open_]
             r, i = rows, at
             if bound:
-                top = (rank << PLACE | at).astype(np.uint64)
+                top = (rank.astype(np.int64) << PLACE | at).astype(np.uint64)
                 skipped = draws(keys[rows], top) < np.uint64(min(bound, MASK))
                 best[rows[skipped], at[skipped]] = NONE
                 taken = ~skipped
                 r, i, rank = rows[taken], at[taken], rank[taken]
             if path is not None:
-                path.append((r, rank << PLACE | i))
+                path.append((r, rank.astype(np.int64) << PLACE | i))
             j = after[r, i]
             symbols[r, i], symbols[r, j], best[r, j], best[r, i] = rank, -1, NONE, NONE
             k = after[r, j]
@@ -159,7 +184,7 @@ class Cache:
         self.index: dict[str, int] = {}
         self.units: list[str] = []
         none = np.zeros(0, np.int64)
-        self.symbols, self.best, self.length, self.begin = none, none, none, none
+        self.symbols, self.best, self.length, self.begin = none.astype(np.int32), none.astype(np.int32), none, none
         self.path, self.path_begin, self.path_length = none.astype(np.uint64), none, none
         self.ids, self.ids_begin, self.ids_length = none.astype("<i4"), none, none
 
@@ -168,7 +193,7 @@ class Cache:
         self.units += units
         symbols, best, length = words.merges.begin(units)
         path: list = []
-        ended = np.full(len(symbols), -1, np.int64)
+        ended = np.full(len(symbols), -1, np.int32)
         begin = np.cumsum(length) - length
         for rows in by_width(length):
             grid, first = words.gather(symbols, begin, length, rows, -1), words.gather(best, begin, length, rows, NONE)
@@ -263,7 +288,7 @@ class Vocabulary:
     def gather(flat: np.ndarray, begin: np.ndarray, length: np.ndarray, rows: np.ndarray, beyond) -> np.ndarray:
         """Runs of a flat array as rows of a matrix, filled up with ``beyond``."""
         width = int(length[rows].max())
-        found = np.full((len(rows), width), beyond, np.int64)
+        found = np.full((len(rows), width), beyond, flat.dtype)
         found[np.arange(width)[None, :] < length[rows][:, None]] = flat[spread(begin[rows], length[rows])]
         return found
 
@@ -296,7 +321,7 @@ class Vocabulary:
         """(ids, how many each has) of occurrences of cached units whose agendas must be run."""
         lengths = cache.length[which]
         ends = np.cumsum(lengths)
-        ended = np.full(ends[-1] if len(ends) else 0, -1, np.int64)
+        ended = np.full(ends[-1] if len(ends) else 0, -1, np.int32)
         for rows in by_width(lengths):
             units = which[rows]
             grid = self.gather(cache.symbols, cache.begin, cache.length, units, -1)
@@ -318,13 +343,13 @@ class Vocabulary:
         place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         keys = occurrence_keys(np.repeat(documents, sizes), place)
         del place, written, found
-        distinct = {u for u in set(flat) if len(u) <= TOGETHER}
-        lacking = distinct - cache.index.keys()
+        distinct = set(flat)
+        lacking = [u for u in distinct.difference(cache.index) if len(u) <= TOGETHER]
         if len(cache.units) + len(lacking) > CACHED_UNITS:
             cache.__init__()
-            lacking = distinct
+            lacking = [u for u in distinct if len(u) <= TOGETHER]
         if lacking:
-            cache.add(self, list(lacking))
+            cache.add(self, lacking)
         which = np.fromiter(map(cache.index.get, flat, repeat(-1)), np.int64, len(flat))
         known = np.flatnonzero(which >= 0)
         begin, length = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int64)
