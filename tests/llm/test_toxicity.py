@@ -140,6 +140,15 @@ def test_windows_hold_what_scoring_sums():
     assert counted == pytest.approx(direct)
 
 
+def test_a_word_repeated_counts_once(spark):
+    rows, labels = corpus(200)
+    _, model = learnt(spark, rows, labels)
+    base = edge.sentence(random.Random(5), 20)
+    said = [f"{base} {w} {base}" for w in ("haus3", "haus3 " * 300, "widerling", "widerling " * 300)]
+    scores = model.scores(said)
+    assert scores[0] == scores[1] < 0.5 < scores[2] == scores[3]
+
+
 def test_copies_and_shared_passages_teach_nothing():
     rng = random.Random(3)
     passage = edge.sentence(rng, 40)

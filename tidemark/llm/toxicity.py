@@ -3,8 +3,9 @@
 A text is read in windows of ``WINDOW`` words, each beginning half a window after the one before; its score is that of its
 worst window, so one bad passage in a long text counts. A window is the counts of its words, of their beginnings of 4 to 8
 bytes (stems, whatever the ending) and of its word pairs. The weights are
-those of a logistic regression on labelled texts, each represented by its worst window (chosen anew in every round, since a
-label tells nothing about where in a text it applies). Beside the usual penalty on the weights stands one on score changes:
+those of a logistic regression on labelled texts, each represented by its worst window, since a label tells nothing about
+where in a text it applies. The choice is made anew in every round: a toxic text by the window that is worst now, any other by
+all windows that were worst in some round (none of its windows is toxic), which share its weight. Beside the usual penalty on the weights stands one on score changes:
 every identity term in a labelled window is swapped for the other terms of its set, neutral nouns among them, and the squared
 difference of both scores is charged. What is left of such a term's weight cannot carry a verdict, so a neutral mention of a
 group that happened to be named in toxic texts stays below the threshold.
@@ -44,7 +45,7 @@ LEAST_TEXTS = 3
 MOST_TERMS = 65_536
 #: Standard deviations by which a term's share of toxic texts is off the share of all.
 LEAST_LEAN = 4.0
-ROUNDS = 5
+ROUNDS = 8
 RIDGE = 0.25
 FAIRNESS = 20.0
 
@@ -77,11 +78,14 @@ STEMS = range(4, 9)
 
 
 def word_keys(text: str) -> np.ndarray:
-    """Of each word its hash and its first eight bytes."""
+    """Of each word its hash and its first eight bytes. A word that follows itself is left out: said again and again it
+    means no more, and would fill whole windows."""
     words = text.lower().encode("utf-8", "surrogatepass").translate(LETTERS).split()
     if not words:
         return np.zeros((0, 2), np.uint64)
-    return np.stack([packets.word_hashes(words), np.array(words, "S8").view("<u8")], 1)
+    keys = packets.word_hashes(words)
+    kept = np.append(True, keys[1:] != keys[:-1])
+    return np.stack([keys, np.array(words, "S8").view("<u8")], 1)[kept]
 
 
 def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -265,15 +269,16 @@ class Rows:
         return np.bincount(self.column, self.value * u[self.at], self.shape[1])
 
 
-def regress(x: Rows, y: np.ndarray, swaps: Rows, start: np.ndarray, fairness: float) -> np.ndarray:
-    """Logistic regression by Newton steps, each solved by conjugate gradients. The last column is the bias."""
+def regress(x: Rows, y: np.ndarray, share: np.ndarray, swaps: Rows, start: np.ndarray, fairness: float) -> np.ndarray:
+    """Logistic regression by Newton steps, each solved by conjugate gradients; ``share`` is what each row counts. The last
+    column is the bias."""
     ridge = np.full(x.shape[1], RIDGE)
     ridge[-1] = 1e-6
     w = start.copy()
     for _ in range(12):
         p = 1 / (1 + np.exp(-np.clip(x.times(w), -50, 50)))
-        slope = x.back(p - y) + ridge * w + fairness * swaps.back(swaps.times(w))
-        bend = np.maximum(p * (1 - p), 1e-6)
+        slope = x.back(share * (p - y)) + ridge * w + fairness * swaps.back(swaps.times(w))
+        bend = share * np.maximum(p * (1 - p), 1e-6)
 
         def curve(v, bend=bend):
             return x.back(bend * x.times(v)) + ridge * v + fairness * swaps.back(swaps.times(v))
@@ -284,9 +289,9 @@ def regress(x: Rows, y: np.ndarray, swaps: Rows, start: np.ndarray, fairness: fl
             if size < 1e-10:
                 break
             bent = curve(way)
-            share = size / (way @ bent)
-            step += share * way
-            left -= share * bent
+            far = size / (way @ bent)
+            step += far * way
+            left -= far * bent
             was, size = size, left @ left
             way = left + size / was * way
         w = w + step * min(1.0, 8.0 / max(1e-12, np.abs(step).max()))
@@ -368,15 +373,17 @@ def fit(bags: list[tuple[int, list[np.ndarray]]], fairness: float = FAIRNESS) ->
     w[np.searchsorted(learnt, terms[kept])] = (odds * count / (count + 10))[kept]
     usable = np.flatnonzero(windows.new(labels))
     texts, begins = np.unique(windows.owner[usable], return_index=True)
-    was = None
+    ends, label = np.append(begins[1:], len(usable)), labels[texts]
+    known: list[set[int]] = [set() for _ in texts]
     for _ in range(ROUNDS):
         sums = x.times(w)[usable]
-        ends = np.append(begins[1:], len(usable))
-        chosen = usable[[a + int(sums[a:b].argmax()) for a, b in zip(begins, ends, strict=True)]]
-        if was is not None and (chosen == was).all():
+        worst = usable[[a + int(sums[a:b].argmax()) for a, b in zip(begins, ends, strict=True)]].tolist()
+        if all(one in own for one, own in zip(worst, known, strict=True)):
             break
-        was = chosen
-        w = regress(x.take(chosen).with_bias(), labels[texts], swaps, w, fairness)
+        known = [{one} if y else own | {one} for one, own, y in zip(worst, known, label, strict=True)]
+        chosen = np.array([one for own in known for one in sorted(own)])
+        sizes = np.array([len(own) for own in known])
+        w = regress(x.take(chosen).with_bias(), np.repeat(label, sizes), np.repeat(1 / sizes, sizes), swaps, w, fairness)
     return Model(learnt, w[:-1], float(w[-1]))
 
 
