@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from acceptance import star
 from tidemark import versions
-from tidemark.durable import fresh_path, materialise
+from tidemark.durable import drop, fresh_path, materialise
 from tidemark.entities import DIM_BUSINESSES, DIM_USERS, entity_spec, entity_specs, raw_schema
 from tidemark.load import LOAD_DATE, LOAD_ID, LoadContext, stamp
 from tidemark.operators.keys import assign_surrogates, latest_per_key, rejected_keys
@@ -55,6 +55,8 @@ from tidemark.specs import CORRUPT_RECORD, EXTRA_FIELDS, DimSpec, Field
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+LINES_PER_FILE = 1_000_000
+
 DIM_TURNS = DimSpec(
     table="dim_turns",
     entity="turn",
@@ -109,7 +111,9 @@ def nested_map_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land(df: DataFrame, landing: str, entity: str) -> None:
-    df.write.json(f"{landing}/{entity_spec(entity).name}.json")
+    """JSON lines, compressed; a file is read by one task, so its lines are bounded."""
+    lines = df.write.option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE)
+    lines.json(f"{landing}/{entity_spec(entity).name}.json")
 
 
 def _landed_businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,11 +175,13 @@ def load_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_reviews_several_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping snapshots; the second one has a vote more for each review it brings again."""
-    lake, reviews = Lake(fresh_path(spark, "lake")), star.raw_reviews(spark, sf_dir)
+    lake, lines = Lake(fresh_path(spark, "lake")), materialise(star.ordered_lines(spark, sf_dir), "lines")
+    reviews = star.raw_reviews(spark, sf_dir, lines)
     early = reviews.filter(F.col("date") < F.lit(star.FIRST_SNAPSHOT_ENDS.isoformat()))
     late = reviews.filter(F.col("date") >= "1996-01-01").withColumn("useful", F.col("useful") + 1)
     for n, rows in ((1, early), (2, late)):
         write_bronze(stamp(rows, star.LOADS[n]), lake.bronze("review"), star.LOADS[n])
+    drop(lines)
     raw = newest_rows(bronze_increment(spark, lake, "review", star.LOADS[2], after_load=0), ["review_id"])
     return fact_reviews(raw, *_dims(spark, sf_dir), star.LOADS[2])
 
@@ -459,12 +465,12 @@ def facts_in_balanced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def two_loads_to_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON landing, bronze, dimensions, facts and mart on disk, for two loads in a row."""
-    lake = Lake(fresh_path(spark, "lake"))
+    lake, lines = Lake(fresh_path(spark, "lake")), materialise(star.ordered_lines(spark, sf_dir), "lines")
     for n in (1, 2):
         landing = fresh_path(spark, "landing")
         early = F.lit(n > 1) | (F.col("date") < F.lit(star.FIRST_SNAPSHOT_ENDS.isoformat()))
         entities = {
-            "review": star.raw_reviews(spark, sf_dir).filter(early),
+            "review": star.raw_reviews(spark, sf_dir, lines).filter(early),
             "tip": star.raw_tips(spark, sf_dir).filter(early),
             "checkin": star.raw_checkins(spark, sf_dir),
             "user": star.raw_users(spark, sf_dir, n),
@@ -472,6 +478,7 @@ def two_loads_to_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
         run_jobs(spark, [partial(_land, rows, landing, name) for name, rows in entities.items()], workers=4)
         run_load(spark, lake, star.LOADS[n], landing, workers=4)
+    drop(lines)
     return read_table(spark, lake.gold())
 
 

@@ -112,9 +112,20 @@ def raw_users(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
     )
 
 
-def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line, order = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    rows = line.join(order.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+def ordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What reviews are made of: lines, as narrow as they get, with the customer of their order. Several loads share them
+    stored, so that the tables are joined once."""
+    line = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate",
+        F.floor(F.col("l_discount") * 100 + 0.5).alias("cool"),
+        F.concat_ws(" ", "l_returnflag", "l_linestatus").alias("text"),
+    )
+    order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+
+
+def raw_reviews(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    rows = ordered_lines(spark, sf_dir) if lines is None else lines
     return rows.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("review_id"),
         user_key(F.col("o_custkey")).alias("user_id"),
@@ -122,8 +133,8 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor("l_quantity") % 5 + 1).cast("double").alias("stars"),
         F.col("l_quantity").cast("bigint").alias("useful"),
         F.col("l_linenumber").cast("bigint").alias("funny"),
-        F.floor(F.col("l_discount") * 100 + 0.5).alias("cool"),
-        F.concat_ws(" ", "l_returnflag", "l_linestatus").alias("text"),
+        "cool",
+        "text",
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("date"),
     )
 

@@ -4,13 +4,14 @@ from datetime import date
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tests.plans import formatted
 from tidemark.entities import entity_spec
 from tidemark.load import LoadContext, stamp
 from tidemark.plans.lake import ingest
-from tidemark.sinks.writers import overwrite_table, publish_fact, replace_partitions, write_bronze
+from tidemark.sinks.writers import _of_load, overwrite_table, publish_fact, replace_partitions, write_bronze
 from tidemark.sources.readers import corrupt_rows, empty_table, read_entity, read_or_empty, read_table, since_load
 
 LOADS = [LoadContext(1, date(2020, 1, 1)), LoadContext(2, date(2020, 1, 8))]
@@ -82,6 +83,26 @@ def test_fact_publish_leaves_session_conf_alone(spark, tmp_path):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+def test_rows_of_a_load_are_not_sorted_by_it(spark):
+    load = LoadContext(1, date(2020, 1, 1))
+    seen = stamp(spark.range(5), load).observe(Observation(), F.count(F.lit(1)).alias("rows"))
+    assert "Sort" in formatted(seen.sort("ctl_loading"))
+    assert "Sort" not in formatted(_of_load(seen, "ctl_loading", load.load_id).sort("ctl_loading"))
+
+
+def test_landed_lines_are_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    from acceptance import queries
+
+    monkeypatch.setattr(queries, "LINES_PER_FILE", 3)
+    rows = spark.range(0, 10, 1, 1).select(F.col("id").cast("string").alias("business_id"), F.lit("2020-01-01").alias("date"))
+    queries._land(rows, str(tmp_path), "checkin")
+    spec = entity_spec("checkin")
+    files = list((tmp_path / f"{spec.name}.json").glob("part-*"))
+    assert len(files) == 4 and all(f.name.endswith(".json.gz") for f in files)
+    landed = read_entity(spark, spec, str(tmp_path)).collect()
+    assert sorted(int(r.business_id) for r in landed) == list(range(10))
+
+
 def test_flag_partition_reads_back_boolean(spark, tmp_path):
     path, schema = str(tmp_path / "d"), "id long, is_current boolean"
     replace_partitions(spark.range(4).withColumn("is_current", F.col("id") > 1), path, ["is_current"])

@@ -45,6 +45,12 @@ def replace_partitions(
     )
 
 
+def _of_load(df: DataFrame, column: str, value: object) -> DataFrame:
+    """Rows of one load, said once more by a constant: Spark does not see through the observation that the stamp is one,
+    and would sort all rows by it before it writes the partition."""
+    return df.withColumn(column, F.lit(value))
+
+
 def replace_load(
     df: DataFrame, path: str, column: str, value: object, fmt: str = "parquet", files: int | str | None = None
 ) -> None:
@@ -53,7 +59,7 @@ def replace_load(
     The rows are counted while they are written.
     """
     written = Observation()
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    counted = _of_load(df.observe(written, F.count(F.lit(1)).alias("rows")), column, value)
     replace_partitions(counted, path, [column], fmt, files)
     if not written.get["rows"]:
         folders.remove(df.sparkSession, f"{path}/{column}={value}")
