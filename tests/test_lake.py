@@ -7,10 +7,11 @@ from datetime import date
 
 import pytest
 
+from tests.plans import formatted
 from tidemark.entities import DIM_BUSINESSES, DIM_USERS, FILE_PREFIX
 from tidemark.jobs import arguments, main
 from tidemark.load import LoadContext
-from tidemark.plans.lake import Lake, build_dimension, build_facts, build_mart, read_dimension, read_fact, run_load
+from tidemark.plans.lake import Lake, build_dimension, build_facts, build_mart, newest_rows, read_dimension, read_fact, run_load
 from tidemark.sources.readers import read_table
 
 FIRST, SECOND = LoadContext(1, date(2020, 1, 1)), LoadContext(2, date(2020, 2, 1))
@@ -119,3 +120,21 @@ def test_command_line_refuses_incomplete_calls():
     for argv in [["all", "--root", "r", "--ctl_loading", "1", "--ctl_loading_date", "2020-01-01"], ["gold"], ["iron"]]:
         with pytest.raises(SystemExit):
             arguments(argv)
+
+
+def test_newest_rows_move_the_newest_load_not_at_all(spark):
+    """A key, also NULL, has the rows of its newest load, all of them; what is newest of all is neither sorted nor ranked."""
+    rows = [
+        ("a", 1, "x", 1), ("a", 1, "x", 3), ("a", 1, "x", 3), ("b", 1, "x", 1), ("b", 1, "x", 1), ("c", 1, "x", 1),
+        ("c", 1, "x", 2), (None, 1, "x", 1), (None, 1, "x", 2), ("d", None, "x", 1), ("d", 2, "x", 3), ("d", None, "y", 2),
+    ]
+    raw = spark.createDataFrame(rows, "k STRING, n INT, wide STRING, ctl_loading INT")
+    found = newest_rows(raw, ["k", "n"])
+    expected = [
+        ("a", 1, "x", 3), ("a", 1, "x", 3), ("b", 1, "x", 1), ("b", 1, "x", 1), ("c", 1, "x", 2), (None, 1, "x", 2),
+        ("d", 2, "x", 3), ("d", None, "y", 2),
+    ]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
+    assert "Window" not in formatted(found)
+    empty = newest_rows(raw.filter("ctl_loading > 9"), ["k", "n"])
+    assert empty.count() == 0 and empty.columns == raw.columns

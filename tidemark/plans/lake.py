@@ -28,7 +28,6 @@ from tidemark.entities import (
 from tidemark.files import newest_partition
 from tidemark.functions.dates import text_to_date
 from tidemark.load import LOAD_COLUMNS, LOAD_DATE, LOAD_ID, LoadContext, stamp
-from tidemark.operators.keys import latest_per_key
 from tidemark.operators.scd2 import scd2_delta
 from tidemark.plans.facts import FACT_SCHEMAS, fact_checkins, fact_reviews, fact_tips
 from tidemark.plans.mart import weekly_business
@@ -200,8 +199,17 @@ def standing(
 
 
 def newest_rows(raw: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Of each key the rows of the newest load that has it."""
-    return latest_per_key(raw, keys, [F.col(LOAD_ID).desc()], ties="keep")
+    """Of each key the rows of the newest load that has it; NULL is a key like any other.
+
+    The newest load of all stays whole and is not moved. Rows of older loads meet the keys alone of later ones, one
+    row per key and task, so nothing wide is sorted before its shuffle.
+    """
+    load, key = F.col(LOAD_ID), F.struct(*keys)  # structs are equal also where both hold NULL
+    newest = raw.select(F.max(load).alias("newest")).scalar()
+    oldest = raw.select(F.min(load).alias("oldest")).scalar()
+    later = raw.filter(load > oldest).groupBy(key.alias("_key")).agg(F.max(load).alias("_latest"))
+    older = raw.filter(load < newest).join(later, (key == F.col("_key")) & (F.col("_latest") > load), "left_anti")
+    return raw.filter(load == newest).unionByName(older)
 
 
 def read_dimension(spark: SparkSession, lake: Lake, spec: DimSpec) -> DataFrame:
