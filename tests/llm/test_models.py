@@ -307,3 +307,28 @@ def test_all_dropped_leaves_characters():
     words = pieces.vocabulary(MODEL)
     ids, _ = words.encode(["ab ▁c"], np.ones(1, np.uint64), 1.0, pieces.Cache())
     assert words.decode(ids) == "ab ▁c" and len(ids) == 3 + 1 + 3 + 1
+
+
+def test_scores_of_a_chunk_take_few_bytes_a_token(monkeypatch):
+    """Predictions are made span by span, with the same results, so a chunk holds little beside its tokens."""
+    import tracemalloc
+
+    monkeypatch.setattr(interpolation, "SPAN", 1 << 13, raising=False)
+    rng = np.random.default_rng(5)
+    rows = [(n, b" ".join(b"w%d" % w for w in rng.zipf(1.3, 2000) % 5000), n % 3 > 0) for n in range(100)] + [(100, b"", True)]
+    chunk = interpolation.Tokens(iter(rows))
+    words, pairs = chunk.own_words + 2, chunk.own_pairs + 1
+    corpus = interpolation.Corpus(10**6, 5000, 90, rng.dirichlet([1, 1, 1], interpolation.CONTEXTS))
+
+    def run():
+        cells = interpolation.histogram(chunk, words, pairs, 10**6, 90)
+        return [cells, *interpolation.log_scores(chunk, words, pairs, corpus)]
+
+    tracemalloc.start()
+    found = run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(chunk.word_at)
+    monkeypatch.setattr(interpolation, "SPAN", 1 << 30)
+    for a, b in zip(found, run(), strict=True):
+        assert np.array_equal(a, b)

@@ -21,6 +21,7 @@ names, are left out.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +40,11 @@ BEGIN, END = np.uint64(0x1B873593CC9E2D51), np.uint64(0x85EBCA6BC2B2AE35)
 CONTEXTS = 16
 STEPS = 160  # quarter octaves, 40 octaves in all; 0 stands for probability zero
 EM_ROUNDS = 200
+SPAN = 1 << 17  # tokens that are predicted at once
+
+
+def spans(n: int) -> Iterator[slice]:
+    return (slice(start, min(start + SPAN, n)) for start in range(0, n, SPAN))
 
 
 def context_bucket(count: np.ndarray) -> np.ndarray:
@@ -54,32 +60,45 @@ def unstep(s: np.ndarray) -> np.ndarray:
     return np.where(s > 0, 2.0 ** (-(s - 1) / 4), 0.0)
 
 
+def places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, and of each key its place among them, in four bytes: a chunk has fewer than 2^31 tokens."""
+    index, place = np.unique(keys, return_inverse=True)
+    return index, place.astype(np.int32)
+
+
 class Tokens:
     """The tokens of a chunk as hashes, with their contexts, and the distinct words and pairs."""
 
     def __init__(self, rows):
-        self.ids, self.learn, parts, contexts, lengths = [], [], [], [], []
+        self.ids, self.learn, parts = [], [], []
         for key, text, learn in rows:
-            words = text.lower().split()
-            hashes = np.append(packets.word_hashes(words), END)
             self.ids.append(key)
             self.learn.append(bool(learn))
-            parts.append(hashes)
-            contexts.append(np.append(BEGIN, hashes[:-1]))
-            lengths.append(len(hashes))
-        words, before = np.concatenate(parts), np.concatenate(contexts)
-        self.lengths = np.array(lengths, np.int64)
+            parts.append(np.append(packets.word_hashes(text.lower().split()), END))
+        self.lengths = np.array([len(p) for p in parts], np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.lengths)))[:-1]
+        words = np.concatenate(parts)
+        del parts
+        before = np.concatenate(([BEGIN], words[:-1]))
+        before[self.starts] = BEGIN
         self.learned = np.repeat(np.array(self.learn, bool), self.lengths)
         one, two = packets.coefficients(2, 3)
-        self.words, self.word_at = np.unique(words, return_inverse=True)
-        self.pairs, self.pair_at = np.unique(packets.mix64(before * one + words * two), return_inverse=True)
-        # The context's place among the words; the begin mark is no word.
+        # The context's place among the words is that of the token before; the begin mark is no word.
         self.begins = before == BEGIN
-        self.context_at = np.where(self.begins, 0, np.concatenate(([0], self.word_at[:-1])))
+        pairs = packets.mix64(before * one + words * two)
+        del before
+        self.words, self.word_at = places(words)
+        del words
+        self.pairs, self.pair_at = places(pairs)
         self.own_words = np.bincount(self.word_at, weights=self.learned, minlength=len(self.words)).astype(np.int64)
         self.own_pairs = np.bincount(self.pair_at, weights=self.learned, minlength=len(self.pairs)).astype(np.int64)
 
+    def contexts(self, at: slice, words: np.ndarray, begin: int) -> np.ndarray:
+        """How often the contexts of some tokens were seen: by their ``words`` counts, or ``begin`` times the begin mark."""
+        before = self.word_at[max(0, at.start - 1) : at.stop - 1]
+        before = before if at.start else np.append(np.int32(0), before)
+        return np.where(self.begins[at], begin, words[before])
+
     def request(self) -> packets.Kinds:
         return [(self.words, (packets.smallest(self.own_words),)), (self.pairs, (packets.smallest(self.own_pairs),))]
 
@@ -101,12 +120,14 @@ def histogram(tokens: Tokens, words: np.ndarray, pairs: np.ndarray, train_tokens
     words, pairs = words.astype(np.int64) - tokens.own_words, pairs.astype(np.int64) - tokens.own_pairs
     rest = train_tokens - int(tokens.own_words.sum())
     texts = train_texts - int((tokens.learned & tokens.begins).sum())
-    context = np.where(tokens.begins, texts, words[tokens.context_at])
-    p2 = np.where(context > 0, pairs[tokens.pair_at] / np.maximum(context, 1), 0.0)
-    p1 = words[tokens.word_at] / max(1, rest)
-    cell = (context_bucket(context) * STEPS + step(p2)) * STEPS + step(p1)
+    cell = np.empty(len(tokens.word_at), np.int32)
+    for at in spans(len(cell)):
+        context = tokens.contexts(at, words, texts)
+        p2 = np.where(context > 0, pairs[tokens.pair_at[at]] / np.maximum(context, 1), 0.0)
+        p1 = words[tokens.word_at[at]] / max(1, rest)
+        cell[at] = (context_bucket(context) * STEPS + step(p2)) * STEPS + step(p1)
     cells, counts = np.unique(cell[tokens.learned], return_counts=True)
-    return np.stack([cells, counts])
+    return np.stack([cells.astype(np.int64), counts])
 
 
 @dataclass
@@ -141,15 +162,18 @@ def learn_weights(cells: np.ndarray, counts: np.ndarray, kinds: int) -> np.ndarr
 def log_scores(tokens: Tokens, words: np.ndarray, pairs: np.ndarray, corpus: Corpus) -> list[np.ndarray]:
     """Per text: tokens, known tokens, base score, score."""
     words, pairs = words.astype(np.int64), pairs.astype(np.int64)
-    count = words[tokens.word_at]
-    context = np.where(tokens.begins, corpus.train_texts, words[tokens.context_at])
-    p2 = np.where(context > 0, pairs[tokens.pair_at] / np.maximum(context, 1), 0.0)
-    weights = corpus.weights[context_bucket(context)]
-    p1, p0 = count / max(1, corpus.train_tokens), 1 / (corpus.kinds + 1)
-    p = weights[:, 0] * p2 + weights[:, 1] * p1 + weights[:, 2] * p0
-    base = np.log10((count + 0.5) / (corpus.train_tokens + 0.5 * (corpus.kinds + 1)))
-    sums = [np.add.reduceat(x, tokens.starts) for x in ((count > 0).astype(np.int64), base, np.log10(p))]
-    return [tokens.lengths, *sums]
+    known, base, score = (np.empty(len(tokens.word_at), kind) for kind in (bool, np.float64, np.float64))
+    for at in spans(len(known)):
+        count = words[tokens.word_at[at]]
+        context = tokens.contexts(at, words, corpus.train_texts)
+        p2 = np.where(context > 0, pairs[tokens.pair_at[at]] / np.maximum(context, 1), 0.0)
+        weights = corpus.weights[context_bucket(context)]
+        p1, p0 = count / max(1, corpus.train_tokens), 1 / (corpus.kinds + 1)
+        known[at] = count > 0
+        base[at] = np.log10((count + 0.5) / (corpus.train_tokens + 0.5 * (corpus.kinds + 1)))
+        score[at] = np.log10(weights[:, 0] * p2 + weights[:, 1] * p1 + weights[:, 2] * p0)
+    sums = [np.add.reduceat(base, tokens.starts), np.add.reduceat(score, tokens.starts)]
+    return [tokens.lengths, np.add.reduceat(known, tokens.starts, dtype=np.int64), *sums]
 
 
 def model(
@@ -211,9 +235,9 @@ def score(
 
     def task(batches):
         for batch in batches:
-            for packs, answers in zip(batch.column("packs"), batch.column("answers").to_pylist(), strict=True):
+            for packs, answers in zip(batch.column("packs"), batch.column("answers"), strict=True):
                 chunk = Tokens(packets.unpack(packs.values))
-                figures = log_scores(chunk, *packets.expand(answers), corpus)
+                figures = log_scores(chunk, *packets.expand(answers.as_py()), corpus)
                 arrays = [pa.array(chunk.ids, id_type), pa.array([not x for x in chunk.learn]), *map(pa.array, figures)]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
