@@ -55,7 +55,7 @@ from tidemark.specs import CORRUPT_RECORD, EXTRA_FIELDS, DimSpec, Field
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-LINES_PER_FILE = 1_000_000
+LINES_PER_FILE = 250_000
 
 DIM_TURNS = DimSpec(
     table="dim_turns",
@@ -111,8 +111,10 @@ def nested_map_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land(df: DataFrame, landing: str, entity: str) -> None:
-    """JSON lines, compressed; a file is read by one task, so its lines are bounded."""
-    lines = df.write.option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE)
+    """JSON lines, compressed (at level 3, whose files are a sixth larger than the default's for half its time); a file is
+    read by one task, so its lines are bounded."""
+    lines = df.write.option("compression", "gzip").option("zlib.compress.level", "THREE")
+    lines = lines.option("maxRecordsPerFile", LINES_PER_FILE)
     lines.json(f"{landing}/{entity_spec(entity).name}.json")
 
 

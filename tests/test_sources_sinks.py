@@ -40,6 +40,43 @@ def test_json_entity_keeps_bad_lines(spark, landing):
     assert dict((r[0], r[1]) for r in parking)["b1"] == "yes"
 
 
+ODD_REVIEWS = [
+    '{"review_id":"r1","stars":2.0,"useful":3,"text":"plain","date":"2001-02-03 04:05:06"}',
+    '{"review_id": "r2", "stars": -1.5E3, "useful": null, "text": "a\\nb \\"c\\" \\u00e9\\u003a \\\\"}',
+    '{"review_id":"r3","stars":3,"useful":0,"text":""}',
+    '{"stars":2.0,"review_id":"out of order"}',
+    '{"review_id":"r4","review_id":"twice"}',
+    '{"review_id":"r5","more":"beyond","text":"x"}',
+    '{"review_id":"r6","stars":"2.5","useful":"many"}',
+    '{"review_id":"r7","stars":1.5E400,"useful":1.0}',
+    '{"review_id":"r8","useful":99999999999999999999,"text":12.50}',
+    '{"review_id":"r9","stars":-0,"useful":-0}',
+    '{"review_id":"r10","useful":007}',
+    '{"review_id":"r11","text":"\\q"}',
+    '{"review_id":"r12","text":"tab\there"}',
+    '{"review_id":"r13",}',
+    '{"review_id":"r14" "text":"x"}',
+    '{"review_id":"r15"',
+    '[{"review_id":"r16"}]',
+    "{'review_id':'r17'}",
+    "{}",
+]
+
+
+def test_lines_cut_by_the_pattern_are_as_parsed(spark, monkeypatch):
+    from tidemark.sources import readers
+
+    spec = entity_spec("review")
+    declared = [f for f in spec.schema if not f.name.startswith("_")]
+    lines = spark.createDataFrame([(line,) for line in ODD_REVIEWS], "value string").coalesce(1)
+    plain = lines.filter(F.col("value").rlike(readers.plain_line(declared)))
+    assert [r.value for r in plain.collect()] == [*ODD_REVIEWS[:3], "{}"]
+    cut = readers.parse_lines(lines, spec).collect()
+    monkeypatch.setattr(readers, "plain_line", lambda fields: "(?!)")
+    assert cut == readers.parse_lines(lines, spec).collect()
+    assert cut[1].text == 'a\nb "c" \u00e9: \\' and cut[1].stars == -1500 and cut[5]._extra_fields == {"more": "beyond"}
+
+
 def test_inferred_schema_keeps_structs(spark, landing):
     df = read_entity(spark, entity_spec("business", declared=False), landing)
     assert df.schema["attributes"].dataType.simpleString() == "struct<BusinessParking:string>"

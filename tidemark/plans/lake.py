@@ -90,9 +90,14 @@ def quality_counts(df: DataFrame, entity: str) -> list[Column]:
     day = DATE_FIELDS.get(entity)
     bad = F.lit(0)
     if day in has:
-        items = F.split(F.coalesce(F.col(day), F.lit("")), ",") if entity == "checkin" else F.array(day)
-        wrong = F.filter(items, lambda i: (F.trim(i) != "") & text_to_date(F.trim(i)).isNull())
-        bad = F.when(F.col(day).isNotNull(), F.size(wrong)).otherwise(0)
+
+        def wrong(item: Column) -> Column:
+            return (F.trim(item) != "") & text_to_date(F.trim(item)).isNull()
+
+        if entity == "checkin":
+            bad = F.when(F.col(day).isNotNull(), F.size(F.filter(F.split(F.col(day), ","), wrong))).otherwise(0)
+        else:
+            bad = F.when(wrong(F.col(day)), 1).otherwise(0)
     misfit = F.col(CORRUPT_RECORD).isNotNull() & record if CORRUPT_RECORD in has else F.lit(False)
     return [
         F.count(F.lit(1)).alias("lines"),
