@@ -468,8 +468,9 @@ def facts_in_balanced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def two_loads_to_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON landing, bronze, dimensions, facts and mart on disk, for two loads in a row."""
     lake, lines = Lake(fresh_path(spark, "lake")), materialise(star.ordered_lines(spark, sf_dir), "lines")
-    for n in (1, 2):
-        landing = fresh_path(spark, "landing")
+    landings = {n: fresh_path(spark, "landing") for n in (1, 2)}
+    jobs = []
+    for n, landing in landings.items():
         early = F.lit(n > 1) | (F.col("date") < F.lit(star.FIRST_SNAPSHOT_ENDS.isoformat()))
         entities = {
             "review": star.raw_reviews(spark, sf_dir, lines).filter(early),
@@ -478,9 +479,11 @@ def two_loads_to_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
             "user": star.raw_users(spark, sf_dir, n),
             "business": star.raw_businesses(spark, sf_dir, n),
         }
-        run_jobs(spark, [partial(_land, rows, landing, name) for name, rows in entities.items()], workers=4)
-        run_load(spark, lake, star.LOADS[n], landing, workers=4)
+        jobs += [partial(_land, rows, landing, name) for name, rows in entities.items()]
+    run_jobs(spark, jobs, workers=4)
     drop(lines)
+    for n, landing in landings.items():
+        run_load(spark, lake, star.LOADS[n], landing, workers=4)
     return read_table(spark, lake.gold())
 
 

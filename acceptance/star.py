@@ -114,14 +114,15 @@ def raw_users(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
 
 def ordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What reviews are made of: lines, as narrow as they get, with the customer of their order. Several loads share them
-    stored, so that the tables are joined once."""
+    stored, so that the tables are joined, and days written out, once."""
     line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate",
         F.floor(F.col("l_discount") * 100 + 0.5).alias("cool"),
         F.concat_ws(" ", "l_returnflag", "l_linestatus").alias("text"),
     )
     order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+    ordered = line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+    return ordered.withColumn("date", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).drop("l_shipdate")
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
@@ -135,7 +136,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
         F.col("l_linenumber").cast("bigint").alias("funny"),
         "cool",
         "text",
-        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("date"),
+        "date",
     )
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.plans import formatted
 from tidemark.entities import entity_spec
@@ -77,6 +78,39 @@ def test_lines_cut_by_the_pattern_are_as_parsed(spark, monkeypatch):
     assert cut[1].text == 'a\nb "c" \u00e9: \\' and cut[1].stars == -1500 and cut[5]._extra_fields == {"more": "beyond"}
 
 
+def test_long_lines_are_cut_in_one_look(spark):
+    from tidemark.sources.readers import parse_lines, plain_line
+
+    spec = entity_spec("business")
+    text, hours = '\\"a\\n' * 100_000, ",".join(f'"k{n}":"v"' for n in range(20_000))
+    lines = spark.createDataFrame([(f'{{"name":"{text}","hours":{{{hours}}}}}',)], "value string")
+    declared = [f for f in spec.schema if not f.name.startswith("_")]
+    assert lines.filter(F.col("value").rlike(plain_line(declared))).count() == 1
+    row = parse_lines(lines, spec).first()
+    assert row.name == '"a\n' * 100_000 and len(row.hours) == 20_000 and row._corrupt_record is None
+
+
+def test_both_landings_hold_the_same_days(spark, tmp_path):
+    """Days are written out once, where lines and orders are joined."""
+    from acceptance import star
+
+    day = F.lit("1999-05-08 01:02:03.5").cast("timestamp_ntz")
+    line = dict.fromkeys(("l_orderkey", "l_partkey", "l_suppkey"), F.lit(1)) | dict.fromkeys(
+        ("l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"), F.lit(1)
+    )
+    flags = {"l_returnflag": F.lit("N"), "l_linestatus": F.lit("O"), "l_shipdate": F.when(F.col("id") > 0, day)}
+    order = dict.fromkeys(("o_orderkey", "o_custkey"), F.lit(1)) | dict.fromkeys(
+        ("o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"), F.lit(None)
+    )
+    for name, rows, made in (("lineitem", 2, line | flags), ("orders", 1, order)):
+        schema = T._parse_datatype_string(star.SCHEMAS[name])
+        table = spark.range(rows).select(*[made[f.name].cast(f.dataType).alias(f.name) for f in schema])
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    lines = star.ordered_lines(spark, str(tmp_path))
+    assert {r.date for r in lines.collect()} == {None, "1999-05-08 01:02:03"}
+    assert "date_format" not in formatted(star.raw_reviews(spark, str(tmp_path), lines.localCheckpoint()))
+
+
 def test_inferred_schema_keeps_structs(spark, landing):
     df = read_entity(spark, entity_spec("business", declared=False), landing)
     assert df.schema["attributes"].dataType.simpleString() == "struct<BusinessParking:string>"
