@@ -133,7 +133,7 @@ def ingest(
             rows, counted = stamp(reader(spark, spec, landing), load), Observation()
             if quality:
                 rows = rows.observe(counted, *quality_counts(rows, entity))
-            write_bronze(rows, f"{bronze}/{spec.name}", load, files)
+            write_bronze(rows, f"{bronze}/{spec.name}", load, files, (lambda: counted.get["lines"]) if quality else None)
             if quality:
                 found = counted.get
                 figures = spark.range(1).select(

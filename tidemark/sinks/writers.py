@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -52,22 +52,31 @@ def _of_load(df: DataFrame, column: str, value: object) -> DataFrame:
 
 
 def replace_load(
-    df: DataFrame, path: str, column: str, value: object, fmt: str = "parquet", files: int | str | None = None
+    df: DataFrame,
+    path: str,
+    column: str,
+    value: object,
+    fmt: str = "parquet",
+    files: int | str | None = None,
+    rows: Callable[[], int] | None = None,
 ) -> None:
     """Replace the one partition of a load, also by nothing: without rows no folder remains.
 
-    The rows are counted while they are written.
+    The rows are counted while they are written; ``rows`` tells their number if someone counts them already.
     """
-    written = Observation()
-    counted = _of_load(df.observe(written, F.count(F.lit(1)).alias("rows")), column, value)
-    replace_partitions(counted, path, [column], fmt, files)
-    if not written.get["rows"]:
+    if rows is None:
+        written = Observation()
+        df, rows = df.observe(written, F.count(F.lit(1)).alias("rows")), lambda: written.get["rows"]
+    replace_partitions(_of_load(df, column, value), path, [column], fmt, files)
+    if not rows():
         folders.remove(df.sparkSession, f"{path}/{column}={value}")
 
 
-def write_bronze(df: DataFrame, path: str, load: LoadContext, files: int | str | None = None) -> None:
+def write_bronze(
+    df: DataFrame, path: str, load: LoadContext, files: int | str | None = None, rows: Callable[[], int] | None = None
+) -> None:
     """Raw rows as ORC, one partition per load; other loads stay."""
-    replace_load(df, path, LOAD_ID, load.load_id, "orc", files)
+    replace_load(df, path, LOAD_ID, load.load_id, "orc", files, rows)
 
 
 def publish_dimension(

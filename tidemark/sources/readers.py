@@ -35,17 +35,18 @@ def read_entity(spark: SparkSession, spec: EntitySpec, root: str) -> DataFrame:
 
 #: Between the values of a plain line; raw, no JSON text may hold it.
 _MARK = "\x01"
-_CHARS = r'[^"\\\x00-\x1f]*+'
+_CHARS = '[^"\\\\' + "".join(f"\\x{code:02x}" for code in range(0x20)) + "]*+"  # one by one: a bit set, told in one look
 _STRING = rf'"{_CHARS}(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{{4}}){_CHARS})*+"'
 _WHOLE = r"(?:0|-?[1-9]\d{0,17}+)"
 _NUMBER = r"(?:-?(?:0|[1-9]\d{0,14}+)\.\d{1,30}+(?:[eE][+-]?\d{1,2}+)?+|0|-?[1-9]\d{0,14}+)"
-_NEXT = r'(?:, ?+(?=")|(?=\}))'
+#: Either the last member or a comma; that none follows the comma is seen by the bracket behind it.
+_NEXT, _END = r"(?:, ?+|(?=\}))", r"(?<![, ])\}"
 #: How values are written whose text means the same cut out of the line or parsed with it.
 _PLAIN = {
     "string": _STRING,
     "bigint": _WHOLE,
     "double": _NUMBER,
-    "map<string,string>": rf"\{{(?:{_STRING}: ?+(?:{_STRING}|null){_NEXT})*+\}}",
+    "map<string,string>": rf"\{{(?:{_STRING}: ?+(?:{_STRING}|null){_NEXT})*+{_END}",
 }
 
 
@@ -59,7 +60,7 @@ def plain_line(fields: Sequence[T.StructField]) -> str:
             return "()?+"
         return rf'(?:"{re.escape(f.name)}": ?+(?:({value})|null){_NEXT})?+'
 
-    return rf"\A\{{{''.join(map(member, fields))}\}}\z"
+    return rf"\A\{{{''.join(map(member, fields))}{_END}\z"
 
 
 def parse_lines(lines: DataFrame, spec: EntitySpec) -> DataFrame:
