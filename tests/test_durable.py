@@ -47,6 +47,12 @@ def test_materialised_rows_read_back(spark):
     assert sorted(materialise(df, "t").collect()) == sorted(df.collect())
 
 
+def test_a_table_may_have_its_own_codec(spark):
+    table = materialise(spark.range(10), "t", compression="zstd")
+    names = files.children(spark, table.stored_at)
+    assert table.count() == 10 and all(n.endswith(".zstd.parquet") for n in names if n.startswith("part-"))
+
+
 def test_tables_that_outlive_and_tables_that_are_dropped(spark):
     with scratch(spark):
         gone, kept = materialise(spark.range(3), "gone"), materialise(spark.range(4), "kept", outlives=True)

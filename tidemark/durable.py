@@ -56,16 +56,17 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str, outlives: bool = False) -> DataFrame:
+def materialise(df: DataFrame, label: str, outlives: bool = False, compression: str | None = None) -> DataFrame:
     """Write once and read back: later passes see the same rows even after executors are lost.
 
     A Parquet table rather than a checkpoint, so that a pass over one column reads one column and the
-    optimizer knows the true size. One that ``outlives`` the scratch() around it is left when that ends.
+    optimizer knows the true size. One that ``outlives`` the scratch() around it is left when that ends. Without a
+    ``compression`` the session's holds.
     """
     path = fresh_path(df.sparkSession, label)
     if not outlives and (stored := _stored.get()) is not None:
         stored.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.stored_at = path
     return table
